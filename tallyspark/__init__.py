@@ -1,0 +1 @@
+"""Recurring-revenue analytics as DataFrame-to-DataFrame functions on PySpark."""

@@ -40,6 +40,11 @@ def absent_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     return source.join(known, keys, "left_anti")
 
 
+def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one partition brought together for writing; AQE splits a partition that is large."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 def insert_if_absent(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                      loaded_at: Column | None = None,
                      partition_by: Sequence[str] = ()) -> None:
@@ -48,12 +53,12 @@ def insert_if_absent(spark: SparkSession, path: str, source: DataFrame, keys: Se
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
     fresh = absent_rows(read_table(spark, path, schema), source, keys).withColumn(
         S.LOADED_AT, stamp.cast("timestamp_ntz"))
-    fresh.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _gathered(fresh, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def write_mart(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Rebuild a mart table in full."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _gathered(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def append_log(df: DataFrame, path: str) -> None:
@@ -71,8 +76,8 @@ def replace_keys(current: DataFrame, recomputed: DataFrame, keys: Sequence[str])
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace exactly the partitions that occur in ``df``; all others stay untouched."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    (_gathered(df, partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
 def _write_csv(df: DataFrame, path: str) -> None:
