@@ -38,7 +38,7 @@ def div0(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
 
 def percent_change(now: ColumnOrName, before: ColumnOrName, digits: int = 1) -> Column:
     """Relative change in percent; 0 against a zero base, NULL against an unknown one."""
-    return F.round(div0(_col(now) - _col(before), before) * 100, digits)
+    return F.round(div0((_col(now) - _col(before)) * 100, before), digits)
 
 
 def month_start(d: ColumnOrName) -> Column:

@@ -48,8 +48,10 @@ def cost_by_layer_daily(query_history: DataFrame, warehouse_metering: DataFrame,
         F.coalesce("pipeline_layer", F.lit("invocation_level")).alias("pipeline_layer"),
         "dbt_model", "dbt_target",
     ).agg(F.count("*").alias("query_count"), F.sum("total_elapsed_time").alias("elapsed_ms"))
-    share = guarded_divide(F.col("elapsed_ms") * F.coalesce("_day_credits", F.lit(0)),
-                           "_day_elapsed_ms")
+    # Widths that leave the quotient enough digits to be rounded once.
+    weighted = (F.col("elapsed_ms").cast("decimal(18,0)")
+                * F.coalesce("_day_credits", F.lit(0)).cast(S.UNIT_PRICE)).cast("decimal(24,4)")
+    share = guarded_divide(weighted, F.col("_day_elapsed_ms").cast("decimal(18,0)"))
     return steps.join(F.broadcast(per_day), by_day, "left").select(
         *by_day, "pipeline_layer", "dbt_model", "dbt_target", "query_count", "elapsed_ms",
         F.round(share, 4).alias("estimated_credits"))

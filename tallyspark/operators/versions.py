@@ -26,14 +26,17 @@ def contract_validity(contracts: DataFrame) -> DataFrame:
         (F.col("amendment_type") == "churn").alias("is_churn_version"), "is_last_version")
 
 
-def contract_versions(contracts: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Contract versions with validity and the region and entity of their account."""
+def with_account_place(validity: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Adds the region and entity of the account to validity rows."""
     places = accounts.select("account_id", "region", "legal_entity")
-    return contract_validity(contracts).join(places, "account_id", "left").select(
+    return validity.join(places, "account_id", "left").select(
         "contract_version_sk", "contract_id", "version_number", "account_id", "region",
-        "legal_entity", "effective_start_date", "effective_end_date_exclusive", "arr_amount",
-        "currency", "seats", "plan_tier", "amendment_type", "contract_version_recorded_at",
-        "is_backdated", "co_termination_group", "is_churn_version", "is_last_version")
+        "legal_entity", *validity.columns[4:])
+
+
+def contract_versions(contracts: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Contract versions with validity and the region and entity of their account."""
+    return with_account_place(contract_validity(contracts), accounts)
 
 
 def customer_master_versions(customer_master: DataFrame) -> DataFrame:

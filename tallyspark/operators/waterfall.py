@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark import schemas as S
 from tallyspark.functions.scalar import surrogate_key
 
 MEASURES = ("new", "expansion", "contraction", "churn", "reactivation")
@@ -40,18 +41,22 @@ def arr_movements(bridge: DataFrame) -> DataFrame:
         "real_component_usd", "fx_component_usd", classify_movement().alias("movement_type"))
 
 
-def waterfall_account(movements: DataFrame) -> DataFrame:
-    """Movements netted to one row per account and month."""
-    real = F.col("real_component_usd")
+def movement_measures(movements: DataFrame) -> DataFrame:
+    """The waterfall measures of each single movement; every waterfall is a sum of these."""
+    real, zero = F.col("real_component_usd"), F.lit(0).cast(S.MONEY)
+    return movements.select(
+        "month_end_date", "account_id", "region", "legal_entity", "segment",
+        F.col("arr_usd").alias("account_arr_usd"),
+        *[F.when(F.col("movement_type") == m, real).otherwise(zero).alias(f"{m}_arr_usd")
+          for m in MEASURES],
+        F.col("fx_component_usd").alias("fx_impact_usd"))
 
-    def of_type(name: str) -> Column:
-        hit = F.col("movement_type") == name
-        return F.sum(F.when(hit, real).otherwise(F.lit(0))).alias(f"{name}_arr_usd")
 
-    return movements.groupBy("month_end_date", "account_id", "region", "legal_entity",
-                             "segment").agg(
-        F.sum("arr_usd").alias("account_arr_usd"), *[of_type(m) for m in MEASURES],
-        F.sum("fx_component_usd").alias("fx_impact_usd"))
+def waterfall_account(movements: DataFrame) -> DataFrame:
+    """Movements netted to one row per account and month."""
+    return movement_measures(movements).groupBy(
+        "month_end_date", "account_id", "region", "legal_entity", "segment",
+    ).agg(*[F.sum(c).alias(c) for c in ("account_arr_usd", *MOVEMENTS, "fx_impact_usd")])
 
 
 def net_movement() -> Column:
@@ -61,12 +66,14 @@ def net_movement() -> Column:
     return total
 
 
-def waterfall_portfolio(account_waterfall: DataFrame) -> DataFrame:
-    """Company-wide total and bridge per month.
+def waterfall_portfolio(measures: DataFrame) -> DataFrame:
+    """Company-wide total and bridge per month, from an account waterfall or its measures.
 
-    The lag has no partition key; it runs over one row per month, after the aggregation.
+    Summing the measures of single movements gives the same totals as summing accounts, without
+    shuffling one row per account and month. The lag has no partition key; it runs over one row
+    per month, after the aggregation.
     """
-    monthly = account_waterfall.groupBy("month_end_date").agg(
+    monthly = measures.groupBy("month_end_date").agg(
         F.sum("account_arr_usd").alias("total_arr_usd"),
         *[F.sum(c).alias(c) for c in (*MOVEMENTS, "fx_impact_usd")])
     over_time = Window.orderBy("month_end_date")

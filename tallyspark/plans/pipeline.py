@@ -23,8 +23,8 @@ def lazily(df: DataFrame, _name: str) -> DataFrame:
 class RevenuePlan:
     """Every model of the pipeline over a set of landed tables.
 
-    ``stage`` is applied to the results read more than once (filled rates, contract months). The
-    default writes them to the shared checkpoint folder; pass ``lazily`` to keep a single plan.
+    ``stage`` is applied to the results read more than once (month ends, filled rates, validity
+    intervals, contract months). The default writes them to the shared checkpoint folder; pass ``lazily`` to keep a single plan.
     """
 
     def __init__(self, landed: Mapping[str, DataFrame], *, stage: Stage = stage_table,
@@ -91,22 +91,25 @@ class RevenuePlan:
 
     @cached_property
     def month_ends(self) -> DataFrame:
-        return spines.month_end_spine(self.daily)
+        return self.stage(spines.month_end_spine(self.daily).coalesce(1), "month_ends")
 
     @cached_property
     def fx(self) -> DataFrame:
         return self.stage(fx.fx_daily_filled(self.daily, self.fx_rates).coalesce(1), "fx_daily")
 
     # -- recurring revenue ------------------------------------------------------------------
+    @cached_property
+    def contract_validity(self) -> DataFrame:
+        return self.stage(versions.contract_validity(self.contracts), "contract_validity")
+
     @cached_property
     def contract_versions(self) -> DataFrame:
-        return versions.contract_versions(self.contracts, self.accounts)
+        return versions.with_account_place(self.contract_validity, self.accounts)
 
     @cached_property
     def contract_arr(self) -> DataFrame:
         monthly = arr.contract_arr_monthly(
-            versions.contract_validity(self.contracts), self.accounts, self.month_ends, self.fx,
-            self.open_churn)
+            self.contract_validity, self.accounts, self.month_ends, self.fx, self.open_churn)
         return self.stage(monthly, "contract_arr_monthly")
 
     @cached_property
@@ -127,7 +130,7 @@ class RevenuePlan:
 
     @cached_property
     def portfolio_waterfall(self) -> DataFrame:
-        return waterfall.waterfall_portfolio(self.account_waterfall)
+        return waterfall.waterfall_portfolio(waterfall.movement_measures(self.movements))
 
     # -- customers --------------------------------------------------------------------------
     @cached_property

@@ -52,9 +52,14 @@ def read_landing_csv(spark: SparkSession, path: str, schema: T.StructType,
     return typed_rows(rows, schema)
 
 
-def read_landing_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON files whose objects may sit in one outer array."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+def read_landing_json(spark: SparkSession, path: str, schema: T.StructType,
+                      outer_array: bool = True) -> DataFrame:
+    """JSON files holding one outer array of objects, or one object per line.
+
+    An array file is read by one task; files of one object per line are split.
+    """
+    return (spark.read.schema(schema).option("multiLine", outer_array)
+            .option("mode", "FAILFAST").json(path))
 
 
 def list_staged(spark: SparkSession, path: str) -> DataFrame:

@@ -67,7 +67,7 @@ class StarTables:
         )
         shaped = ranked.select(
             "o_orderkey", "o_custkey", "order_date", "price",
-            F.concat(F.lit("CTR-"), F.lpad(F.col("o_custkey").cast("string"), 6, "0"),
+            F.concat(padded_id("CTR", "o_custkey", 6),
                      F.when(in_second, "-2").otherwise("-1")).alias("contract_id"),
             version.cast("long").alias("version_number"),
             kind.alias("amendment_type"),
@@ -133,8 +133,7 @@ class StarTables:
             F.concat(F.lit("Contact "), text_key, F.lit(" v"), F.col("version").cast("string"))
             .alias("billing_contact_name"),
             F.concat(F.lit("billing"), text_key, domain).alias("billing_contact_email"),
-            F.concat(F.lit("TX-"), F.lpad((key * 7919 % 1000000000).cast("string"), 9, "0"))
-            .alias("tax_id"),
+            padded_id("TX", key * 7919 % 1000000000, 9).alias("tax_id"),
             F.concat((key % 900 + 100).cast("string"), F.lit(" Main Street, Unit "),
                      F.col("version").cast("string")).alias("address_line1"),
             F.concat(F.lit("City "), (key % 53).cast("string")).alias("city"),
@@ -193,8 +192,8 @@ class StarTables:
         copies = F.when(F.col("l_suppkey") % 33 == 0, F.array(F.lit(""), F.lit("-D"))).otherwise(
             F.array(F.lit("")))
         df = (self._lines().join(billed, "invoice_id").withColumn("copy", F.explode(copies)).select(
-            F.concat(F.lit("PAY-"), F.lpad(F.col("l_orderkey").cast("string"), 7, "0"), F.lit("-"),
-                     F.lpad(F.col("line").cast("string"), 3, "0"), "copy").alias("payment_id"),
+            F.concat(F.format_string("PAY-%07d-%03d", "l_orderkey", "line"), "copy")
+            .alias("payment_id"),
             "invoice_id", "account_id", F.col("ship_date").alias("payment_date"),
             F.col("price").alias("amount"), "currency"))
         return _stamped(df, "payments")

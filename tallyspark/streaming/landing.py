@@ -35,27 +35,31 @@ def stream_landing(spark: SparkSession, folder: str, schema: T.StructType, keys:
 
 
 def stream_payments_staging(spark: SparkSession, raw: str, target: str, checkpoint: str,
-                            day: str = "payment_date",
-                            max_files: int | None = None) -> StreamingQuery:
-    """Keep staged payments, partitioned by day, in step with the landed payments at ``raw``.
+                            grain: str = "day", max_files: int | None = None) -> StreamingQuery:
+    """Keep staged payments in step with the landed payments at ``raw``.
 
-    Copies of a payment share their day. So each batch rebuilds the days it touches from the
-    landed table and replaces just those partitions; a copy with a lower id arriving later wins as
-    it would in a full rebuild, and a replayed batch writes the same rows again.
+    The staged table is partitioned by ``period``, the day or month of the payment. Copies of a
+    payment share their date, so each batch rebuilds the periods it touches from the landed table
+    and replaces just those partitions. A copy with a lower id arriving later wins as it would in
+    a full rebuild, and a replayed batch writes the same rows again.
     """
     schema = S.with_loaded_at(S.LANDED["payments"])
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    day = F.col("payment_date")
+    period = F.date_trunc(grain, day).cast("date")
 
     def rebuild(batch: DataFrame, _batch_id: int) -> None:
-        days = batch.select(F.col(day).alias("_day")).distinct()
-        first, last = days.agg(F.min("_day"), F.max("_day")).first()
-        landed = batch.sparkSession.read.schema(schema).parquet(raw)
-        # The range prunes partitions; rows without a day form a partition of their own.
-        near = landed.where(F.col(day).between(first, last) | F.col(day).isNull())
-        touched = near.join(days, F.col(day).eqNullSafe(F.col("_day")), "left_semi")
-        overwrite_partitions(dedupe_payments(touched.select(*schema.fieldNames())), target, [day])
+        periods = batch.select(period.alias("period")).distinct()
+        first, last = periods.agg(F.min("period"), F.max("period")).first()
+        after_last = F.lit(last).cast("date") + F.expr(f"interval 1 {grain}")
+        landed = batch.sparkSession.read.schema(schema).parquet(raw).withColumn("_period", period)
+        # The range reaches the scan; rows without a date form a period of their own.
+        near = landed.where(((day >= F.lit(first)) & (day < after_last)) | day.isNull())
+        touched = near.join(periods, F.col("_period").eqNullSafe(F.col("period")), "left_semi")
+        staged = dedupe_payments(touched.select(*schema.fieldNames()))
+        overwrite_partitions(staged.withColumn("period", period), target, ["period"])
 
     return (reader.parquet(raw).writeStream.foreachBatch(rebuild)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
