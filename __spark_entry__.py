@@ -150,7 +150,8 @@ def _before_lookback(plan: RevenuePlan) -> reconcile.Facts:
     known = F.col(S.LOADED_AT) < F.lit(LOOKBACK_START).cast("timestamp_ntz")
     f = plan.facts
     return reconcile.Facts(f.invoices.where(known), f.credit_memos.where(known),
-                           f.payments.where(known), f.gl_journal_entries.where(known), f.accounts)
+                           f.landed_payments.where(known), f.gl_journal_entries.where(known),
+                           f.accounts)
 
 
 def _earlier_state(plan: RevenuePlan) -> DataFrame:
@@ -165,8 +166,7 @@ def _two_snapshots(spark, plan, folder):
     snapshots.snapshot_write(to_cents(_earlier_state(plan)), folder, "run-1",
                              "2001-06-02 06:00:00")
     current = snapshots.snapshot_read(spark, folder)
-    recomputed = reconcile.revenue_reconciliation_for(
-        plan.affected_keys(RUN_DATE), plan.facts, plan.fx)
+    recomputed = plan.reconciliation_touched(RUN_DATE)
     snapshots.snapshot_write(tables.replace_keys(current, to_cents(recomputed), reconcile.KEY),
                              folder, "run-2", RUN_STARTED_AT)
 

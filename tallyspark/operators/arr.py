@@ -150,16 +150,19 @@ def arr_bridge_monthly(contract_arr: DataFrame, account_arr: DataFrame,
         F.lag("arr_usd").over(life).alias("_prior_usd"))
     revalued = rate_on(seen, fx, "_prior_month",
                        F.coalesce("currency", F.lit(S.BASE_CURRENCY)), "_prior_rate")
+    # The quotient feeds both parts; as a column of its own it is computed once.
+    revalued = revalued.withColumn("_at_prior_rate", guarded_divide("arr_local", "_prior_rate"))
     prior_usd = F.coalesce("_prior_usd", F.lit(0).cast(S.MONEY))
-    at_prior_rate = guarded_divide("arr_local", "_prior_rate")
     first = F.col("_prior_month").isNull()
     split = revalued.select(
         "month_end_date", "contract_id", "account_id", "region", "legal_entity", "segment",
         "currency", "arr_local", "arr_usd", "contract_month_seq",
         prior_usd.alias("prior_arr_usd_filled"),
-        F.when(first, F.col("arr_usd")).otherwise(F.round(at_prior_rate - prior_usd, 2))
+        F.when(first, F.col("arr_usd"))
+        .otherwise(F.round(F.col("_at_prior_rate") - prior_usd, 2))
         .cast(S.MONEY).alias("real_component_usd"),
-        F.when(first, F.lit(0)).otherwise(F.round(F.col("arr_usd") - at_prior_rate, 2))
+        F.when(first, F.lit(0))
+        .otherwise(F.round(F.col("arr_usd") - F.col("_at_prior_rate"), 2))
         .cast(S.MONEY).alias("fx_component_usd"))
     history = account_arr.select("account_id", "month_end_date", "prior_account_arr_usd",
                                  "account_ever_had_arr_before")

@@ -10,8 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark import schemas as S
-from tallyspark.functions.scalar import as_of_date, as_of_timestamp, days_before, month_start
-from tallyspark.operators.fx import to_usd
+from tallyspark.functions.scalar import (
+    as_of_date, as_of_timestamp, days_before, guarded_divide, month_start,
+)
+from tallyspark.operators.fx import rate_on, to_usd
+from tallyspark.operators.staging import PAYMENT_IDENTITY, dedupe_payments
 from tallyspark.sources.tables import replace_keys
 
 KEY = ("month_start", "legal_entity")
@@ -20,14 +23,32 @@ MEASURES = ("billed_usd", "recognized_usd", "credit_usd", "collected_usd", "manu
 
 @dataclass(frozen=True)
 class Facts:
-    """Staged inputs of the reconciliation."""
+    """Inputs of the reconciliation: staged tables, with payments as landed, copies included."""
 
     invoices: DataFrame
     credit_memos: DataFrame
-    payments: DataFrame
+    landed_payments: DataFrame
     gl_journal_entries: DataFrame
     accounts: DataFrame
 
+    @property
+    def payments(self) -> DataFrame:
+        return dedupe_payments(self.landed_payments)
+
+    def payments_since(self, since: Column) -> DataFrame:
+        """Payments that survive deduplication and arrived at or after a moment.
+
+        Only payments with a recent copy can qualify, so the rest is left out before deduplicating.
+        The identity may hold NULLs, which count as equal here.
+        """
+        recent = F.col(S.LOADED_AT) >= since
+        touched = self.landed_payments.where(recent).select(
+            *[F.col(c).alias(f"_{c}") for c in PAYMENT_IDENTITY]).distinct()
+        same = reduce(lambda a, b: a & b, [
+            F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PAYMENT_IDENTITY])
+        return dedupe_payments(
+            self.landed_payments.join(touched, same, "left_semi")).where(recent)
+
     def only_months(self, months: DataFrame) -> Facts:
         """The facts dated in the given months; the month bounds also reach the scans."""
         first = months.agg(F.min("month_start")).scalar()
@@ -38,7 +59,7 @@ class Facts:
                     .join(months, month_start(day) == months.month_start, "left_semi"))
 
         return Facts(cut(self.invoices, "invoice_date"), cut(self.credit_memos, "issue_date"),
-                     cut(self.payments, "payment_date"),
+                     cut(self.landed_payments, "payment_date"),
                      cut(self.gl_journal_entries, "posting_date"), self.accounts)
 
 
@@ -65,6 +86,23 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def revenue_lines(gl: DataFrame, fx: DataFrame) -> DataFrame:
+    """Journal lines with their signed effect on revenue in USD, and the manual part of it.
+
+    Lines of other accounts count as zero whatever their rate, and are not converted.
+    """
+    side = F.col("debit_credit")
+    counts = (F.col("gl_account") == S.REVENUE_ACCOUNT) & side.isin(S.CREDIT, S.DEBIT)
+    signed = F.when(side == S.CREDIT, F.col("amount")).otherwise(-F.col("amount"))
+    manual = F.col("je_type") == S.JE_TYPES[2]
+    zero = F.lit(0)
+    return (
+        rate_on(gl, fx, "posting_date", "currency", "_rate")
+        .withColumn("_signed_usd", F.when(counts, guarded_divide(signed, "_rate")).otherwise(zero))
+        .withColumn("_manual_usd", F.when(manual, F.col("_signed_usd")).otherwise(zero))
+    )
+
+
 def revenue_reconciliation(facts: Facts, fx: DataFrame,
                            invoices_for_ledger: DataFrame | None = None) -> DataFrame:
     """All measures per month and entity.
@@ -73,11 +111,6 @@ def revenue_reconciliation(facts: Facts, fx: DataFrame,
     the accounts. The measures of all facts travel as columns of one union through one
     aggregation. Keys without an entity are listed with zero measures.
     """
-    revenue_line = F.col("gl_account") == S.REVENUE_ACCOUNT
-    signed = (F.when(revenue_line & (F.col("debit_credit") == S.CREDIT), F.col("amount_usd"))
-              .when(revenue_line & (F.col("debit_credit") == S.DEBIT), -F.col("amount_usd"))
-              .otherwise(F.lit(0)))
-    manual = F.when(F.col("je_type") == S.JE_TYPES[2], signed).otherwise(F.lit(0))
     usd = F.col("amount_usd")
     ledger_invoices = facts.invoices if invoices_for_ledger is None else invoices_for_ledger
     per_account = _union([
@@ -87,8 +120,9 @@ def revenue_reconciliation(facts: Facts, fx: DataFrame,
                  credit_usd=usd),
         _monthly(to_usd(facts.payments, fx, "payment_date"), "account_id", "payment_date",
                  collected_usd=usd),
-        _ledger_by_account(to_usd(facts.gl_journal_entries, fx, "posting_date"), ledger_invoices,
-                           recognized_usd=signed, manual_adjustment_usd=manual),
+        _ledger_by_account(
+            revenue_lines(facts.gl_journal_entries, fx), ledger_invoices,
+            recognized_usd=F.col("_signed_usd"), manual_adjustment_usd=F.col("_manual_usd")),
     ])
     totals = _with_entity(per_account, facts.accounts).groupBy(*KEY).agg(
         *[F.sum(m).alias(m) for m in MEASURES])
@@ -115,7 +149,7 @@ def affected_keys(facts: Facts, as_of: date | str | None = None,
         _monthly(facts.invoices.where(recent), "account_id", "invoice_date"),
         _monthly(facts.credit_memos.where(F.col("system_entry_date") >= since_day),
                  "account_id", "issue_date"),
-        _monthly(facts.payments.where(recent), "account_id", "payment_date"),
+        _monthly(facts.payments_since(since), "account_id", "payment_date"),
         _ledger_by_account(facts.gl_journal_entries.where(recent), facts.invoices),
     ])
     return _with_entity(touched, facts.accounts).select(*KEY).distinct()
@@ -134,7 +168,12 @@ def revenue_reconciliation_for(keys: DataFrame, facts: Facts, fx: DataFrame) ->
 
 def revenue_reconciliation_incremental(current: DataFrame, facts: Facts, fx: DataFrame,
                                        as_of: date | str | None = None,
-                                       lookback_days: int = S.LOOKBACK_DAYS) -> DataFrame:
-    """``current`` with every touched key replaced by its recomputed totals."""
-    keys = affected_keys(facts, as_of, lookback_days)
+                                       lookback_days: int = S.LOOKBACK_DAYS,
+                                       keys: DataFrame | None = None) -> DataFrame:
+    """``current`` with every touched key replaced by its recomputed totals.
+
+    ``keys`` takes the touched keys from a table, where they were written before.
+    """
+    if keys is None:
+        keys = affected_keys(facts, as_of, lookback_days)
     return replace_keys(current, revenue_reconciliation_for(keys, facts, fx), KEY)

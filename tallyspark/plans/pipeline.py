@@ -144,7 +144,7 @@ class RevenuePlan:
     # -- reconciliation ---------------------------------------------------------------------
     @cached_property
     def facts(self) -> reconcile.Facts:
-        return reconcile.Facts(self.invoices, self.credit_memos, self.payments,
+        return reconcile.Facts(self.invoices, self.credit_memos, self.landed["payments"],
                                self.gl_journal_entries, self.accounts)
 
     @cached_property
@@ -154,10 +154,16 @@ class RevenuePlan:
     def affected_keys(self, as_of: date | str | None = None) -> DataFrame:
         return reconcile.affected_keys(self.facts, as_of, self.lookback_days)
 
+    def reconciliation_touched(self, as_of: date | str | None = None) -> DataFrame:
+        """Recomputed totals of the touched keys. The keys are few and read many times."""
+        keys = self.stage(self.affected_keys(as_of).coalesce(1), "affected_keys")
+        return reconcile.revenue_reconciliation_for(keys, self.facts, self.fx)
+
     def reconciliation_incremental(self, current: DataFrame,
                                    as_of: date | str | None = None) -> DataFrame:
+        keys = self.stage(self.affected_keys(as_of).coalesce(1), "affected_keys")
         return reconcile.revenue_reconciliation_incremental(
-            current, self.facts, self.fx, as_of, self.lookback_days)
+            current, self.facts, self.fx, as_of, self.lookback_days, keys)
 
     # -- cost -------------------------------------------------------------------------------
     def cost_by_layer(self, as_of: date | str | None = None) -> DataFrame:
