@@ -21,7 +21,7 @@ from tallyspark.sources.star import COST_RUN_DATE, RUN_DATE, StarTables
 QUERIES = {
     "contract_validity": lambda p: versions.contract_validity(p.contracts),
     "contract_arr_monthly": lambda p: arr.contract_arr_monthly(
-        p.contract_validity, p.accounts, p.month_ends, p.fx),
+        p.contract_validity, p.accounts, p.month_ends, p.fx, spans=p.contract_spans),
     "account_arr_monthly": lambda p: p.account_arr,
     "arr_bridge_monthly": lambda p: p.bridge,
     "arr_movements": lambda p: p.movements,
@@ -45,7 +45,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     start = time.perf_counter()
-    landed = StarTables(spark, folder).land()
+    landed = dict(StarTables(spark, folder).land())
     timings = {"land": round(time.perf_counter() - start, 3)}
     start = time.perf_counter()
     plan = RevenuePlan(landed)

@@ -16,9 +16,15 @@ from tallyspark.functions.scalar import guarded_divide, month_end
 from tallyspark.operators.fx import rate_on
 
 
-def _contract_spans(versions: DataFrame, accounts: DataFrame, month_spine: DataFrame,
-                    open_churn: str) -> DataFrame:
-    """First and last reported month per contract, with the attributes of its account."""
+def contract_spans(versions: DataFrame, accounts: DataFrame, month_spine: DataFrame,
+                   open_churn: str = "drop") -> DataFrame:
+    """First and last reported month per contract, with the attributes of its account.
+
+    A contract is reported from its first start to the month of its churn, or to the end of the
+    spine. ``open_churn="drop"`` reports nothing for a contract whose churn has no closed month
+    end yet; ``"keep"`` reports it up to the last closed month. ``month_spine`` holds consecutive
+    month ends, as ``month_end_spine`` builds them.
+    """
     first_spine = month_spine.agg(F.min("month_end_date")).scalar()
     last_spine = month_spine.agg(F.max("month_end_date")).scalar()
     start = F.col("effective_start_date")
@@ -40,11 +46,13 @@ def _contract_spans(versions: DataFrame, accounts: DataFrame, month_spine: DataF
         bounds.join(places, "account_id", "left")
         .select(
             "contract_id", "account_id", "region", "legal_entity", "segment",
-            F.greatest(month_end("_first_start"), first_spine).alias("_first_month"),
+            F.greatest(month_end("_first_start"), first_spine).alias("first_month"),
             F.when(F.col("_churn_date").isNotNull(), closed_churn).otherwise(last_spine)
-            .alias("_last_month"),
-            F.bool_and("_tidy").over(same_contract).alias("_in_order"))
-        .where("_first_month <= _last_month")
+            .alias("last_month"),
+            F.bool_and("_tidy").over(same_contract).alias("in_order"))
+        .where("first_month <= last_month")
+        .withColumn("opens_contract", F.row_number().over(
+            same_contract.orderBy("first_month", "account_id")) == 1)
     )
 
 
@@ -57,15 +65,15 @@ def _expand(versions: DataFrame, spans: DataFrame) -> DataFrame:
     last = F.col("is_last_version")
     opens = F.when(start.isNotNull(), F.greatest(
         F.when(last, F.least(month_end(start), month_end(end))).otherwise(month_end(start)),
-        F.col("_first_month")))
+        F.col("first_month")))
     # The last month end before an exclusive end is that of the month before it.
-    closes = F.when(last, F.col("_last_month")).otherwise(
-        F.least(F.date_sub(F.trunc(end, "MM"), 1), F.col("_last_month")))
+    closes = F.when(last, F.col("last_month")).otherwise(
+        F.least(F.date_sub(F.trunc(end, "MM"), 1), F.col("last_month")))
     months = F.when(opens <= closes, F.sequence(
         F.trunc(opens, "MM"), F.trunc(closes, "MM"), F.make_ym_interval(F.lit(0), F.lit(1))))
     attributes = ["version_number", "arr_amount", "currency", "seats", "plan_tier",
                   "amendment_type", "is_backdated", "co_termination_group"]
-    carried = ["contract_id", "account_id", "region", "legal_entity", "segment", "_in_order"]
+    carried = ["contract_id", "account_id", "region", "legal_entity", "segment", "in_order"]
     month = month_end("_month").alias("month_end_date")
     in_force = F.coalesce(~F.col("is_churn_version"), F.lit(False))
     return (
@@ -86,24 +94,23 @@ def _without_false_zeros(rows: DataFrame) -> DataFrame:
     Needed for contracts whose versions start out of order: their intervals may overlap, so a
     month can be reported as zero by one version and as active by another.
     """
-    tidy = rows.where("_in_order")
+    tidy = rows.where("in_order")
     month = Window.partitionBy("contract_id", "account_id", "month_end_date")
-    untidy = (rows.where("not _in_order")
+    untidy = (rows.where("not in_order")
               .withColumn("_n", F.row_number().over(month.orderBy(F.desc("_active"))))
               .where("_active or _n = 1").drop("_n"))
     return tidy.unionByName(untidy)
 
 
 def contract_arr_monthly(versions: DataFrame, accounts: DataFrame, month_spine: DataFrame,
-                         fx: DataFrame, open_churn: str = "drop") -> DataFrame:
-    """One row per contract and month end, in local currency and USD.
+                         fx: DataFrame, open_churn: str = "drop",
+                         spans: DataFrame | None = None) -> DataFrame:
+    """One row per contract and month end, in local currency and USD; the churn month is zero.
 
-    A contract is reported from its first start to the month of its churn, which is included at
-    zero, or to the end of the spine. ``open_churn="drop"`` reports nothing for a contract whose
-    churn has no closed month end yet; ``"keep"`` reports it up to the last closed month.
-    ``month_spine`` holds consecutive month ends, as ``month_end_spine`` builds them.
+    ``spans`` takes ``contract_spans`` of the same inputs from a table, where it was written.
     """
-    spans = _contract_spans(versions, accounts, month_spine, open_churn)
+    if spans is None:
+        spans = contract_spans(versions, accounts, month_spine, open_churn)
     rows = _without_false_zeros(_expand(versions, spans))
     month_rates = fx.join(month_spine, fx.rate_date == month_spine.month_end_date, "left_semi")
     local = F.coalesce("arr_amount", F.lit(0).cast(S.MONEY))
@@ -133,15 +140,14 @@ def account_arr_monthly(contract_arr: DataFrame) -> DataFrame:
         .alias("account_ever_had_arr_before"))
 
 
-def arr_bridge_monthly(contract_arr: DataFrame, account_arr: DataFrame,
-                       fx: DataFrame) -> DataFrame:
+def split_change(contract_arr: DataFrame, fx: DataFrame) -> DataFrame:
     """Splits each month's change of a contract into a real and an FX part.
 
     The real part values the current local amount at the previous month's rate of its current
     currency and compares it with what was reported; the rest is rate movement. The first month
     of a contract is real throughout.
     """
-    life = Window.partitionBy("contract_id").orderBy("month_end_date")
+    life = Window.partitionBy("contract_id").orderBy("month_end_date", "account_id")
     seen = contract_arr.select(
         "month_end_date", "contract_id", "account_id", "region", "legal_entity", "segment",
         "currency", "arr_local", "arr_usd",
@@ -154,7 +160,7 @@ def arr_bridge_monthly(contract_arr: DataFrame, account_arr: DataFrame,
     revalued = revalued.withColumn("_at_prior_rate", guarded_divide("arr_local", "_prior_rate"))
     prior_usd = F.coalesce("_prior_usd", F.lit(0).cast(S.MONEY))
     first = F.col("_prior_month").isNull()
-    split = revalued.select(
+    return revalued.select(
         "month_end_date", "contract_id", "account_id", "region", "legal_entity", "segment",
         "currency", "arr_local", "arr_usd", "contract_month_seq",
         prior_usd.alias("prior_arr_usd_filled"),
@@ -164,7 +170,32 @@ def arr_bridge_monthly(contract_arr: DataFrame, account_arr: DataFrame,
         F.when(first, F.lit(0))
         .otherwise(F.round(F.col("arr_usd") - F.col("_at_prior_rate"), 2))
         .cast(S.MONEY).alias("fx_component_usd"))
-    history = account_arr.select("account_id", "month_end_date", "prior_account_arr_usd",
-                                 "account_ever_had_arr_before")
+
+
+HISTORY = ("prior_account_arr_usd", "account_ever_had_arr_before")
+
+
+def arr_bridge_monthly(contract_arr: DataFrame, account_arr: DataFrame,
+                       fx: DataFrame) -> DataFrame:
+    """The split change of every contract month with the history of its account that month."""
+    split = split_change(contract_arr, fx)
+    history = account_arr.select("account_id", "month_end_date", *HISTORY)
     return split.join(history, ["account_id", "month_end_date"], "left").select(
-        *split.columns, "prior_account_arr_usd", "account_ever_had_arr_before")
+        *split.columns, *HISTORY)
+
+
+def opening_bridge(contract_arr: DataFrame, account_arr: DataFrame, fx: DataFrame,
+                   spans: DataFrame) -> DataFrame:
+    """The split change with the account history of the first month of each contract.
+
+    Movement types look at the account only in that month. So the history is picked per contract
+    and joined on the key the split is partitioned by already, instead of moving every contract
+    month to its account and month.
+    """
+    opening = (
+        spans.where("opens_contract")
+        .select("contract_id", "account_id", F.col("first_month").alias("month_end_date"))
+        .join(account_arr.select("account_id", "month_end_date", *HISTORY),
+              ["account_id", "month_end_date"])
+        .select("contract_id", *HISTORY))
+    return split_change(contract_arr, fx).join(opening, "contract_id", "left")

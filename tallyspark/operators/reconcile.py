@@ -49,13 +49,16 @@ class Facts:
         return dedupe_payments(
             self.landed_payments.join(touched, same, "left_semi")).where(recent)
 
-    def only_months(self, months: DataFrame) -> Facts:
-        """The facts dated in the given months; the month bounds also reach the scans."""
-        first = months.agg(F.min("month_start")).scalar()
-        last = F.last_day(months.agg(F.max("month_start")).scalar())
+    def only_months(self, months: DataFrame, first: date, last: date) -> Facts:
+        """The facts dated in the given months, which lie between ``first`` and ``last``.
+
+        The range is a plain comparison of the date column, so it reaches the scans and prunes
+        files and partitions; the months in between that are not wanted fall to the semi join.
+        """
+        after_last = F.add_months(F.lit(last), 1)
 
         def cut(df: DataFrame, day: str) -> DataFrame:
-            return (df.where(F.col(day).between(first, last))
+            return (df.where((F.col(day) >= F.lit(first)) & (F.col(day) < after_last))
                     .join(months, month_start(day) == months.month_start, "left_semi"))
 
         return Facts(cut(self.invoices, "invoice_date"), cut(self.credit_memos, "issue_date"),
@@ -158,11 +161,15 @@ def affected_keys(facts: Facts, as_of: date | str | None = None,
 def revenue_reconciliation_for(keys: DataFrame, facts: Facts, fx: DataFrame) -> DataFrame:
     """Full totals of the given keys only, reading only facts of their months.
 
-    Keys are matched by equality, so a key without an entity is not reprocessed.
+    Keys are matched by equality, so a key without an entity is not reprocessed. The keys are read
+    several times, the first time here to find the range of months: pass them from a table.
     """
     months = keys.where("legal_entity is not null").select("month_start").distinct()
+    first, last = months.agg(F.min("month_start"), F.max("month_start")).first()
+    if first is None:
+        return revenue_reconciliation(facts, fx).limit(0)
     return revenue_reconciliation(
-        facts.only_months(months), fx, invoices_for_ledger=facts.invoices
+        facts.only_months(months, first, last), fx, invoices_for_ledger=facts.invoices
     ).join(keys, list(KEY), "left_semi")
 
 

@@ -24,7 +24,7 @@ class RevenuePlan:
     """Every model of the pipeline over a set of landed tables.
 
     ``stage`` is applied to the results read more than once (month ends, filled rates, validity
-    intervals, contract months). The default writes them to the shared checkpoint folder; pass ``lazily`` to keep a single plan.
+    intervals and spans of contracts, contract months). The default writes them to the shared checkpoint folder; pass ``lazily`` to keep a single plan.
     """
 
     def __init__(self, landed: Mapping[str, DataFrame], *, stage: Stage = stage_table,
@@ -106,10 +106,17 @@ class RevenuePlan:
     def contract_versions(self) -> DataFrame:
         return versions.with_account_place(self.contract_validity, self.accounts)
 
+    @cached_property
+    def contract_spans(self) -> DataFrame:
+        spans = arr.contract_spans(self.contract_validity, self.accounts, self.month_ends,
+                                   self.open_churn)
+        return self.stage(spans, "contract_spans")
+
     @cached_property
     def contract_arr(self) -> DataFrame:
         monthly = arr.contract_arr_monthly(
-            self.contract_validity, self.accounts, self.month_ends, self.fx, self.open_churn)
+            self.contract_validity, self.accounts, self.month_ends, self.fx, self.open_churn,
+            self.contract_spans)
         return self.stage(monthly, "contract_arr_monthly")
 
     @cached_property
@@ -122,7 +129,8 @@ class RevenuePlan:
 
     @cached_property
     def movements(self) -> DataFrame:
-        return waterfall.arr_movements(self.bridge)
+        return waterfall.arr_movements(arr.opening_bridge(
+            self.contract_arr, self.account_arr, self.fx, self.contract_spans))
 
     @cached_property
     def account_waterfall(self) -> DataFrame:

@@ -7,6 +7,8 @@ can be written as plain SQL.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -255,15 +257,31 @@ class StarTables:
         rows += [("analyst_all", name, None) for name in S.LEGAL_ENTITY.values()]
         return self.spark.createDataFrame(rows, S.SIDE_INPUTS["analyst_entity_access"])
 
-    def land(self) -> dict[str, DataFrame]:
-        """Write every derived table once to the shared folder, as a landing run would."""
-        out = {name: stage_table(getattr(self, name)(), name)
-               for name in ("accounts", "contracts", "customer_master", "fx_rates", "invoices")}
-        for name in ("invoice_line_items", "credit_memos", "payments"):
-            out[name] = stage_table(getattr(self, name)(out["invoices"]), name)
-        out["gl_journal_entries"] = stage_table(
-            self.gl_journal_entries(out["invoices"], out["payments"]), "gl_journal_entries")
-        out["query_history"] = self.query_history()
-        out["warehouse_metering"] = self.warehouse_metering()
-        out["analyst_entity_access"] = self.analyst_entity_access()
-        return out
+    def land(self) -> LandedTables:
+        return LandedTables(self)
+
+
+class LandedTables(Mapping):
+    """The derived tables, each written to the shared folder when it is first asked for."""
+
+    _needs = {"invoice_line_items": ("invoices",), "payments": ("invoices",),
+              "credit_memos": ("invoices",), "gl_journal_entries": ("invoices", "payments")}
+    _unwritten = ("query_history", "warehouse_metering", "analyst_entity_access")
+
+    def __init__(self, star: StarTables):
+        self._star = star
+        self._tables: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            if name not in S.LANDED and name not in self._unwritten:
+                raise KeyError(name)
+            df = getattr(self._star, name)(*[self[n] for n in self._needs.get(name, ())])
+            self._tables[name] = df if name in self._unwritten else stage_table(df, name)
+        return self._tables[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter([*S.LANDED, *self._unwritten])
+
+    def __len__(self) -> int:
+        return len(S.LANDED) + len(self._unwritten)
