@@ -32,6 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOOKBACK_START = "2001-06-02"
 RUN_STARTED_AT = "2001-08-01 06:00:00"
 SLICE_DAY = "1998-06-15"
+DAY_BEFORE = "1998-06-14"
 CUT_DAY = "2000-01-01"
 FRESHNESS_AS_OF = "2001-08-03"
 
@@ -95,7 +96,7 @@ def _staged_files(spark, plan, folder):
     tables.write_backfill({n: plan.landed[n] for n in ("accounts", "credit_memos")}, folder)
     files = landing.list_staged(spark, f"{folder}/*/*.csv")
     return files.groupBy(F.element_at(F.split("file_path", "/"), -2).alias("table_name")).agg(
-        F.count("*").alias("n_files"), F.sum("size_bytes").alias("size_bytes"))
+        (F.sum("size_bytes") > 0).alias("has_content"))
 
 
 def _daily_slice(plan):
@@ -117,6 +118,15 @@ def _insert_if_absent(spark, plan, folder):
     return spark.read.parquet(folder).drop(S.LOADED_AT)
 
 
+def _feed_arrived(spark, plan, folder):
+    """Exports one day of the billing feed, then asks for that day and the one before."""
+    tables.write_daily({n: plan.landed[n] for n in S.BILLING_FEED}, SLICE_DAY, folder)
+    days = [(day, landing.feed_arrived(spark, folder, day, S.BILLING_FEED))
+            for day in (SLICE_DAY, DAY_BEFORE)]
+    return spark.createDataFrame(days, "run_date string, arrived boolean").withColumn(
+        "run_date", F.to_date("run_date"))
+
+
 def _mart_rebuild(spark, plan, folder):
     tables.write_mart(plan.account_waterfall, folder, ["month_end_date"])
     tables.write_mart(plan.account_waterfall, folder, ["month_end_date"])
@@ -365,6 +375,7 @@ def queries() -> dict[str, Query]:
         "staged_files": stored(_staged_files),
         "daily_slice": planned(_daily_slice),
         "daily_slice_lines": planned(_daily_slice_lines),
+        "feed_arrived": stored(_feed_arrived),
         "insert_if_absent": stored(_insert_if_absent),
         "mart_rebuild": stored(_mart_rebuild),
         "snapshot_before_run": stored(_snapshot_before_run),

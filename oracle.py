@@ -4,6 +4,8 @@
 is carried as whole cents up to the first division, so that both engines round the same numbers.
 """
 
+from tallyspark.plans.checks import MODEL_CHECKS, SOURCE_CHECKS
+
 BASE = """
 placed AS MATERIALIZED (
   SELECT o_orderkey AS k, o_custkey AS c, CAST(o_orderdate AS DATE) AS d, o_orderpriority AS pr,
@@ -322,55 +324,56 @@ STG = {
                           "CAST(posting_date AS TIMESTAMP) AS _loaded_at FROM gl",
 }
 
-ARR = {
-    "date_spine_daily": q("SELECT date_day FROM days"),
-    "month_end_spine": q("SELECT month_end_date FROM months"),
-    "fx_daily_filled": q(f"SELECT rate_date, quote_currency, {cents('fx_rate', digits=6)}, "
+ARR_MODELS = {
+    "date_spine_daily": ("SELECT date_day FROM days"),
+    "month_end_spine": ("SELECT month_end_date FROM months"),
+    "fx_daily_filled": (f"SELECT rate_date, quote_currency, {cents('fx_rate', digits=6)}, "
                          "is_fx_rate_filled FROM fxd"),
-    "contract_versions": q(f"""
+    "contract_versions": f"""
         SELECT contract_version_sk, contract_id, version_number, account_id, acc.region,
           acc.legal_entity, effective_start_date, effective_end_date_exclusive,
           {amount('arr_amount', 'arr_cents')}, ver.currency, seats, plan_tier, amendment_type,
           created_at AS contract_version_recorded_at, is_backdated, co_termination_group,
           amendment_type = 'churn' AS is_churn_version
-        FROM ver JOIN acc USING (account_id)"""),
-    "customer_master_versions": q("""
+        FROM ver JOIN acc USING (account_id)""",
+    "customer_master_versions": """
         SELECT md5(account_id || '-' || version) AS customer_master_sk, account_id,
           CAST(version AS BIGINT) AS customer_master_version, billing_contact_name,
           billing_contact_email, tax_id, address_line1, city, region, legal_entity, updated_at,
           coalesce(lead(updated_at) OVER (PARTITION BY account_id ORDER BY version),
                    DATE '9999-12-31') AS effective_end_date_exclusive,
           version = max(version) OVER (PARTITION BY account_id) AS is_current_version
-        FROM cust"""),
-    "contract_arr_monthly": q(f"""
+        FROM cust""",
+    "contract_arr_monthly": f"""
         SELECT month_end_date, contract_id, account_id, region, legal_entity, segment,
           version_number, {amount('arr_local', 'local_cents')}, currency, seats, plan_tier,
           amendment_type, is_backdated, co_termination_group,
           {cents('fx_rate', 'fx_rate_at_month_end', 6)}, {cents('arr_usd')}
-        FROM carr"""),
-    "account_arr_monthly": q(f"""
+        FROM carr""",
+    "account_arr_monthly": f"""
         SELECT month_end_date, account_id, region, legal_entity, {cents('account_arr_usd')},
-          {cents('prior_account_arr_usd')}, account_ever_had_arr_before FROM aarr"""),
-    "arr_bridge_monthly": q(f"""
+          {cents('prior_account_arr_usd')}, account_ever_had_arr_before FROM aarr""",
+    "arr_bridge_monthly": f"""
         SELECT month_end_date, contract_id, account_id, region, legal_entity, segment, currency,
           {amount('arr_local', 'local_cents')}, {cents('arr_usd')}, CAST(seq AS INTEGER) AS contract_month_seq,
           {cents('prior_usd', 'prior_arr_usd_filled')}, {cents('real_usd', 'real_component_usd')},
           {cents('drift_usd', 'fx_component_usd')}, {cents('prior_account_arr_usd')},
-          account_ever_had_arr_before FROM bri"""),
-    "arr_movements": q(f"""
+          account_ever_had_arr_before FROM bri""",
+    "arr_movements": f"""
         SELECT md5(contract_id || '-' || strftime(month_end_date, '%Y-%m-%d')) AS arr_movement_sk,
           month_end_date, contract_id, account_id, region, legal_entity, segment, currency,
           {amount('arr_local', 'local_cents')}, {cents('arr_usd')},
           {cents('prior_usd', 'prior_arr_usd')}, {cents('real_usd', 'real_component_usd')},
-          {cents('drift_usd', 'fx_component_usd')}, movement_type FROM mov"""),
-    "arr_waterfall_account": q(f"""
+          {cents('drift_usd', 'fx_component_usd')}, movement_type FROM mov""",
+    "arr_waterfall_account": f"""
         SELECT month_end_date, account_id, region, legal_entity, segment,
-          {cents_of(('account_arr_usd', *MOVES))} FROM awf"""),
-    "arr_waterfall_portfolio": q(f"""
+          {cents_of(('account_arr_usd', *MOVES))} FROM awf""",
+    "arr_waterfall_portfolio": f"""
         SELECT month_end_date,
           {cents_of(('total_arr_usd', 'prior_total_arr_usd', *MOVES, 'net_movement_usd'))}
-        FROM pwf"""),
+        FROM pwf""",
 }
+ARR = {name: q(body) for name, body in ARR_MODELS.items()}
 
 _NEWEST = "SELECT * FROM pwf ORDER BY month_end_date DESC LIMIT 1"
 _BARS = """
@@ -672,6 +675,76 @@ QUALITY = {
               UNION ALL SELECT 'gl_journal_entries', max(posting_date), 840, 960 FROM gl) t"""),
 }
 
+_FROM = {
+    "fct_revenue_reconciliation_monthly": _RECON_ALL,
+    "dim_customer": f"SELECT {_CLEAR} FROM cur",
+    "rpt_restatement_log": f"SELECT TIMESTAMP '2001-08-01 06:00:00' AS run_started_at, k.* FROM ({_KEYS}) k",
+    "int_date_spine_daily": ARR_MODELS["date_spine_daily"],
+    "int_date_spine_month_end": ARR_MODELS["month_end_spine"],
+    "int_fx_rates_daily_filled": ARR_MODELS["fx_daily_filled"],
+    "int_customer_master_versions": ARR_MODELS["customer_master_versions"],
+    "int_contract_versions": ARR_MODELS["contract_versions"],
+    "int_contract_arr_monthly": ARR_MODELS["contract_arr_monthly"],
+    "int_account_arr_monthly": ARR_MODELS["account_arr_monthly"],
+    "int_contract_arr_bridge_monthly": ARR_MODELS["arr_bridge_monthly"],
+    "fct_arr_movements": ARR_MODELS["arr_movements"],
+    "fct_arr_waterfall_account_monthly": ARR_MODELS["arr_waterfall_account"],
+    "fct_arr_waterfall_portfolio_monthly": ARR_MODELS["arr_waterfall_portfolio"],
+    **{f"stg_{name}": "SELECT " + body for name, body in STG.items()},
+}
+# The staged columns under the names they have as landed.
+_LANDED = {
+    "accounts": "SELECT * FROM acc",
+    "contracts": "SELECT *, arr_cents AS arr_amount FROM contract_rows",
+    "customer_master": "SELECT * FROM cust",
+    "fx_rates": "SELECT *, 'USD' AS base_currency FROM fx_raw",
+    "invoices": "SELECT *, cents AS amount FROM inv",
+    "invoice_line_items": "SELECT *, cents AS amount FROM lines",
+    "credit_memos": "SELECT *, cents AS amount FROM memo",
+    "payments": "SELECT *, cents AS amount FROM pay",
+    "gl_journal_entries": "SELECT *, cents AS amount FROM gl",
+}
+
+
+def declared(tables: dict[str, str], catalogue) -> str:
+    """Every declared check as one row counting its violations."""
+    parts = []
+
+    def add(table, check, column, violations):
+        parts.append(f"SELECT '{table}' AS table_name, '{check}' AS check_name, "
+                     f"'{column}' AS column_name, count(*) AS violations FROM ({violations}) v")
+
+    for table, checks in catalogue.items():
+        rows = f"t_{table}"
+        for c in checks.not_null:
+            add(table, "not_null", c, f"SELECT 1 FROM {rows} WHERE {c} IS NULL")
+        for c, values in checks.accepted.items():
+            allowed = ", ".join(f"'{v}'" for v in values)
+            add(table, "accepted_values", c, f"SELECT 1 FROM {rows} WHERE {c} NOT IN ({allowed})")
+        for c in checks.unique:
+            add(table, "unique", c, f"SELECT {c} FROM {rows} WHERE {c} IS NOT NULL GROUP BY 1 "
+                                    "HAVING count(*) > 1")
+        for c, (parent, key) in checks.parents.items():
+            add(table, "relationships", c, f"SELECT DISTINCT {c} FROM {rows} WHERE {c} NOT IN "
+                                           f"(SELECT {key} FROM t_{parent})")
+        if checks.combination:
+            columns = ", ".join(checks.combination)
+            add(table, "unique_combination", columns,
+                f"SELECT {columns} FROM {rows} GROUP BY ALL HAVING count(*) > 1")
+    return q("\nUNION ALL ".join(parts), RECON, _CURRENT,
+             *[f"t_{name} AS MATERIALIZED ({body})" for name, body in tables.items()])
+
+
+QUALITY["declared_source_checks"] = declared(_LANDED, SOURCE_CHECKS)
+QUALITY["declared_model_checks"] = declared(_FROM, MODEL_CHECKS)
+SOURCES["staged_files"] = q("""
+    SELECT 'accounts' AS table_name, count(*) > 0 AS has_content FROM acc
+    UNION ALL SELECT 'credit_memos', count(*) > 0 FROM memo""")
+SOURCES["feed_arrived"] = q("""
+    SELECT DATE '1998-06-15' AS run_date,
+      (SELECT count(*) > 0 FROM gl WHERE posting_date = DATE '1998-06-15') AS arrived
+    UNION ALL SELECT DATE '1998-06-14', FALSE""")
+
 STATEMENTS: dict[str, str] = {
     **{f"stg_{name}": q("SELECT " + body) for name, body in STG.items()},
     **ARR, **DASHBOARD, **RECONCILIATION, **BILLING, **GOVERNANCE, **COST, **SOURCES, **QUALITY,
