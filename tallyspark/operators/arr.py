@@ -112,9 +112,8 @@ def contract_arr_monthly(versions: DataFrame, accounts: DataFrame, month_spine:
     if spans is None:
         spans = contract_spans(versions, accounts, month_spine, open_churn)
     rows = _without_false_zeros(_expand(versions, spans))
-    month_rates = fx.join(month_spine, fx.rate_date == month_spine.month_end_date, "left_semi")
     local = F.coalesce("arr_amount", F.lit(0).cast(S.MONEY))
-    with_rate = rate_on(rows, month_rates, "month_end_date",
+    with_rate = rate_on(rows, fx, "month_end_date",
                         F.coalesce("currency", F.lit(S.BASE_CURRENCY)), "fx_rate_at_month_end")
     return with_rate.select(
         "month_end_date", "contract_id", "account_id", "region", "legal_entity", "segment",

@@ -16,6 +16,9 @@ from tallyspark import schemas as S
 from tallyspark.functions.scalar import fill_backward, fill_forward, guarded_divide
 
 
+BROADCAST_ROWS = 1_000_000
+
+
 def fx_daily_filled(daily: DataFrame, rates: DataFrame,
                     currencies: Sequence[str] = S.CURRENCIES) -> DataFrame:
     """One rate per day and currency: the last known one, else the first one to come."""
@@ -31,6 +34,17 @@ def fx_daily_filled(daily: DataFrame, rates: DataFrame,
         F.col("_observed").isNull().alias("is_fx_rate_filled"))
 
 
+def broadcast_rates(fx: DataFrame, days: int, currencies: Sequence[str] = S.CURRENCIES,
+                    row_limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Marks filled rates for broadcast where the calendar window keeps them below ``row_limit``.
+
+    Without the mark, a cluster with automatic broadcasts turned off would shuffle every fact by
+    day and currency, onto a few thousand very uneven keys. Beyond the limit the join is left to
+    Spark, whose adaptive skew handling splits such keys.
+    """
+    return F.broadcast(fx) if days * len(currencies) <= row_limit else fx
+
+
 def rate_on(df: DataFrame, fx: DataFrame, day: str, currency: Column | str, into: str) -> DataFrame:
     """Adds the rate of ``day`` and ``currency``; NULL where the spine has no such day."""
     currency = F.col(currency) if isinstance(currency, str) else currency

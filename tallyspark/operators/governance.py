@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tallyspark import schemas as S
 from tallyspark.functions.masking import Mask, mask_email, mask_pii_text, mask_tax_id
 
+BROADCAST_ENTITIES = 100_000
+
 CUSTOMER_MASKS: dict[str, Mask] = {
     "billing_contact_name": mask_pii_text,
     "billing_contact_email": mask_email,
@@ -31,11 +33,15 @@ def row_access(df: DataFrame, mapping: DataFrame, role: str, user: str,
                all_entity_roles: Sequence[str] = S.ALL_ENTITY_ROLES) -> DataFrame:
     """All rows for roles that see every entity, else the rows of the user's own entities.
 
-    The mapping is tiny next to the data; Spark broadcasts it by its measured size.
+    Entities are few and hold many rows each, so shuffling by entity would be uneven. The user's
+    entities are counted first (a small job on the mapping) and broadcast when within the limit;
+    a longer list is joined as Spark sees fit.
     """
     if role in all_entity_roles:
         return df
     mine = mapping.where(F.col("user_name") == user).select("legal_entity").distinct()
+    if mine.limit(BROADCAST_ENTITIES + 1).count() <= BROADCAST_ENTITIES:
+        mine = F.broadcast(mine)
     return df.join(mine, "legal_entity", "left_semi").select(*df.columns)
 
 

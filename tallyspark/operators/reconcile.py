@@ -53,13 +53,15 @@ class Facts:
         """The facts dated in the given months, which lie between ``first`` and ``last``.
 
         The range is a plain comparison of the date column, so it reaches the scans and prunes
-        files and partitions; the months in between that are not wanted fall to the semi join.
+        files and partitions; the months in between that are not wanted fall to the semi join. The
+        calendar bounds the broadcast: there is at most one row per month of the range.
         """
         after_last = F.add_months(F.lit(last), 1)
 
         def cut(df: DataFrame, day: str) -> DataFrame:
             return (df.where((F.col(day) >= F.lit(first)) & (F.col(day) < after_last))
-                    .join(months, month_start(day) == months.month_start, "left_semi"))
+                    .join(F.broadcast(months), month_start(day) == months.month_start,
+                          "left_semi"))
 
         return Facts(cut(self.invoices, "invoice_date"), cut(self.credit_memos, "issue_date"),
                      cut(self.landed_payments, "payment_date"),

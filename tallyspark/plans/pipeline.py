@@ -95,7 +95,9 @@ class RevenuePlan:
 
     @cached_property
     def fx(self) -> DataFrame:
-        return self.stage(fx.fx_daily_filled(self.daily, self.fx_rates).coalesce(1), "fx_daily")
+        first, last = self.window
+        filled = fx.fx_daily_filled(self.daily, self.fx_rates).coalesce(1)
+        return fx.broadcast_rates(self.stage(filled, "fx_daily"), (last - first).days + 1)
 
     # -- recurring revenue ------------------------------------------------------------------
     @cached_property

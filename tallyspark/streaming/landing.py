@@ -57,7 +57,9 @@ def stream_payments_staging(spark: SparkSession, raw: str, target: str, checkpoi
         landed = batch.sparkSession.read.schema(schema).parquet(raw).withColumn("_period", period)
         # The range reaches the scan; rows without a date form a period of their own.
         near = landed.where(((day >= F.lit(first)) & (day < after_last)) | day.isNull())
-        touched = near.join(periods, F.col("_period").eqNullSafe(F.col("period")), "left_semi")
+        # At most one row per day of the calendar.
+        touched = near.join(F.broadcast(periods),
+                            F.col("_period").eqNullSafe(F.col("period")), "left_semi")
         staged = dedupe_payments(touched.select(*schema.fieldNames()))
         overwrite_partitions(staged.withColumn("period", period), target, ["period"])
 
