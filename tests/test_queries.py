@@ -1,5 +1,7 @@
 """Every registered query against its SQL twin, and the identities over the derived tables."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -25,6 +27,9 @@ def test_every_statement_has_a_query():
 def test_query_matches_sql(spark, database, name):
     df = entry.queries()[name](spark, FOLDER)
     mine = [tuple(r) for r in df.collect()]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert "Python" not in plan
     if name not in entry.oracle_sql():
         if name.startswith("declared_"):
             violations = {(r.table_name, r.check_name, r.column_name)
@@ -37,5 +42,18 @@ def test_query_matches_sql(spark, database, name):
     assert normal(mine, df.columns) == normal(cursor.fetchall(), names)
 
 
+def test_movements_shuffle_contract_months_once(spark):
+    """At scale the window over a contract and the join of its opening history share a shuffle."""
+    plan = entry.plan_for(spark, FOLDER)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan.movements._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_contract = re.findall(r"Exchange hashpartitioning\(contract_id", text)
+    assert len(by_contract) == 2
+    assert "BroadcastHashJoin [_prior_month" in re.sub(r"#\d+L?", "", text)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 70
