@@ -8,6 +8,7 @@ can be written as plain SQL.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,17 @@ class StarTables:
     def _account_id(self, key: str = "c_custkey") -> Column:
         return padded_id("ACC", key, 6)
 
+    @cached_property
     def _orders(self) -> DataFrame:
+        """Ranked orders, written once: contracts and invoices both start from them."""
+        return stage_table(self._ranked_orders(), "ranked_orders")
+
+    @cached_property
+    def _lines(self) -> DataFrame:
+        """Ranked order lines, written once: invoice lines and payments both start from them."""
+        return stage_table(self._ranked_lines(), "ranked_lines")
+
+    def _ranked_orders(self) -> DataFrame:
         """Orders with their place in the customer's history and the contract they belong to."""
         orders = self._read("orders").select(
             "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"),
@@ -106,7 +117,7 @@ class StarTables:
     def contracts(self) -> DataFrame:
         churned = F.col("amendment_type") == "churn"
         late = F.col("o_orderkey") % 4 == 0
-        df = self._orders().select(
+        df = self._orders.select(
             "contract_id", "version_number", self._account_id("o_custkey").alias("account_id"),
             F.col("order_date").alias("effective_start_date"),
             F.when(churned, F.col("order_date")).alias("effective_end_date"),
@@ -160,13 +171,13 @@ class StarTables:
         return _stamped(df, "fx_rates")
 
     def invoices(self) -> DataFrame:
-        df = self._orders().where("amendment_type <> 'churn'").select(
+        df = self._orders.where("amendment_type <> 'churn'").select(
             padded_id("INV", "o_orderkey", 7).alias("invoice_id"), "contract_id",
             self._account_id("o_custkey").alias("account_id"),
             F.col("order_date").alias("invoice_date"), "currency", F.col("price").alias("amount"))
         return _stamped(df, "invoices")
 
-    def _lines(self) -> DataFrame:
+    def _ranked_lines(self) -> DataFrame:
         lines = self._read("lineitem").select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
             F.to_date("l_shipdate").alias("ship_date"),
@@ -180,7 +191,7 @@ class StarTables:
 
     def invoice_line_items(self, invoices: DataFrame) -> DataFrame:
         billed = invoices.select("invoice_id", "invoice_date")
-        df = self._lines().join(billed, "invoice_id").select(
+        df = self._lines.join(billed, "invoice_id").select(
             F.concat("invoice_id", F.lit("-L"), F.col("line").cast("string"))
             .alias("invoice_line_id"), "invoice_id",
             F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("description"),
@@ -193,7 +204,7 @@ class StarTables:
         billed = invoices.select("invoice_id", "account_id", "currency")
         copies = F.when(F.col("l_suppkey") % 33 == 0, F.array(F.lit(""), F.lit("-D"))).otherwise(
             F.array(F.lit("")))
-        df = (self._lines().join(billed, "invoice_id").withColumn("copy", F.explode(copies)).select(
+        df = (self._lines.join(billed, "invoice_id").withColumn("copy", F.explode(copies)).select(
             F.concat(F.format_string("PAY-%07d-%03d", "l_orderkey", "line"), "copy")
             .alias("payment_id"),
             "invoice_id", "account_id", F.col("ship_date").alias("payment_date"),
