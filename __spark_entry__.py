@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 import uuid
@@ -29,6 +30,28 @@ from tallyspark.streaming import landing as streams  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+def _present(module: str) -> bool:
+    try:
+        return importlib.util.find_spec(module) is not None
+    except ModuleNotFoundError:
+        return False
+
+
+LLM_QUERIES: dict[str, Query] = {}
+LLM_SQL: dict[str, str] = {}
+if _present("tallyspark.llm.queries"):
+    from tallyspark.llm import queries as llm  # noqa: E402
+
+    LLM_QUERIES |= llm.QUERIES
+    LLM_SQL |= llm.ORACLE_SQL
+    if _present("corpus_pipeline"):
+        import corpus_pipeline  # noqa: E402
+
+        LLM_QUERIES["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            LLM_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 LOOKBACK_START = "2001-06-02"
 RUN_STARTED_AT = "2001-08-01 06:00:00"
 SLICE_DAY = "1998-06-15"
@@ -413,8 +436,8 @@ def queries() -> dict[str, Query]:
         "declared_model_checks": planned(
             lambda p: checks.check_report(_models(p), checks.MODEL_CHECKS)),
     }
-    return q
+    return q | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle.STATEMENTS)
+    return oracle.STATEMENTS | LLM_SQL
