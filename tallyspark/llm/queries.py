@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import packing, pieces
+from tallyspark.llm import packing, pieces, quality
 from tallyspark.llm.shipping import ship
 
 
@@ -21,12 +21,17 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_documents(spark, sf_dir))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest_texts(_documents(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
 
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_quality_rules": op4_quality_rules,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
