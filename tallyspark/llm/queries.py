@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import packing, pieces, quality
+from tallyspark.llm import packing, pieces, quality, secrets
 from tallyspark.llm.shipping import ship
 
 
@@ -25,6 +25,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_documents(spark, sf_dir))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_documents(spark, sf_dir))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest_texts(_documents(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
 
@@ -32,6 +36,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_packing": op2_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op6_secret_scan": op6_secret_scan,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
