@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import packing, pieces, quality, secrets
+from tallyspark.llm import fingerprints, packing, pieces, quality, secrets
 from tallyspark.llm.shipping import ship
 
 
@@ -17,6 +17,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(_documents(spark, sf_dir))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"))
 
@@ -34,6 +38,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_order_minhash": op1_order_minhash,
     "op2_packing": op2_packing,
     "op4_quality_rules": op4_quality_rules,
     "op6_secret_scan": op6_secret_scan,

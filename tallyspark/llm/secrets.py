@@ -90,7 +90,7 @@ def _found(text: Column, pattern: str, kind: int, keep: Callable[[Column], Colum
 def base_spans(text: Column) -> Column:
     """The spans of the fixed patterns, by start and then by kind."""
     assign = _found(text, ASSIGN, 0, lambda v: F.length(v) >= LEAST_VALUE, group=1)
-    return F.array_sort(F.concat(assign, _found(text, ACCESS, 1), _found(text, HEX, 2)))
+    return F.sort_array(F.concat(assign, _found(text, ACCESS, 1), _found(text, HEX, 2)))
 
 
 def _numbers(values: list) -> Column:
@@ -205,7 +205,7 @@ def scan(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
     return found.select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(spell(F.col("base")), 256).alias("base_sha256"),
-        spell(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        spell(F.sort_array(F.concat("base", "added"))).alias("spans"),
         F.size("added").cast("long").alias("n_random"))
 
 
@@ -217,7 +217,7 @@ def redact(docs: DataFrame, table: list[float] | None = None, mark: str = "[secr
     names = docs.columns
     table = table or train(labelled_samples(docs))
     found = find(docs.withColumn("__text", F.col("text")), table).withColumn(
-        "__spans", F.array_sort(F.concat("base", "added")))
+        "__spans", F.sort_array(F.concat("base", "added")))
     def parts(chars, spans):
         past = running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
         last = F.array_max(F.transform(spans, lambda s: s["end"]))
