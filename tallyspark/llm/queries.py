@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyspark.llm import fingerprints, packing, pieces, quality, secrets
+from tallyspark.llm import fingerprints, packing, pieces, quality, scoring, secrets
 from tallyspark.llm.shipping import ship
 
 
@@ -17,6 +18,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _remainder(divisor: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_documents(spark, sf_dir))
 
@@ -25,6 +30,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(_documents(spark, sf_dir), _remainder(7) == 2)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_documents(spark, sf_dir))
 
@@ -40,6 +49,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_packing": op2_packing,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
     "op6_secret_scan": op6_secret_scan,
     "op9_sentencepiece": op9_sentencepiece,
