@@ -18,7 +18,7 @@ from tallyspark.session import stage_table
 
 TOKEN = r"[^\s]{1,16}"
 #: Hexadecimal digits of one position of a fingerprint.
-DIGITS = 8
+DIGITS = 4
 EMPTY = "-" * DIGITS
 
 
@@ -61,7 +61,7 @@ def _numbered(kmers: Column) -> Column:
 
 
 def fingerprint(text: Column, functions: int = 32, tuple_size: int = 2, k: int = 3) -> Column:
-    """``functions`` positions of eight hexadecimal digits each; a fixed string without tokens.
+    """``functions`` positions of four hexadecimal digits each; a fixed string without tokens.
 
     ``functions`` is a power of two. Texts with the same tokens have the same fingerprint.
     """
