@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import fingerprints, packing, pieces, quality, scoring, secrets
+from tallyspark.llm import fingerprints, neardups, packing, pieces, quality, scoring, secrets
 from tallyspark.llm.shipping import ship
 
 
@@ -42,6 +42,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_documents(spark, sf_dir))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardups.near_duplicates(_documents(spark, sf_dir))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest_texts(_documents(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
     "op6_secret_scan": op6_secret_scan,
+    "op7_near_duplicates": op7_near_duplicates,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
