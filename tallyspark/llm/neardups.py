@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tallyspark.llm.batches import (
     LOWER, flat, mix, slices, span_hashes, window_hashes, word_spans,
 )
+from tallyspark.llm.candidates import alike_by_rarest, bucket_pairs, unresolved
 from tallyspark.llm.components import components
 from tallyspark.session import stage_table
 
@@ -30,8 +31,6 @@ BASE = 1.001
 OFFSET = 4000
 #: A register stays empty with a probability of about exp(-REACH) for a whole document.
 REACH = 7.0
-#: Buckets up to this size are compared pair by pair.
-SMALL = 16
 #: Nats by which the similarity may fall behind the most likely one before a pair is rejected.
 SLACK = 14.0
 
@@ -160,26 +159,6 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return _sets(texts).join(wanted.select("key"), "key", "left_semi")
 
 
-def _pairs(bands: DataFrame) -> DataFrame:
-    """a, b: candidates from buckets. A large bucket's members meet its least member, and the least
-    of those that also agree in a register more and in two; see ``near_duplicates`` for the rest."""
-    sized = bands.join(bands.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min("key").alias("hub")).filter("size > 1"), "bucket")
-    small = sized.filter(F.col("size") <= SMALL).select("bucket", "key")
-    within = small.select("bucket", F.col("key").alias("a")).join(
-        small.select("bucket", F.col("key").alias("b")), "bucket").filter("a < b")
-    large = sized.filter(F.col("size") > SMALL)
-    to_hub = [large.select(F.col("hub").alias("a"), F.col("key").alias("b"))]
-    for extra in (["next_one"], ["next_one", "next_two"]):
-        hubs = large.groupBy("bucket", *extra).agg(F.min("key").alias("a"))
-        to_hub.append(large.select("bucket", *extra, F.col("key").alias("b")).join(
-            hubs, ["bucket", *extra]).select("a", "b"))
-    out = within.select("a", "b")
-    for pairs in to_hub:
-        out = out.unionByName(pairs.filter("a < b"))
-    return out.distinct()
-
-
 def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` whose registers do not rule them out and whose full sets are alike."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,35 +186,6 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -
         100 * both >= percent * (F.size("items_a") + F.size("items_b") - both)).select("a", "b")
 
 
-def _prefix_pairs(nodes: DataFrame, docs: DataFrame, unresolved: DataFrame, joined: DataFrame,
-                  percent: int) -> DataFrame:
-    """Every pair among the sets in ``unresolved`` that may be alike and is not yet joined.
-
-    Two sets can only be alike if their rarest shingles, a share of each set that the least
-    similarity gives, have one in common. Common passages are not among the rarest.
-    """
-    sets = stage_table(sets_of(docs, nodes.join(unresolved, "key", "left_semi")), "unresolved")
-    items = sets.join(joined, sets["key"] == joined["node"], "left").select(
-        "key", F.coalesce("component", "key").alias("component"), F.size("items").alias("n"),
-        F.explode("items").alias("item"))
-    rare = items.join(items.groupBy("item").agg(F.count("*").alias("df")).filter("df > 1"), "item",
-                      "left")
-    taken = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    ranked = rare.groupBy("key", "component", "n").agg(F.sort_array(F.collect_list(F.struct(
-        F.coalesce("df", F.lit(1)).alias("df"), "item"))).alias("r"))
-    prefix = ranked.select("key", "component", F.explode(F.slice(
-        "r", F.lit(1), taken.cast("int"))).alias("p")).filter("p.df > 1").select(
-            "key", "component", F.col("p.item").alias("item"))
-    prefix = stage_table(prefix, "prefixes")
-    # An item whose sets are all joined already gives nothing.
-    mixed = prefix.groupBy("item").agg(F.min("component").alias("x"),
-                                       F.max("component").alias("y")).filter("x <> y")
-    live = prefix.join(mixed.select("item"), "item", "left_semi")
-    one, two = [live.select("item", F.col("key").alias(k), F.col("component").alias(f"c_{k}"))
-                for k in ("a", "b")]
-    return one.join(two, "item").filter("a < b AND c_a <> c_b").select("a", "b").distinct()
-
-
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row of ``docs`` (doc_id, text).
 
@@ -267,21 +217,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
             "key", F.xxhash64("band", part(F.col("band") * 2 * BAND, 2 * BAND)).alias("bucket"),
             part((F.col("band") + 1) * 2 * BAND, 2).alias("next_one"),
             part((F.col("band") + 2) * 2 * BAND, 2).alias("next_two"))
-    links = stage_table(_linked(_pairs(bands), nodes, docs, percent), "links")
+    links = stage_table(_linked(bucket_pairs(bands), nodes, docs, percent), "links")
     joined = stage_table(components(links), "components")
 
-    large = bands.groupBy("bucket").agg(F.count("*").alias("size")).filter(
-        F.col("size") > SMALL).select("bucket")
-    members = bands.select("bucket", "key").join(large, "bucket", "left_semi")
-    members = members.join(joined, members["key"] == joined["node"], "left").select(
-        "bucket", "key", F.coalesce("component", "key").alias("component"))
-    several = members.groupBy("bucket").agg(
-        F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    unresolved = stage_table(members.join(several.select("bucket"), "bucket", "left_semi")
-                             .select("key").distinct(), "unresolved")
-    if not unresolved.isEmpty():
-        more = _linked(_prefix_pairs(nodes, docs, unresolved, joined, percent), nodes, docs,
-                       percent)
+    left = stage_table(unresolved(bands, joined), "unresolved")
+    if not left.isEmpty():
+        rest = stage_table(sets_of(docs, nodes.join(left, "key", "left_semi")), "sets")
+        more = _linked(alike_by_rarest(rest, joined, percent), nodes, docs, percent)
         joined = stage_table(components(links.unionByName(more)), "components")
 
     of_node = nodes.join(joined, nodes["key"] == joined["node"], "left").select(

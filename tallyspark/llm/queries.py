@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import fingerprints, neardups, packing, pieces, quality, scoring, secrets
+from tallyspark.llm import fingerprints, lines, neardups, packing, pieces, quality, scoring, secrets
 from tallyspark.llm.shipping import ship
 
 
@@ -50,6 +50,12 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest_texts(_documents(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(_documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias(
+        "n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_packing": op2_packing,
@@ -58,6 +64,7 @@ QUERIES = {
     "op6_secret_scan": op6_secret_scan,
     "op7_near_duplicates": op7_near_duplicates,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
