@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import fingerprints, lines, neardups, packing, pieces, quality, scoring, secrets
+from tallyspark.llm import (
+    fingerprints, langid, lines, neardups, packing, pieces, quality, scoring, secrets,
+)
 from tallyspark.llm.shipping import ship
 
 
@@ -38,6 +40,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_documents(spark, sf_dir))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.learn_and_identify(_documents(spark, sf_dir), _remainder(4) == 2)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_documents(spark, sf_dir))
 
@@ -61,6 +67,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
+    "op5_language_id": op5_language_id,
     "op6_secret_scan": op6_secret_scan,
     "op7_near_duplicates": op7_near_duplicates,
     "op9_sentencepiece": op9_sentencepiece,
