@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from tallyspark.llm.batches import (
     LOWER, flat, mix, slices, span_hashes, window_hashes, word_spans,
 )
-from tallyspark.llm.candidates import alike_by_rarest, bucket_pairs, unresolved
+from tallyspark.llm.candidates import (
+    alike_by_rarest, bucket_pairs, small_enough, unresolved,
+)
 from tallyspark.llm.components import components
 from tallyspark.session import stage_table
 
@@ -139,6 +141,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
+    """set, items of each row."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -147,16 +150,18 @@ def _sets(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_keys(value, sizes), pa.binary()),
                      pa.ListArray.from_arrays(offsets, pa.array(value.view(np.int64)))],
-                    names=["key", "items"])
+                    names=["set", "items"])
 
-    return docs.mapInArrow(task, "key binary, items array<long>")
+    return docs.select("text").mapInArrow(task, "set binary, items array<long>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key, items of the sets in ``wanted`` (key, doc_id of a document that has it)."""
+    """key, items of the sets in ``wanted`` (key, set, doc_id of a document that has it)."""
     ids = wanted.select(F.col("doc_id").alias("id")).distinct()
-    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["id"]), "left_semi")
-    return _sets(texts).join(wanted.select("key"), "key", "left_semi")
+    texts = docs.join(small_enough(ids), docs["doc_id"].eqNullSafe(ids["id"]), "left_semi")
+    named = wanted.select("key", "set")
+    return _sets(texts).join(small_enough(named), "set").select("key", "items").dropDuplicates(
+        ["key"])
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -175,10 +180,10 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -
                             F.col("sketch").alias(f"sketch_{name}"))
 
     near = stage_table(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(
-        task, "a binary, b binary"), "plausible")
+        task, "a long, b long"), "plausible")
     ends = near.select(F.col("a").alias("key")).unionByName(near.select(F.col("b").alias("key")))
-    sets = sets_of(docs, nodes.select("key", "doc_id").join(ends.distinct(), "key", "left_semi"))
-    sets = stage_table(sets, "sets")
+    named = nodes.select("key", "set", "doc_id").join(ends.distinct(), "key", "left_semi")
+    sets = stage_table(sets_of(docs, named), "sets")
     left, right = [sets.select(F.col("key").alias(k), F.col("items").alias(f"items_{k}"))
                    for k in ("a", "b")]
     both = F.size(F.array_intersect("items_a", "items_b"))
@@ -203,9 +208,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = stage_table(sketches(docs), "sketches")
-    nodes = stage_table(rows.filter("n > 0").groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
-        F.first("sketch").alias("sketch")), "nodes")
+    nodes = stage_table(rows.filter("n > 0").groupBy(F.col("key").alias("set")).agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        .withColumn("key", F.monotonically_increasing_id()), "nodes")
 
     def part(place: Column, length: int) -> Column:
         start = place % (2 * REGISTERS)
@@ -227,10 +232,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         joined = stage_table(components(links.unionByName(more)), "components")
 
     of_node = nodes.join(joined, nodes["key"] == joined["node"], "left").select(
-        "key", "doc_id", F.coalesce("component", "key").alias("component"))
+        "set", "doc_id", F.coalesce("component", "key").alias("component"))
     least = of_node.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = of_node.join(least, "component").select("key", "component_id")
-    out = rows.join(named, "key", "left")
+    named = of_node.join(least, "component").select("set", "component_id")
+    out = rows.join(named, rows["key"] == named["set"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
