@@ -10,9 +10,10 @@ equal positions to the edit distance and not to the sets alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.llm.ordering import successors
 from tallyspark.llm.secrets import let
 from tallyspark.session import stage_table
 
@@ -106,29 +107,6 @@ def likeness(a: Column, b: Column, functions: int = 32) -> Column:
     return F.size(same) / F.lit(float(functions))
 
 
-def successors(keys: DataFrame) -> DataFrame:
-    """Each distinct row of ``keys`` and, as ``next_`` columns, the one after it in ascending order.
-
-    The last row's next is the first. Nulls come first. Ranges of rows are sorted, each in a task
-    of its own, and numbered; only each range's first and last number meet in one task.
-    """
-    names = keys.columns
-    ranked = stage_table(
-        keys.distinct().repartitionByRange(*names).sortWithinPartitions(*names)
-        .withColumn("rank", F.monotonically_increasing_id()), "ranked")
-    ends = ranked.groupBy(F.shiftright("rank", 33).alias("part")).agg(
-        F.min("rank").alias("first"), F.max("rank").alias("rank"))
-    order = Window.orderBy("part")
-    whole = Window.partitionBy()
-    ends = ends.select("rank", F.coalesce(F.lead("first").over(order),
-                                          F.min("first").over(whole)).alias("wrap"))
-    numbered = ranked.join(F.broadcast(ends), "rank", "left").withColumn(
-        "next_rank", F.coalesce("wrap", F.col("rank") + 1))
-    following = ranked.select(F.col("rank").alias("next_rank"),
-                              *[F.col(n).alias(f"next_{n}") for n in names])
-    return numbered.join(following, "next_rank").select(*names, *[f"next_{n}" for n in names])
-
-
 def fingerprint_documents(docs: DataFrame, functions: int = 32, tuple_size: int = 2,
                           k: int = 3) -> DataFrame:
     """Fingerprints of all texts, of their edited texts, and how like they are.

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark.llm.batches import flat, slices
 
@@ -271,7 +272,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     part.columns + [pa.array(langs, pa.string()), pa.array(score, pa.float64())],
                     names=names + ["lang_pred", "score"])
 
-    return slim.mapInArrow(task, slim.schema.add("lang_pred", "string").add("score", "double"))
+    return slim.mapInArrow(task, T.StructType(slim.schema.fields + [
+        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def learn_and_identify(docs: DataFrame, held_out: Column,

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark.llm.batches import LOWER, flat, mix, slices, span_hashes
 from tallyspark.llm.candidates import alike_by_rarest, bucket_pairs, small_enough, unresolved
@@ -215,7 +216,7 @@ def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
         F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.col("gone").alias("__gone"))
     # One row for each id, with what goes from each of its texts.
     gone = gone.groupBy("__id").agg(F.collect_list(F.struct("__h", "__gone")).alias("__gone"))
-    schema = docs.select(*[F.col(f"`{n}`") for n in names]).schema
+    fields = docs.select(*[F.col(f"`{n}`") for n in names]).schema.fields
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,6 +237,6 @@ def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
                     columns + [pa.array(counts, pa.int64()), pa.array(removed, pa.int64())],
                     names=names + ["n_lines", "n_removed"])
 
-    out = schema.add("n_lines", "long").add("n_removed", "long")
+    out = T.StructType(fields + [T.StructField(n, T.LongType()) for n in ("n_lines", "n_removed")])
     joined = docs.join(small_enough(gone), docs["doc_id"].eqNullSafe(F.col("__id")), "left")
     return joined.select(*[F.col(f"`{n}`") for n in names], "__gone").mapInArrow(task, out)

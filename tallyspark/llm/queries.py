@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import (
-    fingerprints, langid, lines, neardups, packing, pieces, quality, scoring, secrets,
+    fingerprints, fixity, langid, lines, neardups, packing, pieces, quality, scoring, secrets,
 )
 from tallyspark.llm.shipping import ship
+from tallyspark.session import stage_table
 
 
 def _tokenizer(name: str) -> str:
@@ -52,6 +53,24 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardups.near_duplicates(_documents(spark, sf_dir))
 
 
+def op8_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, against a replica that lost some and had some changed."""
+    pages = ship(spark).read.parquet(f"{sf_dir}/pages.parquet")
+    html = F.coalesce("html", F.lit(""))
+    changed = F.when(F.col("page_id") % 101 == 3, F.concat(html, F.lit(" "))).when(
+        F.col("page_id") % 97 == 5, F.translate(html, "e", "3")).otherwise(html)
+    mine, theirs = (fixity.warc_record(F.col("page_id"), F.col("url"), x) for x in (html, changed))
+    records = pages.select(
+        "page_id", "url", F.octet_length(mine).cast("long").alias("length"),
+        F.sha2(mine, 256).alias("digest"), F.octet_length(theirs).cast("long").alias("their_length"),
+        F.sha2(theirs, 256).alias("their_digest"))
+    placed = stage_table(fixity.layout(records, "page_id", "url", "digest"), "layout")
+    replica = placed.filter(~F.coalesce(F.col("page_id") % 211 == 7, F.lit(False))).select(
+        "file", "offset", F.col("their_length").alias("length"),
+        F.col("their_digest").alias("digest"))
+    return fixity.audit(placed.select("file", "offset", "length", "digest"), replica)
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest_texts(_documents(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
 
@@ -70,8 +89,43 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_secret_scan": op6_secret_scan,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_fixity_audit": op8_fixity_audit,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_RECORD = """concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: resource', chr(13), chr(10),
+    'WARC-Target-URI: ', coalesce(url, ''), chr(13), chr(10), 'WARC-Record-ID: <urn:page:',
+    coalesce(CAST(page_id AS VARCHAR), ''), '>', chr(13), chr(10), 'Content-Type: text/html',
+    chr(13), chr(10), 'Content-Length: ', strlen({0}), chr(13), chr(10), chr(13), chr(10), {0},
+    chr(13), chr(10), chr(13), chr(10))"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op8_fixity_audit": f"""
+WITH bodies AS (
+    SELECT page_id, url, coalesce(html, '') AS mine,
+        CASE WHEN page_id % 101 = 3 THEN coalesce(html, '') || ' '
+             WHEN page_id % 97 = 5 THEN replace(coalesce(html, ''), 'e', '3')
+             ELSE coalesce(html, '') END AS theirs
+    FROM pages
+), records AS (
+    SELECT page_id, url, {_RECORD.format("mine")} AS a, {_RECORD.format("theirs")} AS b FROM bodies
+), hashed AS (
+    SELECT page_id, strlen(a) AS length, sha256(a) AS digest, strlen(b) AS replica_length,
+        sha256(b) AS replica_digest,
+        row_number() OVER (ORDER BY page_id NULLS FIRST, url NULLS FIRST, sha256(a)) - 1 AS place
+    FROM records
+), placed AS (
+    SELECT *, place // 1000 AS file, CAST(coalesce(sum(length) OVER (
+        PARTITION BY place // 1000 ORDER BY place
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+    FROM hashed
+)
+SELECT file, "offset", CASE WHEN page_id % 211 = 7 THEN 'lost' ELSE 'changed' END AS state,
+    length, digest,
+    CASE WHEN page_id % 211 = 7 THEN NULL ELSE replica_length END AS replica_length,
+    CASE WHEN page_id % 211 = 7 THEN NULL ELSE replica_digest END AS replica_digest
+FROM placed
+WHERE page_id % 211 = 7 OR digest <> replica_digest
+""",
+}
