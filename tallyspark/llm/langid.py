@@ -227,8 +227,10 @@ def _has_letter(text: str | None) -> bool:
 
 
 def _predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-    data, at = flat(texts)
     count = len(texts)
+    if not model.langs:
+        return [UNKNOWN] * count, np.zeros(count)
+    data, at = flat(texts)
     pieces = -(-np.diff(at) // STRETCH)
     owner = np.repeat(np.arange(count), pieces)
     start = at[:-1][owner] + STRETCH * (np.arange(len(owner))
@@ -244,7 +246,7 @@ def _predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         np.add.at(total, owner[rows], sums.T)
     sums = total.sum(1)
     score = total.max(1, initial=0) / np.maximum(sums, 1e-9)
-    best = total.argmax(1) if model.langs else np.zeros(count, dtype=int)
+    best = total.argmax(1)
     out = []
     for i, text in enumerate(texts.to_pylist()):
         if sums[i] > 0 and _has_letter(text):

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tallyspark.llm.batches import LOWER, flat, mix, slices, span_hashes
 from tallyspark.llm.candidates import alike_by_rarest, bucket_pairs, small_enough, unresolved
 from tallyspark.llm.components import components
+from tallyspark.llm.secrets import let
 from tallyspark.session import stage_table
 
 #: Bytes of a shingle; small and capital A-Z count as the same.
@@ -156,9 +157,9 @@ def _items(texts: DataFrame) -> DataFrame:
     """key, items (hashes of its shingles) of each line."""
     data = F.encode(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
                                 "abcdefghijklmnopqrstuvwxyz"), "UTF-8")
-    return texts.select("key", data.alias("data")).select("key", F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("data") - SHINGLE + 1)),
-        lambda i: F.xxhash64(F.substring("data", i, F.lit(SHINGLE))))).alias("items"))
+    return texts.select("key", let(data, lambda d: F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(d) - SHINGLE + 1)),
+        lambda i: F.xxhash64(F.substring(d, i, F.lit(SHINGLE)))))).alias("items"))
 
 
 def duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
