@@ -156,14 +156,27 @@ def _mart_rebuild(spark, plan, folder):
     return spark.read.parquet(folder)
 
 
-def _stream_landing(spark, plan, folder):
-    invoices = plan.landed["invoices"]
-    for delivery in ("first", "again"):
-        tables.write_backfill({"invoices": invoices}, f"{folder}/in/{delivery}")
+def _stream_landing(max_files=None):
+    """Two deliveries of every invoice are waiting, the later with other amounts."""
+    def build(spark, plan, folder):
+        invoices = plan.landed["invoices"]
+        for delivery, more in (("first", 0), ("later", 100)):
+            tables.write_backfill({"invoices": invoices.withColumn(
+                "amount", (F.col("amount") + more).cast("decimal(18,2)"))},
+                f"{folder}/in/{delivery}")
         streams.stream_landing(
             spark, f"{folder}/in/*/invoices", S.LANDED["invoices"], S.NATURAL_KEYS["invoices"],
-            f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{folder}/table").drop(S.LOADED_AT)
+            f"{folder}/table", f"{folder}/checkpoint", max_files=max_files,
+            prune=["invoice_date"]).awaitTermination()
+        return spark.read.parquet(f"{folder}/table").drop(S.LOADED_AT)
+    return build
+
+
+def _landing_csv_multiline(spark, sf_dir):
+    """All documents, with their line breaks and quotes, through CSV files and back."""
+    folder, docs = scratch(spark), spark.read.parquet(f"{sf_dir}/documents.parquet")
+    tables.write_backfill({"documents": docs}, folder)
+    return landing.read_landing_csv(spark, f"{folder}/documents", docs.schema, multi_line=True)
 
 
 def _stream_payments_staging(spark, plan, folder):
@@ -402,7 +415,9 @@ def queries() -> dict[str, Query]:
         "insert_if_absent": stored(_insert_if_absent),
         "mart_rebuild": stored(_mart_rebuild),
         "snapshot_before_run": stored(_snapshot_before_run),
-        "stream_landing": stored(_stream_landing),
+        "stream_landing": stored(_stream_landing()),
+        "stream_landing_file_by_file": stored(_stream_landing(max_files=1)),
+        "landing_csv_multiline": _landing_csv_multiline,
         "stream_payments_staging": stored(_stream_payments_staging),
         # quality
         "check_not_null": planned(lambda p: quality.not_null(

@@ -615,6 +615,11 @@ SOURCES = {
                              reconciled("rec", f"arrived < {SINCE}")),
     "stream_landing": q(f"""
         SELECT invoice_id, contract_id, account_id, invoice_date, currency, {amount()} FROM inv"""),
+    "stream_landing_file_by_file": q(f"""
+        SELECT invoice_id, contract_id, account_id, invoice_date, currency, {amount()} FROM inv"""),
+    "landing_csv_multiline": """
+        SELECT doc_id, CASE WHEN text NOT IN ('', 'NULL', 'null') THEN text END AS text, lang, source,
+          n_chars FROM documents""",
     "stream_payments_staging": q(f"SELECT {_PAYMENT} FROM paid"),
 }
 

@@ -23,7 +23,7 @@ def _typed(name: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.to_timestamp(text, TIMESTAMP_FORMAT).cast(dtype)
     if isinstance(dtype, T.LongType):
-        return text.cast("decimal(38,6)").cast(dtype)
+        return F.round(text.cast("decimal(38,6)")).cast(dtype)
     return text.cast(dtype)
 
 
@@ -31,22 +31,26 @@ def as_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
 
 
-def typed_rows(text_rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Text columns as the types of ``schema``, with the NULL texts mapped first."""
-    return text_rows.select(*[_typed(f.name, f.dataType).alias(f.name) for f in schema.fields])
+def typed_rows(text_rows: DataFrame, schema: T.StructType, *others: str) -> DataFrame:
+    """Text columns as the types of ``schema``, with the NULL texts mapped first; ``others`` stay."""
+    return text_rows.select(*[_typed(f.name, f.dataType).alias(f.name) for f in schema.fields],
+                            *others)
 
 
 def csv_options(multi_line: bool = False) -> dict[str, str]:
-    return {"header": "true", "sep": ",", "quote": '"', "escape": '"',
-            "multiLine": str(multi_line).lower()}
+    """Pruned columns would hide rows of the wrong length, so every column is parsed."""
+    return {"header": "true", "sep": ",", "quote": '"', "escape": '"', "mode": "FAILFAST",
+            "columnPruning": "false", "multiLine": str(multi_line).lower()}
 
 
 def read_landing_csv(spark: SparkSession, path: str, schema: T.StructType,
                      multi_line: bool = False) -> DataFrame:
     """Comma-separated files with a header row; columns are taken by position.
 
-    A text that does not fit its type is an error. ``multi_line`` reads line breaks inside quotes,
-    at the price of one task per file.
+    A text that does not fit its type, and a row with too few or too many columns, is an error,
+    also where only some columns are asked for. A fraction in a column of whole numbers is rounded,
+    halves away from zero. ``multi_line`` reads line breaks inside quotes, at the price of one task
+    per file; without it a row that a break cuts is an error.
     """
     rows = spark.read.schema(as_text(schema)).options(**csv_options(multi_line)).csv(path)
     return typed_rows(rows, schema)

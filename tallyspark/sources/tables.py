@@ -45,15 +45,41 @@ def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
+def within_range(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``target`` cut to the range of values that ``source`` has in each column, as literals.
+
+    They reach the scan, and choose its partitions where the table is partitioned by the column.
+    """
+    if not columns:
+        return target
+    ends = source.agg(*[f(F.col(c)).alias(f"{n}_{c}") for c in columns
+                        for f, n in ((F.min, "min"), (F.max, "max"))],
+                      *[F.bool_or(F.col(c).isNull()).alias(f"null_{c}") for c in columns]).first()
+    for c in columns:
+        near = F.col(c).between(F.lit(ends[f"min_{c}"]), F.lit(ends[f"max_{c}"]))
+        target = target.where(near | F.col(c).isNull() if ends[f"null_{c}"] else near)
+    return target
+
+
 def insert_if_absent(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-                     loaded_at: Column | None = None,
-                     partition_by: Sequence[str] = ()) -> None:
-    """Append the rows with a new key, stamped with the load time. Known keys stay as they are."""
+                     loaded_at: Column | None = None, partition_by: Sequence[str] = (),
+                     prune: Sequence[str] = ()) -> None:
+    """Append the rows with a new key, stamped with the load time. Known keys stay as they are.
+
+    ``prune`` names columns that a key determines: the table is only searched where their values
+    lie in the range of ``source``. Such a key must never come with two values of the column.
+    """
     schema = S.with_loaded_at(source.schema)
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
-    fresh = absent_rows(read_table(spark, path, schema), source, keys).withColumn(
-        S.LOADED_AT, stamp.cast("timestamp_ntz"))
-    _gathered(fresh, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    source = source.persist()
+    try:
+        target = within_range(read_table(spark, path, schema), source, prune)
+        fresh = absent_rows(target, source, keys).withColumn(
+            S.LOADED_AT, stamp.cast("timestamp_ntz"))
+        _gathered(fresh, partition_by).write.mode("append").partitionBy(*partition_by).parquet(
+            path)
+    finally:
+        source.unpersist()
 
 
 def write_mart(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -81,7 +107,8 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 
 def _write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (df.write.mode("overwrite").options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
+                                        ignoreTrailingWhiteSpace=False).csv(path))
 
 
 def write_backfill(tables: Mapping[str, DataFrame], folder: str) -> None:

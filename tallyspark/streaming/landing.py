@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,22 +17,46 @@ from tallyspark.sources.landing import as_text, csv_options, typed_rows
 from tallyspark.sources.tables import insert_if_absent, overwrite_partitions
 
 
+def first_file_rows(batch: DataFrame, keys: Sequence[str], file: str) -> DataFrame:
+    """The rows of each key that come from the earliest file (a struct of time and path) with it.
+
+    Copies of a key inside one file all stay, and so do rows whose key has a NULL part.
+    """
+    whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    first = batch.where(whole).groupBy(*keys).agg(F.min(file).alias("_first"))
+    return (batch.join(first, list(keys), "left")
+            .where(F.col("_first").isNull() | (F.col(file) == F.col("_first"))).drop("_first"))
+
+
 def stream_landing(spark: SparkSession, folder: str, schema: T.StructType, keys: Sequence[str],
                    target: str, checkpoint: str, partition_by: Sequence[str] = (),
-                   max_files: int | None = None) -> StreamingQuery:
+                   max_files: int | None = None, multi_line: bool = False,
+                   prune: Sequence[str] = ()) -> StreamingQuery:
     """Land new CSV files under ``folder`` into the table at ``target``, known keys skipped.
 
-    Runs until the present files are taken. The checkpoint remembers taken files; a batch that is
-    replayed after a failure finds its keys present and adds nothing.
+    Runs until the present files are taken. Files count by their time of change, and those of one
+    time by their path: a key's rows come from the first file that has it, however files fall into
+    batches. The checkpoint remembers taken files; a batch that is replayed after a failure finds
+    its keys present and adds nothing. Rows of the wrong length are an error, as in
+    ``read_landing_csv``; ``prune`` as in ``insert_if_absent``.
     """
-    reader = spark.readStream.schema(as_text(schema)).options(**csv_options())
+    reader = spark.readStream.schema(as_text(schema)).options(**csv_options(multi_line))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    file = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    rows = reader.csv(folder).withColumn("_file", file)
 
     def land(batch: DataFrame, _batch_id: int) -> None:
-        insert_if_absent(batch.sparkSession, target, batch, keys, partition_by=partition_by)
+        batch = batch.persist()
+        try:
+            typed = typed_rows(batch, schema, "_file")
+            insert_if_absent(batch.sparkSession, target,
+                             first_file_rows(typed, keys, "_file").select(*schema.fieldNames()),
+                             keys, partition_by=partition_by, prune=prune)
+        finally:
+            batch.unpersist()
 
-    return (typed_rows(reader.csv(folder), schema).writeStream.foreachBatch(land)
+    return (rows.writeStream.foreachBatch(land)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 

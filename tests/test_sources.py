@@ -1,8 +1,11 @@
 import json
+import os
+import re
 
 import pytest
 from conftest import d, rows, usd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark import schemas as S
 from tallyspark.operators.staging import dedupe_payments, stg_payments
@@ -203,3 +206,58 @@ def test_stream_payments_staging_lower_id_arrives_second(spark, frame, tmp_path)
     assert arrive(payment("P1"), payment("P8", day=None)) == [("P1",), ("P7",), ("P8",)]
     full = dedupe_payments(spark.read.parquet(raw))
     assert rows(full, "payment_id") == rows(spark.read.parquet(target), "payment_id")
+
+
+def test_stream_landing_does_not_depend_on_batches(spark, tmp_path):
+    header, one, two, three = MEMO_FILE.strip().split("\n")
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i, lines in enumerate(([one, one], [one.replace("10.50", "99"), two], [two, three])):
+        (folder / f"{9 - i}.csv").write_text("\n".join([header, *lines]))
+        os.utime(folder / f"{9 - i}.csv", (1_700_000_000 + i, 1_700_000_000 + i))
+    found = []
+    for files in (None, 2, 1):
+        target = str(tmp_path / f"t{files}")
+        streams.stream_landing(
+            spark, str(folder), S.LANDED["credit_memos"], ["credit_memo_id"], target,
+            str(tmp_path / f"cp{files}"), max_files=files).awaitTermination()
+        found.append(rows(spark.read.parquet(target), "credit_memo_id", "amount"))
+    assert found[0] == [("CM-1", usd("10.50")), ("CM-1", usd("10.50")), ("CM-2", None),
+                        ("CM-3", usd("7.00"))]
+    assert found[0] == found[1] == found[2]
+
+
+@pytest.mark.parametrize("change", [lambda r: r.rpartition(",")[0], lambda r: r + ",more"])
+def test_rows_of_the_wrong_length_are_errors(spark, tmp_path, change):
+    header, one, *_ = MEMO_FILE.strip().split("\n")
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\n".join([header, one, change(one)]))
+    memos = landing.read_landing_csv(spark, str(folder), S.LANDED["credit_memos"])
+    for df in (memos, memos.select("credit_memo_id")):
+        with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed|FAILED_READ_FILE"):
+            df.collect()
+    with pytest.raises(Exception):
+        streams.stream_landing(
+            spark, str(folder), S.LANDED["credit_memos"], ["credit_memo_id"],
+            str(tmp_path / "t"), str(tmp_path / "cp")).awaitTermination()
+
+
+def test_fractions_are_rounded_and_quoted_breaks_read(spark, tmp_path):
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("t", T.StringType())])
+    (tmp_path / "a.csv").write_text('n,t\n1.5," two\nlines ""q"" "\n-2.5,x\n1.4,y\n')
+    out = landing.read_landing_csv(spark, str(tmp_path), schema, multi_line=True)
+    assert rows(out, "n", "t") == [(-3, "x"), (1, "y"), (2, ' two\nlines "q" ')]
+
+
+def test_insert_searches_the_range_of_the_batch(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    ddl = "k string, day date, v long"
+    old = frame(ddl, ("a", "2024-01-01", 1), ("b", "2024-01-02", 1), ("c", None, 1))
+    tables.insert_if_absent(spark, path, old, ["k"], partition_by=["day"])
+    new = frame(ddl, ("b", "2024-01-02", 9), ("c", None, 9), ("d", "2024-01-03", 9))
+    near = tables.within_range(spark.read.parquet(path), new, ["day"])
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*day#\d+ >= ", plan)
+    tables.insert_if_absent(spark, path, new, ["k"], partition_by=["day"], prune=["day"])
+    assert rows(spark.read.parquet(path), "k", "v") == [("a", 1), ("b", 1), ("c", 1), ("d", 9)]
