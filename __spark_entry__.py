@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle  # noqa: E402
 from tallyspark import schemas as S  # noqa: E402
-from tallyspark.functions import masking  # noqa: E402
+from tallyspark.functions import masking, scalar  # noqa: E402
 from tallyspark.functions.scalar import padded_id  # noqa: E402
 from tallyspark.operators import (  # noqa: E402
     billing, cost, dashboard, fx, governance, quality, reconcile, restate, spines,
@@ -110,6 +110,15 @@ def _landing_csv_nulls(spark, plan, folder):
                        "is_backdated", "co_termination_group")
 
 
+def _landing_json_arrays(spark, plan, folder):
+    """Files with one outer array each."""
+    rows = plan.landed["customer_master"].drop(S.LOADED_AT)
+    files = rows.groupBy(F.pmod(F.xxhash64("account_id"), F.lit(16)).alias("file")).agg(
+        F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    files.repartition("file").write.partitionBy("file").text(folder)
+    return landing.read_landing_json(spark, folder, S.LANDED["customer_master"]).drop("file")
+
+
 def _landing_json(spark, plan, folder):
     plan.landed["customer_master"].drop(S.LOADED_AT).write.json(folder)
     return landing.read_landing_json(spark, folder, S.LANDED["customer_master"], outer_array=False)
@@ -253,6 +262,44 @@ def _to_usd_invoices(plan):
     return usd.select("invoice_id", F.round("amount_usd", 2).alias("amount_usd"))
 
 
+# -- checks over inputs with a fault ------------------------------------------------------------
+def _in_june(day, column, wrong):
+    """``wrong`` in place of a column in the months of June."""
+    return F.when(F.month(day) == 6, wrong).otherwise(F.col(column))
+
+
+def _faulty(table, day, column, wrong):
+    return table.withColumn(column, _in_june(day, column, wrong))
+
+
+FAULTS: dict[str, Callable[[RevenuePlan], DataFrame]] = {
+    "decomposition_gap_found": lambda p: quality.decomposition_gap(
+        _faulty(p.bridge, "month_end_date", "real_component_usd", F.col("real_component_usd") + 5)
+    ).select("contract_id", "month_end_date"),
+    "account_waterfall_gap_found": lambda p: quality.account_waterfall_gap(
+        _faulty(p.account_waterfall, "month_end_date", "new_arr_usd", F.lit(0))
+    ).select("account_id", "month_end_date"),
+    "portfolio_waterfall_gap_found": lambda p: quality.portfolio_waterfall_gap(
+        _faulty(p.portfolio_waterfall, "month_end_date", "net_movement_usd",
+                F.col("net_movement_usd") + 1)).select("month_end_date"),
+    "portfolio_vs_contract_gap_found": lambda p: quality.portfolio_vs_contract_gap(
+        p.portfolio_waterfall,
+        _faulty(p.contract_arr, "month_end_date", "arr_usd", F.col("arr_usd") + 3)
+    ).select("month_end_date"),
+    "billed_vs_recognized_gap_found": lambda p: quality.billed_vs_recognized_gap(
+        _faulty(p.reconciliation, "month_start", "manual_adjustment_usd",
+                F.col("manual_adjustment_usd") + 100)).select("month_start", "legal_entity"),
+}
+
+
+def _query_tags(plan):
+    """A pipeline step's tag on the query of each account, read back."""
+    tag = scalar.query_tag("revenue", "prod", "run-1", model="dim_customer")
+    tagged = plan.accounts.select("account_id", tag.alias("tag"))
+    return tagged.select("account_id", *[F.get_json_object("tag", f"$.{k}").alias(k) for k in (
+        "project", "target", "invocation_id", "schema", "model")])
+
+
 # -- billing ------------------------------------------------------------------------------------
 def _schedule(plan):
     return billing.billing_schedule(plan.contract_versions, plan.window[1])
@@ -402,12 +449,21 @@ def queries() -> dict[str, Query]:
             "fct_arr_waterfall_portfolio_monthly", S.ANALYST_ROLE, "analyst_us"),
         # cost
         "cost_by_layer_daily": planned(lambda p: p.cost_by_layer(COST_RUN_DATE)),
+        "cost_report_in_order": planned(lambda p: dashboard.in_order(
+            p.cost_by_layer(COST_RUN_DATE), F.desc("query_date"), F.col("warehouse_name"),
+            F.col("pipeline_layer"), F.col("dbt_model"), F.col("dbt_target")).select(
+                "place", "query_date", "warehouse_name", "pipeline_layer", "dbt_model",
+                "dbt_target")),
+        "portfolio_in_order": planned(lambda p: dashboard.in_order(
+            p.portfolio_waterfall, F.col("month_end_date")).select("place", "month_end_date")),
+        "query_tags": planned(_query_tags),
         "query_tag_fields": planned(lambda p: cost.parse_query_tag(p.landed["query_history"])
                                     .select("query_id", *cost.TAG_FIELDS.values())),
         # sources and sinks
         "landing_csv": stored(_landing_csv),
         "landing_csv_nulls": stored(_landing_csv_nulls),
         "landing_json": stored(_landing_json),
+        "landing_json_arrays": stored(_landing_json_arrays),
         "staged_files": stored(_staged_files),
         "daily_slice": planned(_daily_slice),
         "daily_slice_lines": planned(_daily_slice_lines),
@@ -442,6 +498,7 @@ def queries() -> dict[str, Query]:
         "billed_vs_recognized_gap": planned(
             lambda p: quality.billed_vs_recognized_gap(p.reconciliation)
             .select("month_start", "legal_entity")),
+        **{name: planned(build) for name, build in FAULTS.items()},
         "credit_memo_lag": planned(lambda p: quality.credit_memo_lag(p.credit_memos, 30)),
         "freshness_report": planned(
             lambda p: checks.freshness_report(p.landed, FRESHNESS_AS_OF)),

@@ -574,6 +574,17 @@ COST = {
             // (8 * total_ms) AS DECIMAL(38, 4)) / 10000 END AS DECIMAL(38, 4)) AS estimated_credits
         FROM steps JOIN day_ms USING (query_date, warehouse_name)
         LEFT JOIN credits USING (query_date, warehouse_name)""", _COST),
+    "cost_report_in_order": q("""
+        SELECT CAST(row_number() OVER (ORDER BY query_date DESC, warehouse_name NULLS FIRST,
+            pipeline_layer NULLS FIRST, dbt_model NULLS FIRST, dbt_target NULLS FIRST) AS INTEGER)
+            AS place, query_date, warehouse_name, pipeline_layer, dbt_model, dbt_target
+        FROM steps JOIN day_ms USING (query_date, warehouse_name)""", _COST),
+    "portfolio_in_order": q("""
+        SELECT CAST(row_number() OVER (ORDER BY month_end_date) AS INTEGER) AS place,
+          month_end_date FROM pwf"""),
+    "query_tags": q("""
+        SELECT account_id, 'revenue' AS project, 'prod' AS target, 'run-1' AS invocation_id,
+          CAST(NULL AS VARCHAR) AS schema, 'dim_customer' AS model FROM acc"""),
     "query_tag_fields": q("""
         SELECT 'Q-' || event_id AS query_id,
           CASE WHEN ok THEN 'dbt' END AS app, CASE WHEN ok THEN 'billing' END AS project,
@@ -594,6 +605,10 @@ SOURCES = {
     "landing_csv_nulls": q(f"""
         SELECT contract_id, version_number, effective_end_date, {amount('arr_amount', 'arr_cents')},
           is_backdated, co_termination_group FROM contract_rows"""),
+    "landing_json_arrays": q("""
+        SELECT account_id, CAST(version AS BIGINT) AS version, billing_contact_name,
+          billing_contact_email, tax_id, address_line1, city, region, legal_entity, updated_at
+        FROM cust"""),
     "landing_json": q("""
         SELECT account_id, CAST(version AS BIGINT) AS version, billing_contact_name,
           billing_contact_email, tax_id, address_line1, city, region, legal_entity, updated_at
@@ -658,6 +673,23 @@ QUALITY = {
         SELECT month_start, legal_entity FROM rec
         WHERE abs(recognized_net_of_credits_usd - billed_usd - manual_adjustment_usd + credit_usd)
               > 1""", RECON),
+    "decomposition_gap_found": q("""
+        SELECT contract_id, month_end_date FROM bri
+        WHERE abs(arr_usd - prior_usd - real_usd - drift_usd
+                  - CASE WHEN month(month_end_date) = 6 THEN 5 ELSE 0 END) > 0.01"""),
+    "account_waterfall_gap_found": q("""
+        SELECT account_id, month_end_date FROM awf
+        WHERE month(month_end_date) = 6 AND abs(new_arr_usd) > 0.01"""),
+    "portfolio_waterfall_gap_found": q("""
+        SELECT month_end_date FROM pwf WHERE month(month_end_date) = 6"""),
+    "portfolio_vs_contract_gap_found": q("""
+        SELECT month_end_date FROM pwf JOIN (
+            SELECT month_end_date, sum(arr_usd + 3) AS s FROM carr
+            WHERE month(month_end_date) = 6 GROUP BY 1) c USING (month_end_date)
+        WHERE abs(total_arr_usd - s) > 0.01"""),
+    "billed_vs_recognized_gap_found": q("""
+        SELECT month_start, legal_entity FROM rec
+        WHERE month(month_start) = 6 AND recognized_net_of_credits_usd IS NOT NULL""", RECON),
     "credit_memo_lag": q("""
         SELECT credit_memo_id, invoice_id, issue_date, system_entry_date,
           CAST(system_entry_date - issue_date AS INTEGER) AS lag_days,

@@ -21,6 +21,12 @@ BRIDGE = (
 TREND = BRIDGE[1:6]
 
 
+def in_order(report: DataFrame, *order: Column) -> DataFrame:
+    """A report of few rows, sorted, with each row's ``place`` from 1. Not for a large table: the
+    places are given by one task."""
+    return report.withColumn("place", F.row_number().over(Window.orderBy(*order))).orderBy("place")
+
+
 def headline_arr(portfolio: DataFrame) -> DataFrame:
     """Total of the latest month with its change to the month before, absolute and in percent."""
     return latest(portfolio, "month_end_date").select(

@@ -15,7 +15,7 @@ from tallyspark.functions.scalar import (
 )
 from tallyspark.operators.fx import rate_on, to_usd
 from tallyspark.operators.staging import PAYMENT_IDENTITY, dedupe_payments
-from tallyspark.sources.tables import replace_keys
+from tallyspark.sources.tables import empty_like, replace_keys, within_range
 
 KEY = ("month_start", "legal_entity")
 MEASURES = ("billed_usd", "recognized_usd", "credit_usd", "collected_usd", "manual_adjustment_usd")
@@ -39,15 +39,18 @@ class Facts:
         """Payments that survive deduplication and arrived at or after a moment.
 
         Only payments with a recent copy can qualify, so the rest is left out before deduplicating.
-        The identity may hold NULLs, which count as equal here.
+        Copies share their date: the dates of the recent ones are found first and reach the scan
+        as a range. The identity may hold NULLs, which count as equal here.
         """
         recent = F.col(S.LOADED_AT) >= since
+        near = within_range(self.landed_payments, self.landed_payments.where(recent),
+                            ["payment_date"])
         touched = self.landed_payments.where(recent).select(
             *[F.col(c).alias(f"_{c}") for c in PAYMENT_IDENTITY]).distinct()
         same = reduce(lambda a, b: a & b, [
             F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PAYMENT_IDENTITY])
         return dedupe_payments(
-            self.landed_payments.join(touched, same, "left_semi")).where(recent)
+            near.join(touched, same, "left_semi")).where(recent)
 
     def only_months(self, months: DataFrame, first: date, last: date) -> Facts:
         """The facts dated in the given months, which lie between ``first`` and ``last``.
@@ -169,7 +172,7 @@ def revenue_reconciliation_for(keys: DataFrame, facts: Facts, fx: DataFrame) ->
     months = keys.where("legal_entity is not null").select("month_start").distinct()
     first, last = months.agg(F.min("month_start"), F.max("month_start")).first()
     if first is None:
-        return revenue_reconciliation(facts, fx).limit(0)
+        return empty_like(keys.sparkSession, revenue_reconciliation(facts, fx).schema)
     return revenue_reconciliation(
         facts.only_months(months, first, last), fx, invoices_for_ledger=facts.invoices
     ).join(keys, list(KEY), "left_semi")

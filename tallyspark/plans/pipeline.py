@@ -166,12 +166,12 @@ class RevenuePlan:
 
     def reconciliation_touched(self, as_of: date | str | None = None) -> DataFrame:
         """Recomputed totals of the touched keys. The keys are few and read many times."""
-        keys = self.stage(self.affected_keys(as_of).coalesce(1), "affected_keys")
+        keys = self.stage(self.affected_keys(as_of), "affected_keys")
         return reconcile.revenue_reconciliation_for(keys, self.facts, self.fx)
 
     def reconciliation_incremental(self, current: DataFrame,
                                    as_of: date | str | None = None) -> DataFrame:
-        keys = self.stage(self.affected_keys(as_of).coalesce(1), "affected_keys")
+        keys = self.stage(self.affected_keys(as_of), "affected_keys")
         return reconcile.revenue_reconciliation_incremental(
             current, self.facts, self.fx, as_of, self.lookback_days, keys)
 

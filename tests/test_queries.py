@@ -36,6 +36,20 @@ def test_query_matches_sql(spark, database, name):
     assert normal(mine, df.columns) == normal(cursor.fetchall(), names)
 
 
+@pytest.mark.parametrize("name", entry.FAULTS)
+def test_planted_faults_are_found(spark, name):
+    assert not entry.queries()[name](spark, FOLDER).isEmpty()
+
+
+def test_recent_payments_read_their_dates_only(spark):
+    plan = entry.plan_for(spark, FOLDER)
+    text = plan.affected_keys(entry.RUN_DATE)._jdf.queryExecution().executedPlan().toString()
+    payments = [line for line in text.split("\n")
+                if "payment_date" in line and "FileScan" in line]
+    assert payments and all("GreaterThanOrEqual(payment_date" in line
+                            or "GreaterThanOrEqual(_loaded_at" in line for line in payments)
+
+
 def test_movements_shuffle_contract_months_once(spark):
     """At scale the window over a contract and the join of its opening history share a shuffle."""
     plan = entry.plan_for(spark, FOLDER)
