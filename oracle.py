@@ -36,9 +36,9 @@ created AS (SELECT o_custkey AS c, CAST(min(o_orderdate) AS DATE) AS created_dat
             FROM orders GROUP BY 1),
 acc AS MATERIALIZED (
   SELECT printf('ACC-%06d', c_custkey) AS account_id, c_name AS account_name, region,
-         CASE region WHEN 'US' THEN 'Meridian Software Inc.'
-                     WHEN 'EU' THEN 'Meridian Software Europe B.V.'
-                     ELSE 'Meridian Software India Pvt. Ltd.' END AS legal_entity,
+         CASE region WHEN 'US' THEN 'Northfall Ledgers Inc.'
+                     WHEN 'EU' THEN 'Northfall Ledgers Europe B.V.'
+                     ELSE 'Northfall Ledgers India Pvt. Ltd.' END AS legal_entity,
          CASE region WHEN 'US' THEN 'USD' WHEN 'EU' THEN 'EUR' ELSE 'INR' END AS currency,
          CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'FURNITURE') THEN 'SMB'
               WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'Mid-Market'
@@ -518,7 +518,7 @@ _MASKED = """account_id, '***MASKED***' AS billing_contact_name,
       AS billing_contact_email,
     '***MASKED***' AS tax_id, '***MASKED***' AS address_line1, city, region, legal_entity,
     customer_master_updated_at"""
-_US = "legal_entity = 'Meridian Software Inc.'"
+_US = "legal_entity = 'Northfall Ledgers Inc.'"
 GOVERNANCE = {
     "dim_customer": q(f"SELECT {_CLEAR} FROM cur", _CURRENT),
     "dim_customer_for_admin": q(f"SELECT {_CLEAR} FROM cur", _CURRENT),

@@ -15,7 +15,7 @@ Mask = Callable[[ColumnOrName, str], Column]
 
 def mask_email(value: ColumnOrName, role: str, strict: bool = False,
                clear_roles: Sequence[str] = S.CLEAR_TEXT_ROLES) -> Column:
-    """First character and domain only, as in ``j***@acme.com``.
+    """The first character and the domain; ``***`` stands for what lies between.
 
     A text without ``@`` has no domain, so its "last part" is the whole text and shows up after
     the mask; ``strict`` hides such texts fully instead.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyspark import schemas as S
 from tallyspark.functions.scalar import surrogate_key
 
+# What makes two landed payments copies of one.
 PAYMENT_IDENTITY = ("invoice_id", "payment_date", "amount", "currency")
 
 

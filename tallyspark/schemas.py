@@ -16,6 +16,8 @@ def _schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype, True) for name, dtype in columns.items()])
 
 
+# ---- Fixed values: results depend on these exact texts -----------------------------------------
+# Column names and types as landed, keys, and the texts of the data model.
 LANDED: dict[str, T.StructType] = {
     "accounts": _schema(
         account_id=_STRING, account_name=_STRING, region=_STRING, legal_entity=_STRING,
@@ -105,15 +107,14 @@ def with_loaded_at(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(LOADED_AT, T.TimestampNTZType(), True)])
 
 
-# ---- Fixed values: results depend on these exact texts -----------------------------------------
 BASE_CURRENCY = "USD"
 CURRENCIES = ("USD", "EUR", "INR")
 REGIONS = ("US", "EU", "IN")
 SEGMENTS = ("SMB", "Mid-Market", "Enterprise")
 LEGAL_ENTITY = {
-    "US": "Meridian Software Inc.",
-    "EU": "Meridian Software Europe B.V.",
-    "IN": "Meridian Software India Pvt. Ltd.",
+    "US": "Northfall Ledgers Inc.",
+    "EU": "Northfall Ledgers Europe B.V.",
+    "IN": "Northfall Ledgers India Pvt. Ltd.",
 }
 AMENDMENT_TYPES = ("new", "upsell", "downgrade", "renewal", "currency_change", "churn")
 MOVEMENT_TYPES = ("new", "expansion", "contraction", "churn", "reactivation", "no_change")
