@@ -264,17 +264,22 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     text where no language was learnt. Only the text counts; every row is judged on its own.
     """
     names = [n for n in docs.columns if n not in ("lang_pred", "score")]
-    slim = docs.select(*[F.col(f"`{n}`") for n in names])
+    fields = docs.select(*[F.col(f"`{n}`") for n in names]).schema.fields
+    # Python functions take no column whose name has a dot: names give way to places.
+    slim = docs.select("text", *[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)
+                                 if n != "text"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 langs, score = _predict(model, part.column("text"))
                 yield pa.RecordBatch.from_arrays(
-                    part.columns + [pa.array(langs, pa.string()), pa.array(score, pa.float64())],
+                    [part.column("text" if n == "text" else f"c{i}")
+                     for i, n in enumerate(names)]
+                    + [pa.array(langs, pa.string()), pa.array(score, pa.float64())],
                     names=names + ["lang_pred", "score"])
 
-    return slim.mapInArrow(task, T.StructType(slim.schema.fields + [
+    return slim.mapInArrow(task, T.StructType(fields + [
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 

@@ -232,12 +232,14 @@ def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
                         [x for i, x in enumerate(cut) if i not in drop]) if drop else text)
                     counts.append(len(cut))
                     removed.append(len(drop))
-                columns = [pa.array(texts, pa.string()) if n == "text" else part.column(n)
-                           for n in names]
+                columns = [pa.array(texts, pa.string()) if n == "text" else part.column(f"c{i}")
+                           for i, n in enumerate(names)]
                 yield pa.RecordBatch.from_arrays(
                     columns + [pa.array(counts, pa.int64()), pa.array(removed, pa.int64())],
                     names=names + ["n_lines", "n_removed"])
 
     out = T.StructType(fields + [T.StructField(n, T.LongType()) for n in ("n_lines", "n_removed")])
     joined = docs.join(small_enough(gone), docs["doc_id"].eqNullSafe(F.col("__id")), "left")
-    return joined.select(*[F.col(f"`{n}`") for n in names], "__gone").mapInArrow(task, out)
+    # Python functions take no column whose name has a dot: names give way to places.
+    return joined.select("text", "__gone", *[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(
+        names) if n != "text"]).mapInArrow(task, out)

@@ -144,10 +144,12 @@ def labelled_samples(docs: DataFrame, max_docs: int = 5_000, generated: int = 2_
     return secret.unionByName(words).unionByName(made).filter(F.length("word") >= LEAST_VALUE)
 
 
-def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
+def train(samples: DataFrame, smoothing: float = 0.5, prior: float = 20.0) -> list[float]:
     """The table for ``log_ratio``: log2 of the ratio of both models' transitions.
 
-    ``samples`` has word and is_random. Only the counts of pairs of states reach the driver.
+    ``samples`` has word and is_random. A transition's probability leans on how frequent its end is
+    in all of its model's samples, as if seen ``prior`` times; ``smoothing`` is added to each state.
+    Only the counts of pairs of states reach the driver.
     """
     states = _states(F.col("word"))
     pairs = F.transform(states, lambda s, i: F.when(i == 0, s).otherwise(
@@ -155,15 +157,18 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
     counts = {(r.is_random, r.pair): r.n for r in samples.select(
         "is_random", F.explode(pairs).alias("pair")).groupBy("is_random", "pair")
         .agg(F.count("*").alias("n")).collect()}
-    table = []
-    for last in range(STATES):
-        totals = [sum(counts.get((k, last * STATES + s), 0) for s in range(STATES))
-                  + smoothing * STATES for k in (False, True)]
-        for s in range(STATES):
-            plain, rand = [(counts.get((k, last * STATES + s), 0) + smoothing) / totals[k]
-                           for k in (False, True)]
-            table.append(math.log2(rand / plain))
-    return table
+    seen = {k: [[counts.get((k, last * STATES + s), 0) for s in range(STATES)]
+                for last in range(STATES)] for k in (False, True)}
+    overall = {}
+    for k, rows in seen.items():
+        total = sum(map(sum, rows)) + smoothing * STATES
+        overall[k] = [(sum(column) + smoothing) / total for column in zip(*rows)]
+
+    def chance(k, last, s):
+        return (seen[k][last][s] + prior * overall[k][s]) / (sum(seen[k][last]) + prior)
+
+    return [math.log2(chance(True, last, s) / chance(False, last, s))
+            for last in range(STATES) for s in range(STATES)]
 
 
 def find(docs: DataFrame, table: list[float], least_bits: float = 12.0) -> DataFrame:
