@@ -405,19 +405,21 @@ def queries() -> dict[str, Query]:
         "arr_waterfall_account": planned(lambda p: p.account_waterfall),
         "arr_waterfall_portfolio": planned(lambda p: p.portfolio_waterfall),
         # dashboard
-        "headline_arr": planned(lambda p: dashboard.headline_arr(p.portfolio_waterfall)),
+        "headline_arr": planned(lambda p: dashboard.headline_arr(p.portfolio_mart)),
         "waterfall_bridge_tile": planned(
-            lambda p: dashboard.waterfall_bridge_tile(p.portfolio_waterfall)),
+            lambda p: dashboard.waterfall_bridge_tile(p.portfolio_mart)),
         "bridge_running_total": planned(
-            lambda p: dashboard.bridge_running_total(p.portfolio_waterfall)),
+            lambda p: dashboard.bridge_running_total(p.portfolio_mart)),
         "bridge_movement_components": planned(lambda p: dashboard.movement_components(
-            dashboard.bridge_running_total(p.portfolio_waterfall))),
+            dashboard.bridge_running_total(p.portfolio_mart))),
         "arr_trend_by_movement": planned(
-            lambda p: dashboard.arr_trend_by_movement(p.portfolio_waterfall)),
-        "arr_trend_wide": planned(lambda p: dashboard.arr_trend_wide(p.portfolio_waterfall)),
-        "arr_by_segment": planned(lambda p: dashboard.arr_by_segment(p.account_waterfall)),
-        "arr_by_region": planned(lambda p: dashboard.arr_by_region(p.account_waterfall)),
-        "kpi_cards": planned(lambda p: dashboard.kpi_cards(p.portfolio_waterfall)),
+            lambda p: dashboard.arr_trend_by_movement(p.portfolio_mart)),
+        "arr_trend_wide": planned(lambda p: dashboard.arr_trend_wide(p.portfolio_mart)),
+        "arr_by_segment": planned(lambda p: dashboard.arr_by_segment(
+            p.account_mart, p.latest_month)),
+        "arr_by_region": planned(lambda p: dashboard.arr_by_region(
+            p.account_mart, p.latest_month)),
+        "kpi_cards": planned(lambda p: dashboard.kpi_cards(p.portfolio_mart)),
         # reconciliation and restatement
         "revenue_reconciliation": planned(lambda p: to_cents(p.reconciliation)),
         "revenue_reconciliation_incremental": planned(_incremental),

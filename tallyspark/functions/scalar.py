@@ -96,6 +96,12 @@ def query_tag(project: str, target: str, invocation_id: str, schema: str | None
     return F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in parts.items() if v is not None]))
 
 
-def latest(df: DataFrame, column: str) -> DataFrame:
-    """Rows carrying the greatest value of ``column``."""
+def latest(df: DataFrame, column: str, value=None) -> DataFrame:
+    """Rows carrying the greatest value of ``column``.
+
+    Where it is known, ``value`` makes this a plain comparison that chooses partitions; otherwise
+    ``df`` is evaluated a second time to find it.
+    """
+    if value is not None:
+        return df.where(F.col(column) == F.lit(value))
     return df.where(F.col(column) == df.agg(F.max(column)).scalar())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,17 +103,19 @@ def arr_trend_wide(portfolio: DataFrame) -> DataFrame:
     return portfolio.select("month_end_date", *[F.col(c).alias(label) for label, c in TREND])
 
 
-def _arr_by(account_waterfall: DataFrame, dimension: str) -> DataFrame:
-    return (latest(account_waterfall, "month_end_date").groupBy(dimension)
+def _arr_by(account_waterfall: DataFrame, dimension: str, month: date | None) -> DataFrame:
+    return (latest(account_waterfall, "month_end_date", month).groupBy(dimension)
             .agg(F.sum("account_arr_usd").alias("arr_usd")).orderBy(F.desc("arr_usd")))
 
 
-def arr_by_segment(account_waterfall: DataFrame) -> DataFrame:
-    return _arr_by(account_waterfall, "segment")
+def arr_by_segment(account_waterfall: DataFrame, month: date | None = None) -> DataFrame:
+    """The newest month's total by segment; ``month`` names it where it is known."""
+    return _arr_by(account_waterfall, "segment", month)
 
 
-def arr_by_region(account_waterfall: DataFrame) -> DataFrame:
-    return _arr_by(account_waterfall, "region")
+def arr_by_region(account_waterfall: DataFrame, month: date | None = None) -> DataFrame:
+    """The newest month's total by region; ``month`` names it where it is known."""
+    return _arr_by(account_waterfall, "region", month)
 
 
 def kpi_cards(portfolio: DataFrame) -> DataFrame:

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyspark import schemas as S
 from tallyspark.operators import arr, cost, fx, reconcile, spines, staging, versions, waterfall
 from tallyspark.session import stage_table
 
-Stage = Callable[[DataFrame, str], DataFrame]
+Stage = Callable[..., DataFrame]
 
 
-def lazily(df: DataFrame, _name: str) -> DataFrame:
+def lazily(df: DataFrame, _name: str, _partition_by: Sequence[str] = ()) -> DataFrame:
     """Stage that materialises nothing."""
     return df
 
@@ -24,7 +25,7 @@ class RevenuePlan:
     """Every model of the pipeline over a set of landed tables.
 
     ``stage`` is applied to the results read more than once (month ends, filled rates, validity
-    intervals and spans of contracts, contract months). The default writes them to the shared checkpoint folder; pass ``lazily`` to keep a single plan.
+    intervals and spans of contracts, contract months, the marts). The default writes them to the shared checkpoint folder; pass ``lazily`` to keep a single plan.
     """
 
     def __init__(self, landed: Mapping[str, DataFrame], *, stage: Stage = stage_table,
@@ -142,6 +143,21 @@ class RevenuePlan:
     def portfolio_waterfall(self) -> DataFrame:
         return waterfall.waterfall_portfolio(waterfall.movement_measures(self.movements))
 
+    # -- marts that reports are served from ------------------------------------------------
+    @cached_property
+    def account_mart(self) -> DataFrame:
+        """The account waterfall as a table with a folder for each month."""
+        return self.stage(self.account_waterfall, "account_mart", ["month_end_date"])
+
+    @cached_property
+    def portfolio_mart(self) -> DataFrame:
+        return self.stage(self.portfolio_waterfall, "portfolio_mart")
+
+    @cached_property
+    def latest_month(self) -> date | None:
+        """The newest month of the waterfalls: one value, fetched from their small table."""
+        return self.portfolio_mart.agg(F.max("month_end_date")).first()[0]
+
     # -- customers --------------------------------------------------------------------------
     @cached_property
     def customer_versions(self) -> DataFrame:

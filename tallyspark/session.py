@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
 
@@ -55,12 +57,17 @@ def working_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Cuts lineage in a way that survives lost executors, and gives Catalyst the real size of the
-    data, so its own threshold decides which joins may broadcast it.
+    data, so its own threshold decides which joins may broadcast it. A table that is partitioned is
+    gathered by partition first, and a filter on its columns chooses folders.
     """
     path = f"{working_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if not partition_by:
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.hint("rebalance", *[F.col(c) for c in partition_by])
+     .write.partitionBy(*partition_by).parquet(path))
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -50,6 +50,16 @@ def test_recent_payments_read_their_dates_only(spark):
                             or "GreaterThanOrEqual(_loaded_at" in line for line in payments)
 
 
+def test_a_tile_reads_one_month_of_the_mart(spark):
+    plan = entry.plan_for(spark, FOLDER)
+    tile = entry.dashboard.arr_by_segment(plan.account_mart, plan.latest_month)
+    text = tile._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in text.split("\n") if "FileScan" in line]
+    month = plan.latest_month.isoformat()
+    assert len(scans) == 1 and re.search(rf"PartitionFilters: .*month_end_date#\d+ = {month}",
+                                         scans[0])
+
+
 def test_movements_shuffle_contract_months_once(spark):
     """At scale the window over a contract and the join of its opening history share a shuffle."""
     plan = entry.plan_for(spark, FOLDER)
