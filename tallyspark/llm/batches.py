@@ -118,6 +118,20 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out ^ ((ends - starts).astype(np.uint64) * np.uint64(_BASE)))
 
 
+def rolling_hashes(data: np.ndarray, size: int, block: int = 1 << 15) -> np.ndarray:
+    """A hash of each ``size`` consecutive bytes."""
+    out = np.empty(max(0, len(data) - size + 1), dtype=np.uint64)
+    for start in range(0, len(out), block):
+        part = _BYTE[data[start:start + block + size - 1]]
+        part *= _UP[:len(part)]
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(part, out=sums[1:])
+        here = sums[size:] - sums[:-size]
+        here *= _DOWN[:len(here)]
+        out[start:start + block] = mix(here)
+    return out
+
+
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """A hash of each ``size`` consecutive values, one for each start that has that many."""
     count = len(words) - size + 1

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.llm.components import components
 from tallyspark.session import stage_table
 
 #: Buckets up to this size are compared pair by pair.
 SMALL = 16
+#: Sets in a block, and distinct items in a matrix, where blocks are compared in full.
+BLOCK = 256
+COLUMNS = 1 << 15
 #: The most rows of a small table that is broadcast; beyond it, the join is shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -45,7 +51,7 @@ def bucket_pairs(bands: DataFrame) -> DataFrame:
 
 
 def unresolved(bands: DataFrame, joined: DataFrame) -> DataFrame:
-    """key: members of large buckets whose members lie in several components (node, component)."""
+    """bucket, key: members of the large buckets whose members lie in several components."""
     large = bands.groupBy("bucket").agg(F.count("*").alias("size")).filter(
         F.col("size") > SMALL).select("bucket")
     members = bands.select("bucket", "key").join(small_enough(large), "bucket", "left_semi")
@@ -53,29 +59,64 @@ def unresolved(bands: DataFrame, joined: DataFrame) -> DataFrame:
         "bucket", "key", F.coalesce("component", "key").alias("component"))
     several = members.groupBy("bucket").agg(
         F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    return members.join(several.select("bucket"), "bucket", "left_semi").select("key").distinct()
+    return members.join(small_enough(several.select("bucket")), "bucket", "left_semi").select(
+        "bucket", "key")
 
 
-def alike_by_rarest(sets: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
-    """a, b: every two of ``sets`` (key, items) that can be alike and are not joined yet.
+def clusters(members: DataFrame) -> DataFrame:
+    """key, cluster of ``members`` (bucket, key): buckets that share a key are of one cluster."""
+    hubs = members.groupBy("bucket").agg(F.min("key").alias("a"))
+    links = members.join(small_enough(hubs), "bucket").select("a", F.col("key").alias("b"))
+    return components(links).select(F.col("node").alias("key"),
+                                    F.col("component").alias("cluster"))
 
-    Two sets can only have a Jaccard similarity of ``percent`` per cent if their rarest items, a
-    share of each set that follows from it, have one in common. Common items are not among them.
+
+def _shared(items: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many items each set of ``left`` shares with each of ``right`` (numbers of sets)."""
+    owner = np.repeat(np.arange(len(items)), [len(x) for x in items])
+    _, number = np.unique(np.concatenate(items), return_inverse=True)
+    order = np.argsort(number, kind="stable")
+    number, owner = number[order], owner[order]
+    total = np.zeros((len(left), len(right)), dtype=np.float32)
+    for start in range(0, int(number[-1]) + 1, COLUMNS):
+        here = slice(*np.searchsorted(number, (start, start + COLUMNS)))
+        has = np.zeros((len(items), COLUMNS), dtype=np.float32)
+        has[owner[here], number[here] - start] = 1
+        total += has[left] @ has[right].T
+    return total
+
+
+def alike_within(sets: DataFrame, cluster: DataFrame, joined: DataFrame,
+                 percent: int) -> DataFrame:
+    """a, b: every two of ``sets`` (key, items) of one cluster (key, cluster) that are alike and
+    not joined yet (node, component).
+
+    A cluster is cut into blocks of about ``BLOCK`` sets, and each two blocks meet in a task that
+    compares all their full sets as matrices and returns the links alone.
     """
-    items = sets.join(joined, sets["key"] == joined["node"], "left").select(
-        "key", F.coalesce("component", "key").alias("component"), F.size("items").alias("n"),
-        F.explode("items").alias("item"))
-    counted = items.join(items.groupBy("item").agg(F.count("*").alias("df")), "item")
-    taken = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    ranked = counted.groupBy("key", "component", "n").agg(
-        F.sort_array(F.collect_list(F.struct("df", "item"))).alias("r"))
-    rare = stage_table(ranked.select("key", "component", F.explode(F.slice(
-        "r", F.lit(1), taken.cast("int"))).alias("p")).filter("p.df > 1").select(
-            "key", "component", F.col("p.item").alias("item")), "rarest")
-    # An item whose sets are all joined already gives nothing.
-    mixed = rare.groupBy("item").agg(F.min("component").alias("x"),
-                                     F.max("component").alias("y")).filter("x <> y")
-    live = rare.join(mixed.select("item"), "item", "left_semi")
-    one, two = (live.select("item", F.col("key").alias(k), F.col("component").alias(f"c_{k}"))
-                for k in "ab")
-    return one.join(two, "item").filter("a < b AND c_a <> c_b").select("a", "b").distinct()
+    def task(table):
+        if not table.num_rows:
+            return table.select(["key", "key"]).rename_columns(["a", "b"])
+        key, component, own = (table.column(c).to_numpy() for c in ("key", "component", "own"))
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        items = [np.asarray(x, dtype=np.int64) for x in table.column("items").to_pylist()]
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        size = np.asarray([len(x) for x in items], dtype=float)
+        both = _shared(items, left, right)
+        alike = 100 * both >= percent * (size[left][:, None] + size[right][None, :] - both)
+        alike &= component[left][:, None] != component[right][None, :]
+        i, j = np.nonzero(alike)
+        one, two = key[left[i]], key[right[j]]
+        return pa.table({"a": np.minimum(one, two), "b": np.maximum(one, two)})
+
+    sizes = cluster.groupBy("cluster").agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = sets.join(cluster.join(small_enough(sizes), "cluster"), "key")
+    placed = placed.join(joined, placed["key"] == joined["node"], "left").select(
+        "key", "cluster", "items", "blocks", F.coalesce("component", "key").alias("component"),
+        F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("own"))
+    meet = placed.select("*", F.explode(F.sequence(
+        F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+            "key", "cluster", "items", "component", "own",
+            F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    return meet.groupBy("cluster", "low", "high").applyInArrow(task, "a long, b long").distinct()

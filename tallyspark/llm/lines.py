@@ -10,8 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.llm.batches import LOWER, flat, mix, slices, span_hashes
-from tallyspark.llm.candidates import alike_by_rarest, bucket_pairs, small_enough, unresolved
+from tallyspark.llm.batches import (
+    LOWER, flat, mix, rolling_hashes, slices, span_hashes,
+)
+from tallyspark.llm.candidates import (
+    alike_within, bucket_pairs, clusters, small_enough, unresolved,
+)
 from tallyspark.llm.components import components
 from tallyspark.llm.secrets import let
 from tallyspark.session import stage_table
@@ -44,13 +48,7 @@ def line_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The bands of each line's MinHash, ``WIDTH`` bytes each. Lines are in order, a byte apart,
     and at least a shingle long."""
-    power = np.uint64(0x9E3779B97F4A7C15)
-    small = LOWER[data].astype(np.uint64)
-    rolled = np.zeros(len(small) - SHINGLE + 1, dtype=np.uint64)
-    for i in range(SHINGLE):
-        rolled *= power
-        rolled += small[i:i + len(rolled)] + np.uint64(1)
-    values = (mix(rolled) >> np.uint64(32)).astype(np.uint32)
+    values = (rolling_hashes(LOWER[data], SHINGLE) >> np.uint64(32)).astype(np.uint32)
     bounds = np.empty(2 * len(starts), dtype=np.int64)
     bounds[0::2], bounds[1::2] = starts, ends - SHINGLE + 1
     bounds = bounds[:-1] if bounds[-1] >= len(values) else bounds
@@ -185,8 +183,9 @@ def duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     joined = stage_table(components(links), "components")
     left = stage_table(unresolved(bands, joined), "unresolved")
     if not left.isEmpty():
-        rest = stage_table(_texts(docs, at.join(left, "key", "left_semi")), "texts")
-        more = _alike(alike_by_rarest(_items(rest), joined, percent), rest, percent)
+        cluster = stage_table(clusters(left), "clusters")
+        rest = _texts(docs, at.join(cluster, "key", "left_semi"))
+        more = stage_table(alike_within(_items(rest), cluster, joined, percent), "links")
         joined = stage_table(components(links.unionByName(more)), "components")
     of_node = nodes.join(joined, nodes["key"] == joined["node"], "left").select(
         "key", "place", F.coalesce("component", "key").alias("component"))

@@ -20,7 +20,7 @@ from tallyspark.llm.batches import (
     LOWER, flat, mix, slices, span_hashes, window_hashes, word_spans,
 )
 from tallyspark.llm.candidates import (
-    alike_by_rarest, bucket_pairs, small_enough, unresolved,
+    alike_within, bucket_pairs, clusters, small_enough, unresolved,
 )
 from tallyspark.llm.components import components
 from tallyspark.session import stage_table
@@ -198,8 +198,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     both; ``component_id`` is the least doc_id that links reach, and the document that has it is
     kept. Equal sets are one node, whatever their number. Candidates come from bands of registers:
     two documents right at the limit are missed with a probability of 3e-7. Where a bucket is too
-    large for all its pairs and its members end up in several components, its sets are compared by
-    their rarest shingles, which misses nothing.
+    large for all its pairs and its members end up in several components, its sets are compared in
+    full, block by block, which misses nothing.
 
     Under five words the whole sequence is one shingle. A text without words, empty or null has no
     shingles, is linked with nothing and kept. A null id counts as the largest: it is kept only in
@@ -227,8 +227,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     left = stage_table(unresolved(bands, joined), "unresolved")
     if not left.isEmpty():
-        rest = stage_table(sets_of(docs, nodes.join(left, "key", "left_semi")), "sets")
-        more = _linked(alike_by_rarest(rest, joined, percent), nodes, docs, percent)
+        cluster = stage_table(clusters(left), "clusters")
+        rest = stage_table(sets_of(docs, nodes.join(cluster, "key", "left_semi")), "sets")
+        more = stage_table(alike_within(rest, cluster, joined, percent), "links")
         joined = stage_table(components(links.unionByName(more)), "components")
 
     of_node = nodes.join(joined, nodes["key"] == joined["node"], "left").select(
