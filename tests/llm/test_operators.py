@@ -475,16 +475,18 @@ def test_components_match_union_find(spark, links):
     assert {r.node: r.component for r in out} == {x: groups.root(x) for x in list(groups)}
 
 
-def test_rarest_items_find_every_alike_pair(spark):
+def test_blocks_find_every_alike_pair(spark, monkeypatch):
     rng = random.Random(9)
     sets = [set(range(100, 120)) | {rng.randrange(60) for _ in range(12)} for _ in range(60)]
     sets += [s - {next(iter(s))} for s in sets[:20]]
-    rows = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)],
-                                 "key long, items array<long>")
-    none = spark.createDataFrame([], "node long, component long")
-    found = {(r.a, r.b) for r in candidates.alike_by_rarest(rows, none, 75).collect()}
-    assert {(i, j) for j in range(len(sets)) for i in range(j)
-            if brute.alike(sets[i], sets[j])} <= found
+    rows = ship(spark).createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)],
+                                       "key long, items array<long>")
+    place = spark.createDataFrame([(i, i % 2) for i in range(80)], "key long, cluster long")
+    joined = spark.createDataFrame([(0, 0), (2, 0)], "node long, component long")
+    monkeypatch.setattr(candidates, "BLOCK", 7)
+    found = {(r.a, r.b) for r in candidates.alike_within(rows, place, joined, 75).collect()}
+    assert found == {(i, j) for j in range(80) for i in range(j) if i % 2 == j % 2
+                     and (i, j) != (0, 2) and brute.alike(sets[i], sets[j])}
 
 
 # -- 8 fixity --------------------------------------------------------------------------------------
