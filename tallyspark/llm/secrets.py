@@ -151,9 +151,8 @@ def train(samples: DataFrame, smoothing: float = 0.5, prior: float = 20.0) -> li
     in all of its model's samples, as if seen ``prior`` times; ``smoothing`` is added to each state.
     Only the counts of pairs of states reach the driver.
     """
-    states = _states(F.col("word"))
-    pairs = F.transform(states, lambda s, i: F.when(i == 0, s).otherwise(
-        F.get(states, i - 1) * STATES + s))
+    pairs = let(_states(F.col("word")), lambda states: F.transform(
+        states, lambda s, i: F.when(i == 0, s).otherwise(F.get(states, i - 1) * STATES + s)))
     counts = {(r.is_random, r.pair): r.n for r in samples.select(
         "is_random", F.explode(pairs).alias("pair")).groupBy("is_random", "pair")
         .agg(F.count("*").alias("n")).collect()}
