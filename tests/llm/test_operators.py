@@ -628,6 +628,23 @@ def test_lines_of_odd_rows(odd, empty):
     assert lines.dedup_lines(empty).count() == 0
 
 
+def one_character_off(line, rng):
+    """``line`` with one character replaced, put in or left out, away from its ends."""
+    i, new = rng.randrange(6, len(line) - 6), rng.choice("0123456789é")
+    return rng.choice([line[:i] + new + line[i + 1:], line[:i] + new + line[i:],
+                       line[:i] + line[i + 1:]])
+
+
+def test_lines_one_character_off_are_found(spark):
+    rng = random.Random(17)
+    made = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(n - 2))
+            for n in range(32, 91) for _ in range(2)]
+    made = [f"A{x}." for x in made]
+    rows = [(1, "\n".join(made)), (2, "\n".join(one_character_off(x, rng) for x in made))]
+    out = by_id(lines.dedup_lines(frame(spark, rows)))
+    assert out[1].text == rows[0][1] and (out[2].text, out[2].n_removed) == ("", len(made))
+
+
 # -- batches ---------------------------------------------------------------------------------------
 @given(st.lists(st.text(alphabet="aB \n\té\x1cß", max_size=30) | st.none(), max_size=8))
 @settings(max_examples=150, deadline=None)
