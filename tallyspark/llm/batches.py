@@ -148,6 +148,11 @@ def code_points(data: np.ndarray) -> np.ndarray:
     return (data & 0xC0) != 0x80
 
 
+def visible(data: np.ndarray) -> np.ndarray:
+    """True at each byte of a word."""
+    return ~_SPACE[data]
+
+
 def per_text(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
     """How many flags are set within each text."""
     marks = np.flatnonzero(flags)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.llm.batches import (
-    code_points, flat, mix, slices, span_hashes, window_hashes,
+    code_points, flat, mix, slices, span_hashes, visible, window_hashes,
 )
 from tallyspark.llm.candidates import (
     alike_within, bucket_pairs, clusters, small_enough, unresolved,
@@ -31,7 +31,8 @@ MINIMA = BANDS * BAND // 2
 WIDTH = 6
 #: Shingles that are hashed at a time.
 BLOCK = 1 << 14
-MIN_BYTES = 24
+#: Every line with a character other than blanks counts, whatever its length.
+MIN_BYTES = 1
 
 _FACTORS = (mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) >> np.uint64(32)).astype(
     np.uint32) | np.uint32(1)
@@ -108,14 +109,15 @@ def _text_hash(texts: pa.Array) -> pa.Array:
 
 def lines(docs: DataFrame) -> DataFrame:
     """doc_id, h (a hash of the text), line, node (a hash of the line), sketch: one row for each
-    line of ``MIN_BYTES`` or more."""
+    line with a character other than blanks."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 data, at = flat(part.column("text"))
                 starts, ends, owner = line_spans(data, at)
                 number = np.arange(len(owner)) - np.searchsorted(owner, owner)
-                some = np.flatnonzero(ends - starts >= MIN_BYTES)
+                marks = np.append(0, np.cumsum(visible(data)))
+                some = np.flatnonzero(marks[ends] > marks[starts])
                 if not len(some):
                     continue
                 starts, ends, owner, number = (x[some] for x in (starts, ends, owner, number))
@@ -254,7 +256,7 @@ def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
     within 75 % from 25 characters on, an inserted or lost one from 21; shorter lines are alike if
     they are equal but for capitals, or nearly so by repeated characters. Candidates agree in one
     of 32 bands of six minima: two lines right at the limit are missed with a probability of about
-    0.002, at 0.8 with 1e-4. Lines of under 24 bytes stay. Very long lines over a handful of letters
+    0.002, at 0.8 with 1e-4. Lines of blanks alone stay. Very long lines over a handful of letters
     have nearly all shingles of these letters in common, whatever their order. Adds
     n_lines and n_removed (replacing columns of these names).
 

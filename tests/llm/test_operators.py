@@ -645,6 +645,13 @@ def test_lines_one_character_off_are_found(spark):
     assert out[1].text == rows[0][1] and (out[2].text, out[2].n_removed) == ("", len(made))
 
 
+def test_short_lines_are_removed_where_they_repeat(spark):
+    rows = [(1, "Share this\n \nPage 1\nok\nx"), (2, "Share this\n \nPage 2\nok\n\nx"),
+            (3, "x")]
+    out = by_id(lines.dedup_lines(frame(spark, rows)))
+    assert [out[i].text for i in (1, 2, 3)] == [rows[0][1], " \nPage 2\n", ""]
+
+
 # -- batches ---------------------------------------------------------------------------------------
 @given(st.lists(st.text(alphabet="aB \n\té\x1cß", max_size=30) | st.none(), max_size=8))
 @settings(max_examples=150, deadline=None)
