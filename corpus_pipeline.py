@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import langid, lines, neardups, packing, secrets
-from tallyspark.llm.candidates import small_enough
 from tallyspark.llm.shipping import ship
 from tallyspark.session import stage_table
 
@@ -39,11 +38,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the least id of each group of near-duplicates."""
+    """Keeps one document of each group of near-duplicates, of the least id; every row is judged
+    by its own text, whether its id is null or repeated."""
     ship(spark)
-    dropped = stage_table(neardups.near_duplicates(docs).filter("NOT kept").select(
-        F.col("doc_id").alias("__id")).distinct(), "dropped")
-    return docs.join(small_enough(dropped), docs["doc_id"] == F.col("__id"), "left_anti")
+    return neardups.first_of_each(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -123,7 +123,8 @@ def _keys(value: np.ndarray, sizes: np.ndarray) -> list[bytes]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n, key, sketch of each row; the key and sketch of an empty set are null."""
+    """doc_id, h (of the text), n, key, sketch of each row of doc_id, h, text; the key and sketch
+    of an empty set are null."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -131,13 +132,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                 keys, rows = _keys(value, sizes), registers(value, sizes)
                 some = sizes > 0
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array(sizes),
+                    part.column("doc_id"), part.column("h"), pa.array(sizes),
                     pa.array([k if s else None for k, s in zip(keys, some)], pa.binary()),
                     pa.array([r.tobytes() if s else None for r, s in zip(rows, some)],
                              pa.binary()),
-                ], names=["doc_id", "n", "key", "sketch"])
+                ], names=["doc_id", "h", "n", "key", "sketch"])
 
-    return docs.mapInArrow(task, "doc_id long, n long, key binary, sketch binary")
+    return docs.mapInArrow(task, "doc_id long, h long, n long, key binary, sketch binary")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -191,23 +192,13 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -
         100 * both >= percent * (F.size("items_a") + F.size("items_b") - both)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of each row of ``docs`` (doc_id, text).
-
-    Documents are linked if 100 times the shared shingles are at least ``percent`` times all of
-    both; ``component_id`` is the least doc_id that links reach, and the document that has it is
-    kept. Equal sets are one node, whatever their number. Candidates come from bands of registers:
-    two documents right at the limit are missed with a probability of 3e-7. Where a bucket is too
-    large for all its pairs and its members end up in several components, its sets are compared in
-    full, block by block, which misses nothing.
-
-    Under five words the whole sequence is one shingle. A text without words, empty or null has no
-    shingles, is linked with nothing and kept. A null id counts as the largest: it is kept only in
-    a component without any other id. Rows that repeat an id are kept or not together. Other
-    columns are not read.
-    """
+def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """doc_id, h (a hash of the text), n, component, component_id of each row of ``docs``; see
+    ``near_duplicates``. The component of an empty set is null. Two groups can have the same
+    component_id, if an id comes with several texts, but not the same component."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = stage_table(sketches(docs), "sketches")
+    rows = stage_table(sketches(docs.select("doc_id", F.xxhash64("text").alias("h"), "text")),
+                       "sketches")
     nodes = stage_table(rows.filter("n > 0").groupBy(F.col("key").alias("set")).agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
         .withColumn("key", F.monotonically_increasing_id()), "nodes")
@@ -235,8 +226,55 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     of_node = nodes.join(joined, nodes["key"] == joined["node"], "left").select(
         "set", "doc_id", F.coalesce("component", "key").alias("component"))
     least = of_node.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = of_node.join(least, "component").select("set", "component_id")
+    named = of_node.join(least, "component").select("set", "component", "component_id")
     out = rows.join(named, rows["key"] == named["set"], "left")
+    return out.select("doc_id", "h", "n", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of each row of ``docs`` (doc_id, text).
+
+    Documents are linked if 100 times the shared shingles are at least ``percent`` times all of
+    both; ``component_id`` is the least doc_id that links reach, and the document that has it is
+    kept. Equal sets are one node, whatever their number. Candidates come from bands of registers:
+    two documents right at the limit are missed with a probability of 3e-7. Where a bucket is too
+    large for all its pairs and its members end up in several components, its sets are compared in
+    full, block by block, which misses nothing.
+
+    Under five words the whole sequence is one shingle. A text without words, empty or null has no
+    shingles, is linked with nothing and kept. A null id counts as the largest: it is kept only in
+    a component without any other id. Rows that repeat an id are kept or not together. Other
+    columns are not read.
+    """
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return groups(docs, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def first_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates.
+
+    Each row is judged by its own text, also where an id is null or comes several times. Of a group
+    the row of the least doc_id stays (a null one is the largest); of rows with this id, the one of
+    the least hash of its text, and of rows equal in both the least by all columns. Rows without
+    shingles all stay.
+    """
+    found = stage_table(groups(docs, percent).filter("n > 0").groupBy(
+        "doc_id", "h", "component").agg(F.count("*").alias("copies")), "groups")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    first = found.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias(
+        "size")).filter("size > 1").select("component", "first")
+    judged = found.join(small_enough(stage_table(first, "first")), "component", "left").select(
+        F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "copies",
+        F.coalesce(place != F.col("first"), F.lit(False)).alias("__goes"))
+    marked = stage_table(judged.filter("__goes OR copies > 1").drop("copies"), "marked")
+    rows = docs.join(small_enough(marked), docs["doc_id"].cast("long").eqNullSafe(F.col("__id"))
+                     & (F.xxhash64(docs["text"]) == F.col("__h")), "left")
+    columns = [F.col(f"`{n}`") for n in docs.columns]
+    out = rows.filter("__goes IS NULL").select(*columns)
+    if marked.filter("NOT __goes").isEmpty():
+        return out
+    repeated = rows.filter("NOT __goes").groupBy("__id", "__h").agg(
+        F.min(F.struct(*columns)).alias("row"))
+    return out.unionByName(repeated.select("row.*"))

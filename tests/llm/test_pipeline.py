@@ -51,6 +51,24 @@ def test_stages_take_odd_rows(spark):
         assert empty.count() == 0
 
 
+def test_near_dedup_judges_each_row(spark):
+    same = " ".join(f"word{i}" for i in range(60))
+    near, other = same + " end", " ".join(f"other{i}" for i in range(60))
+    alone = " ".join(f"alone{i}" for i in range(60))
+    rows = [(1, same, "b"), (1, same, "a"), (1, near, "a"), (2, near, "a"), (2, other, "a"),
+            (None, same, "a"), (None, other + " end", "a"), (None, alone, "a"),
+            (None, alone, "a"), (None, alone + " end", "a"), (3, "", "a"), (3, "", "a")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_dedup(spark, docs, FOLDER)
+    assert out.columns == docs.columns
+    left = [(r.doc_id, r.text, r.source) for r in out.collect()]
+    ones = [x for x in left if x[0] == 1]
+    assert len(left) == 5 and ones in ([(1, same, "a")], [(1, near, "a")])
+    assert (2, other, "a") in left and left.count((3, "", "a")) == 2
+    assert [x[1] for x in left if x[0] is None][0] in (alone, alone + " end")
+
+
 def test_each_operator_has_a_query():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
