@@ -34,7 +34,6 @@ class Settings:
 
     docs_per_lang: int = 300
     stretches_per_doc: int = 4
-    max_langs: int = 64
     hidden: int = 8
     steps: int = 260
     batch: int = 192
@@ -192,14 +191,14 @@ def train(stretches: np.ndarray, right: np.ndarray, langs: list[str],
 def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
     """A network from ``docs`` (text, lang).
 
-    The sample holds about ``docs_per_lang`` documents of each language, chosen by a hash of their
-    text, and ``stretches_per_doc`` stretches at hashed places of each; of languages, the
-    ``max_langs`` with the most documents. Only these stretches reach the driver.
+    All languages of labelled rows are learnt. The sample holds about ``docs_per_lang`` distinct
+    texts of each, chosen by a hash of the text, and ``stretches_per_doc`` stretches at hashed
+    places of each: copies of a text count once, and only these stretches reach the driver.
     """
     known = docs.select("text", F.col("lang").cast("string")).filter(
         "lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(
-        settings.max_langs).collect()
+    counts = known.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy(
+        "lang").count().collect()
     langs = sorted(r.lang for r in counts)
     if not langs:
         return Model([], [], [], np.zeros((0, 0)), np.zeros(0))
@@ -211,9 +210,9 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
             "text", (F.pmod(F.xxhash64("text", i), F.greatest(
                 F.lit(1), F.length("text") - STRETCH + 1)) + 1).cast("int"), F.lit(STRETCH)))
     rows = (known.join(F.broadcast(share), "lang")
-            .filter(F.pmod(F.xxhash64("text", F.lit(0)), F.lit(1 << 20)) < F.col("share")
-                    * (1 << 20))
-            .select("lang", places.alias("places")).collect())
+            .filter(F.pmod(F.xxhash64("text", F.lit(0)), F.lit(1 << 40)) < F.col("share")
+                    * (1 << 40))
+            .select("lang", places.alias("places")).distinct().collect())
     found = sorted({(r.lang, p) for r in rows for p in r.places})
     data = np.zeros((len(found), STRETCH), dtype=np.uint8)
     for i, (_, text) in enumerate(found):

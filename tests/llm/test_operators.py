@@ -316,6 +316,24 @@ def test_languages_of_held_out_documents(docs):
     assert len(right) > 30 and sum(right) >= 0.9 * len(right)
 
 
+def test_copies_of_a_text_do_not_crowd_out_a_language(spark, monkeypatch):
+    def text(i):
+        return " ".join(f"w{i}x{j}" for j in range(40))
+
+    hot = spark.range(20_000).select(F.lit("the same words again").alias("text"),
+                                     F.lit("aa").alias("lang"))
+    rest = spark.createDataFrame([(text(i), "aa") for i in range(90)]
+                                 + [(text(i), f"l{i:02}") for i in range(80)],
+                                 "text string, lang string")
+    seen = {}
+    monkeypatch.setattr(langid, "train", lambda data, right, langs, settings: seen.update(
+        data=data, right=right, langs=langs))
+    langid.fit(hot.unionByName(rest), langid.Settings(docs_per_lang=30))
+    assert seen["langs"] == ["aa"] + [f"l{i:02}" for i in range(80)]
+    assert set(seen["right"]) == set(range(81))
+    assert 4 * 12 <= sum(seen["right"] == 0) <= 4 * 55
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(3)
     model = langid._initial(["a", "b"], langid.Settings(hidden=3), rng)
