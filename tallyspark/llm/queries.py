@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import (
-    fingerprints, fixity, langid, lines, neardups, packing, pieces, quality, scoring, secrets,
+    fingerprints, fixity, langid, lines, neardups, packing, pieces, prefixes, quality, scoring,
+    secrets,
 )
 from tallyspark.llm.shipping import ship
 from tallyspark.session import stage_table
@@ -81,6 +82,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(ship(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_packing": op2_packing,
@@ -92,6 +97,7 @@ QUERIES = {
     "op8_fixity_audit": op8_fixity_audit,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_line_dedup": op10_line_dedup,
+    "op11_conversation_trie": op11_conversation_trie,
 }
 
 _RECORD = """concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: resource', chr(13), chr(10),
@@ -100,7 +106,51 @@ _RECORD = """concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: resource', chr(13)
     chr(13), chr(10), 'Content-Length: ', strlen({0}), chr(13), chr(10), chr(13), chr(10), {0},
     chr(13), chr(10), chr(13), chr(10))"""
 
+#: The CRC-32 of a decimal number's text, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(
+    list_transform(string_split(CAST({0} AS VARCHAR), ''),
+        lambda x: [CAST(ord(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, b: CASE WHEN xor(a, b) & 1 = 1 THEN xor(xor(a, b) >> 1, 3988292384)
+        ELSE xor(a, b) >> 1 END))"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_conversation_trie": f"""
+WITH own AS (
+    SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), opened AS (
+    SELECT conv_id, turns, {_CRC32.format("conv_id")} % 4 AS h FROM own
+), rebuilt AS (
+    SELECT o.conv_id, list_concat(
+        list_slice(coalesce(b.turns, []), 1, h), list_slice(o.turns, h + 1, len(o.turns))) AS path
+    FROM opened o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % {prefixes.FAMILY}
+), members AS (
+    SELECT conv_id, len(path) AS n_turns, unnest(range(len(path) + 1)) AS depth, path FROM rebuilt
+), nodes AS (
+    SELECT list_slice(path, 1, depth) AS prefix, depth, min(conv_id) AS conv_id,
+        count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+            FILTER (n_turns = depth), '')) AS ends_sha256
+    FROM members GROUP BY ALL
+), children AS (
+    SELECT list_slice(prefix, 1, depth - 1) AS prefix, count(*) AS n_children
+    FROM nodes WHERE depth > 0 GROUP BY 1
+), sized AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.depth = 0 THEN 0 ELSE
+        (n_convs - 1) * len(regexp_extract_all(n.prefix[n.depth].text, '[^\\x20\\x09-\\x0D]+'))
+        END AS saved
+    FROM nodes n LEFT JOIN children c ON c.prefix = n.prefix
+), below AS (
+    SELECT list_slice(prefix, 1, up) AS prefix, count(*) FILTER (n_children = 0) AS n_leaves,
+        CAST(sum(saved) AS BIGINT) AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS up FROM sized) GROUP BY 1
+)
+SELECT s.conv_id, s.depth, p.conv_id AS parent_conv_id, s.n_convs, s.n_children, b.n_leaves,
+    b.saved_tokens, s.ends_sha256
+FROM sized s JOIN below b ON b.prefix = s.prefix
+LEFT JOIN nodes p ON s.depth > 0 AND p.prefix = list_slice(s.prefix, 1, s.depth - 1)
+""",
     "op8_fixity_audit": f"""
 WITH bodies AS (
     SELECT page_id, url, coalesce(html, '') AS mine,
