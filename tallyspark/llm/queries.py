@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import (
-    fingerprints, fixity, langid, lines, neardups, packing, pieces, prefixes, quality, scoring,
-    secrets,
+    alignment, fingerprints, fixity, langid, lines, neardups, packing, pieces, prefixes, quality,
+    scoring, secrets,
 )
 from tallyspark.llm.shipping import ship
 from tallyspark.session import stage_table
@@ -86,6 +86,11 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.prefix_trie(ship(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"),
+                           _tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_packing": op2_packing,
@@ -98,6 +103,7 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_line_dedup": op10_line_dedup,
     "op11_conversation_trie": op11_conversation_trie,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _RECORD = """concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: resource', chr(13), chr(10),
