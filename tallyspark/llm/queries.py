@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import (
-    alignment, fingerprints, fixity, langid, lines, neardups, packing, pieces, prefixes, quality,
-    scoring, secrets,
+    alignment, classifier, fingerprints, fixity, langid, lines, neardups, packing, pieces, prefixes,
+    quality, scoring, secrets,
 )
 from tallyspark.llm.shipping import ship
 from tallyspark.session import stage_table
@@ -86,6 +86,12 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.prefix_trie(ship(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return classifier.learn_and_score(docs, labels, _remainder(3) == 1)
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"),
                            _tokenizer("piece_bpe_32k.model"))
@@ -103,6 +109,7 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_line_dedup": op10_line_dedup,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_quality_classifier": op12_quality_classifier,
     "op13_token_alignment": op13_token_alignment,
 }
 
