@@ -1,9 +1,10 @@
 """Quality scores by logistic regression on hashed word n-grams.
 
 Tokens are runs of letters, digits and bytes beyond ASCII, and runs of other visible characters, as
-written. Single tokens and pairs of neighbours are hashed into 2^BITS places; a text is the vector of
-1 + log(count) at its places, of length one, with a constant beside it. The weights are trained with
-follow-the-regularised-leader updates, which leave most of them at zero.
+written. Single tokens and pairs of neighbours are hashed into 2^BITS places; a token that follows its
+like makes the same pair whatever it is, so that stuttering is learnt once for all words. A text is
+the vector of 1 + log(count) at its places, of length one, with a constant beside it. The weights are
+trained with follow-the-regularised-leader updates, which leave most of them at zero.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from tallyspark.session import stage_table
 BITS = 20
 #: The weights are learnt from about this many labelled texts, chosen by hash.
 EXAMPLES = 8192
-ROUNDS = 4
+#: Updates of the weights, in rounds over all examples.
+STEPS = 32_768
+_AGAIN = np.uint64(0x5851F42D4C957F2D)
 
 _CLASS = np.full(256, 2, dtype=np.uint8)
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
@@ -51,7 +54,8 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     words = span_hashes(data, starts, ends)
-    pairs = window_hashes(words, 2)[text[1:] == text[:-1]]
+    pairs = np.where(words[1:] == words[:-1], _AGAIN, window_hashes(words, 2))
+    pairs = pairs[text[1:] == text[:-1]]
     owner = np.concatenate([text, text[1:][text[1:] == text[:-1]]])
     place = (np.concatenate([words, pairs]) >> np.uint64(64 - BITS)).astype(np.int64)
     key, count = np.unique(owner << BITS | place, return_counts=True)
@@ -113,7 +117,7 @@ def _examples(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
     return found.filter(chosen("digest", min(1.0, size / max(found.count(), 1))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, size: int = EXAMPLES, rounds: int = ROUNDS) -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame, size: int = EXAMPLES, steps: int = STEPS) -> np.ndarray:
     """The weights for ``labels`` (doc_id, quality 0 or 1) of ``docs``.
 
     Other labels, labels without a document and null ids teach nothing; a text counts once for each
@@ -124,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = EXAMPLES, rounds: int =
             for r in _examples(docs, labels, size).toLocalIterator()]
     rows.sort(key=lambda r: r[:2])
     leader, order = Leader(), np.random.default_rng(1)
-    for _ in range(rounds):
+    for _ in range(-(-steps // max(len(rows), 1))):
         for i in order.permutation(len(rows)):
             _, label, places, values = rows[i]
             leader.learn(places, values, label)
