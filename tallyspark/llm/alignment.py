@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.batches import slices
+from tallyspark.llm.batches import ChainedWords, slices
 from tallyspark.llm.perfecthash import PerfectHash
 from tallyspark.session import stage_table
 
@@ -94,12 +94,16 @@ class TokenPair:
         self.lengths_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
         self.radix = len(self.bytes_b)
 
-    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of a blank and each unit, by both."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units],
-                                                     add_special_tokens=False)]
-        b = self.b.encode(units, num_threads=1)
-        return a, [ids if u else [self.blank] for u, ids in zip(units, b)]
+    def encode(self, units: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of the units in sequence, a blank before each, by both.
+
+        Units that end in white space would run into the blank of the next one: pass these alone.
+        """
+        if units == [""]:
+            return self.a.encode(" ", add_special_tokens=False).ids, [self.blank]
+        text = " ".join(units)
+        return (self.a.encode(" " + text, add_special_tokens=False).ids,
+                self.b.encode(text, num_threads=1))
 
 
 def units_of(text: str) -> list[str]:
@@ -114,63 +118,100 @@ def units_of(text: str) -> list[str]:
 
 
 class Aligner:
-    """The alignment of units, remembered; ``table`` gives the counts of their links."""
+    """The alignment of units, remembered; ``table`` gives the counts of their links.
+
+    The first ``remembered`` units stay, for these are the frequent ones; later ones are forgotten
+    after the texts that brought them.
+    """
 
     def __init__(self, tokens: TokenPair, table: "PairCounts | None" = None,
-                 remembered: int = 300_000):
+                 remembered: int = 500_000):
         self.tokens, self.table, self.remembered = tokens, table, remembered
-        self.clear()
-
-    def clear(self) -> None:
         self.known: dict[str, int] = {}
+        self.characters = 0
         self.groups: list[bytes] = []
         #: A row a unit: tokens of A, of B, groups, links, best links, sum of counts, false bytes
         self.figures = np.zeros((1024, 7), dtype=np.int64)
         self.pairs = array("q")
         self.pair_at = array("q", [0])
 
-    def _learn(self, units: list[str]) -> None:
-        t = self.tokens
-        ids_a, ids_b = t.encode(units)
-        right = [b"".join([t.bytes_a[x] for x in a]) == (whole := b" " + u.encode())
-                 == b"".join([t.bytes_b[x] for x in b]) for u, a, b in zip(units, ids_a, ids_b)]
-        rows = np.zeros((len(units), 7), dtype=np.int64)
-        rows[:, 6] = ~np.asarray(right, dtype=bool)
-        good = np.flatnonzero(rows[:, 6] == 0)
-        counts = np.zeros(len(units), dtype=np.int64)
-        texts = [b""] * len(units)
-        pairs = np.zeros(0, dtype=np.int64)
-        if len(good):
-            n_a = np.array([len(ids_a[i]) for i in good])
-            n_b = np.array([len(ids_b[i]) for i in good])
-            a = np.concatenate([ids_a[i] for i in good]).astype(np.int64)
-            b = np.concatenate([ids_b[i] for i in good]).astype(np.int64)
-            ends_a, ends_b = np.cumsum(t.lengths_a[a]), np.cumsum(t.lengths_b[b])
-            unit_ends = ends_a[np.cumsum(n_a) - 1]
-            # Between two neighbouring ends lies one token of each kind: every link once.
-            ends = np.union1d(ends_a, ends_b)
-            pairs = (a[np.searchsorted(ends_a, ends)] * t.radix + b[np.searchsorted(ends_b, ends)])
-            links = np.bincount(np.searchsorted(unit_ends, ends), minlength=len(good))
-            both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-            groups = np.bincount(np.searchsorted(unit_ends, both), minlength=len(good))
-            rows[good, 0], rows[good, 1], rows[good, 2], rows[good, 3] = n_a, n_b, groups, links
-            counts[good] = links
-            if self.table is not None:
-                found, best = self.table.of(pairs)
-                starts = np.cumsum(links) - links
-                rows[good, 4] = np.add.reduceat((found == best).astype(np.int64), starts)
-                rows[good, 5] = np.add.reduceat(found, starts)
-            for i, text in zip(good, self._group_texts(a, b, ends_a, ends_b, both, unit_ends)):
-                texts[i] = text
+    def with_table(self, table: "PairCounts") -> "Aligner":
+        """This aligner with the counts of a table, or an empty one if it learnt from texts that
+        the table does not cover."""
+        self._forget()
+        links = self.figures[:len(self.groups), 3]
+        found, best = table.of(np.asarray(self.pairs, np.int64))
+        if (found < 0).any():
+            return Aligner(self.tokens, table, self.remembered)
+        some = links > 0
+        starts = (np.cumsum(links) - links)[some]
+        if len(starts):
+            self.figures[:len(links)][some, 4] = np.add.reduceat((found == best).astype(np.int64),
+                                                                 starts)
+            self.figures[:len(links)][some, 5] = np.add.reduceat(found, starts)
+        self.table = table
+        return self
+
+    def _learn(self, units: list[str], into: dict[str, int]) -> None:
+        """Units to remember: in long runs where nothing stops it, else one by one."""
+        joined = [u for u in units if u and not u[-1].isspace()]
+        for i in range(0, len(joined), 2000):
+            part = joined[i:i + 2000]
+            if not self._add(part, into):
+                for u in part:
+                    self._add([u], into) or self._add_false(u, into)
+        for u in units:
+            if not u or u[-1].isspace():
+                self._add([u], into) or self._add_false(u, into)
+
+    def _keep(self, units, rows, texts, pairs, into) -> None:
         start = len(self.groups)
         while start + len(units) > len(self.figures):
             self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
         self.figures[start:start + len(units)] = rows
         self.groups += texts
-        self.known.update(zip(units, range(start, start + len(units))))
-        self.pair_at.extend((self.pair_at[-1] + np.cumsum(counts)).tolist())
+        into.update(zip(units, range(start, start + len(units))))
+        self.pair_at.extend((self.pair_at[-1] + np.cumsum(rows[:, 3])).tolist())
         self.pairs.frombytes(pairs.astype(np.int64).tobytes())
 
+    def _add_false(self, unit: str, into: dict[str, int]) -> None:
+        self._keep([unit], np.array([[0, 0, 0, 0, 0, 0, 1]]), [b""], np.zeros(0, np.int64), into)
+
+    def _add(self, units: list[str], into: dict[str, int]) -> bool:
+        """Align some units; False, and nothing kept, if a token's bytes are not the text's."""
+        t = self.tokens
+        ids_a, ids_b = t.encode(units)
+        whole = (" " + " ".join(units)).encode()
+        if not b"".join([t.bytes_a[x] for x in ids_a]) == whole == b"".join(
+                [t.bytes_b[x] for x in ids_b]):
+            return False
+        a, b = np.array(ids_a, dtype=np.int64), np.array(ids_b, dtype=np.int64)
+        ends_a, ends_b = np.cumsum(t.lengths_a[a]), np.cumsum(t.lengths_b[b])
+        unit_ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        # Between two neighbouring ends lies one token of each kind: every link once.
+        ends = np.union1d(ends_a, ends_b)
+        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        if not np.isin(unit_ends, both).all():
+            raise AssertionError("a token goes across units")
+        pairs = a[np.searchsorted(ends_a, ends)] * t.radix + b[np.searchsorted(ends_b, ends)]
+
+        def per_unit(places):
+            return np.bincount(np.searchsorted(unit_ends, places), minlength=len(units))
+
+        rows = np.zeros((len(units), 7), dtype=np.int64)
+        rows[:, 3] = links = per_unit(ends)
+        rows[:, 0], rows[:, 1], rows[:, 2] = per_unit(ends_a), per_unit(ends_b), per_unit(both)
+        if self.table is not None:
+            found, best = self.table.of(pairs)
+            if (found < 0).any():
+                raise ValueError("a pair was not there in the first pass")
+            starts = np.cumsum(links) - links
+            rows[:, 4] = np.add.reduceat((found == best).astype(np.int64), starts)
+            rows[:, 5] = np.add.reduceat(found, starts)
+        texts = self._group_texts(a, b, ends_a, ends_b, both, unit_ends)
+        self._keep(units, rows, texts, pairs, into)
+        return True
+
     @staticmethod
     def _group_texts(a, b, ends_a, ends_b, both, unit_ends) -> list[bytes]:
         """``a1,a2|b1;a3|b2,b3`` of each unit."""
@@ -189,16 +230,31 @@ class Aligner:
         starts = np.append(0, stops[:-1])
         return ["".join(texts[x:y]).encode() for x, y in zip(starts.tolist(), stops.tolist())]
 
+    def _forget(self) -> None:
+        """Drop what was learnt beyond the units that stay."""
+        del self.groups[len(self.known):]
+        del self.pair_at[len(self.known) + 1:]
+        del self.pairs[self.pair_at[-1]:]
+
     def places(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The remembered units of all texts in sequence, and where each text's start."""
-        if len(self.known) > self.remembered or len(self.pairs) > 40 * self.remembered:
-            self.clear()
+        """The numbers of all texts' units in sequence, and where each text's start.
+
+        They hold until the next call.
+        """
+        self._forget()
         cut = [units_of(t) if t else [] for t in texts]
-        new = list({u for doc in cut for u in doc} - self.known.keys())
-        for i in range(0, len(new), 20_000):
-            self._learn(new[i:i + 20_000])
-        get = self.known.__getitem__
-        flat = np.fromiter((x for doc in cut for x in map(get, doc)), dtype=np.int64,
+        known = self.known
+        new = list({u for doc in cut for u in doc} - known.keys())
+        if new:
+            size = sum(map(len, new))
+            if len(known) + len(new) > self.remembered or (
+                    self.characters + size > 32 * self.remembered):
+                known = ChainedWords(known)
+            else:
+                self.characters += size
+            self._learn(new, known)
+        get = known.__getitem__
+        flat = np.fromiter((i for doc in cut for i in map(get, doc)), dtype=np.int64,
                            count=sum(map(len, cut)))
         return flat, np.append(0, np.cumsum([len(doc) for doc in cut]))
 
@@ -254,31 +310,34 @@ class PairCounts:
             np.maximum.at(self.best, a, counts)
 
     def of(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each pair's count and the highest count of its first token."""
-        where, found = segment_of(pairs, self.segments), np.zeros(len(pairs), dtype=np.int64)
-        for segment in np.unique(where):
-            mine = np.flatnonzero(where == segment)
-            places, keys, counts = self.parts[int(segment)]
+        """Each pair's count and the highest count of its first token; -1 for an unknown pair."""
+        where, found = segment_of(pairs, self.segments), np.full(len(pairs), -1, dtype=np.int64)
+        order = np.argsort(where, kind="stable")
+        cuts = np.flatnonzero(np.diff(where[order], prepend=-1))
+        for mine in np.split(order, cuts)[1:]:
+            if (part := self.parts.get(int(where[mine[0]]))) is None:
+                continue
+            places, keys, counts = part
             at = places.numbers(pairs[mine])
-            if (at < 0).any() or (keys[at] != pairs[mine]).any():
-                raise ValueError("a pair was not there in the first pass")
-            found[mine] = counts[at]
-        return found, self.best[pairs // self.radix]
+            right = (at >= 0) & (keys[at] == pairs[mine])
+            found[mine[right]] = counts[at[right]]
+        first = pairs // self.radix
+        known = first < len(self.best)
+        return found, np.where(known, self.best[np.where(known, first, 0)], 0)
 
 
-_aligners: dict[tuple, Aligner] = {}
+_aligners: dict[tuple, tuple[Aligner, int | None]] = {}
 
 
 def _aligner(path_a: str, path_b: str, sent=None) -> Aligner:
-    """The worker process's own; only the newest is kept."""
-    key = path_a, path_b, sent and sent[0]
-    if key not in _aligners:
-        tokens = next((x.tokens for k, x in _aligners.items() if k[:2] == key[:2]), None)
-        _aligners.clear()
-        tokens = tokens or TokenPair(path_a, path_b)
-        table = PairCounts(*sent[1].value, tokens.radix) if sent else None
-        _aligners[key] = Aligner(tokens, table)
-    return _aligners[key]
+    """The worker process's own. What it learnt in a first pass serves the second one too."""
+    aligner, table = _aligners.get((path_a, path_b), (None, None))
+    if aligner is None or (table is not None and (sent is None or sent[0] != table)):
+        aligner = Aligner(aligner.tokens if aligner else TokenPair(path_a, path_b))
+    if sent and sent[0] != table:
+        aligner = aligner.with_table(PairCounts(*sent[1].value, aligner.tokens.radix))
+    _aligners[path_a, path_b] = aligner, sent and sent[0]
+    return aligner
 
 
 def _documents_holding(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Plain versions of the operators, for small inputs."""
 
 import collections
+import hashlib
 import math
 import re
 import zlib
@@ -115,3 +116,79 @@ def left_lines(docs, shingles_of, least):
     gone = {(d, i) for d, i, x in places if (d, i) != first[order[groups.root(number[x])]]}
     return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone)
             for d, t in docs}
+
+
+def prefix_nodes(turns):
+    """Nodes as (conv_id, depth, parent, n_convs, n_children, n_leaves, saved_tokens, ends);
+    turns are (conv_id, turn, role, text)."""
+    own = collections.defaultdict(list)
+    for c, n, role, text in turns:
+        if c is not None:
+            own[c].append((n is not None, n or 0, role or "", text or ""))
+    own = {c: [x[2:] for x in sorted(v, key=lambda x: x[:2])] for c, v in own.items()}
+    whole = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 4
+        whole[c] = tuple(own.get(c - c % 20, [])[:h] + own[c][h:])
+    members, below = collections.defaultdict(list), collections.defaultdict(list)
+    for c, path in whole.items():
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+    for path in members:
+        if path:
+            below[path[:-1]].append(path)
+    leaves, saved, out = {}, {}, []
+    for path in sorted(members, key=len, reverse=True):
+        n = len(members[path])
+        leaves[path] = sum(leaves[k] for k in below[path]) or 1
+        saved[path] = sum(saved[k] for k in below[path]) + (
+            (n - 1) * len(words(path[-1][1])) if path else 0)
+        ends = ",".join(str(c) for c in sorted(members[path]) if len(whole[c]) == len(path))
+        out.append((min(members[path]), len(path), min(members[path[:-1]]) if path else None, n,
+                    len(below[path]), leaves[path], saved[path],
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def aligned(docs, encode_a, encode_b):
+    """Rows of the alignment; the encoders give (id, bytes) of each token of a text."""
+    found = []
+    for _, text in docs:
+        text = text or ""
+        a, b = (encode_a(" " + text), encode_b(text)) if text else ([], [])
+        whole = (" " + text).encode()
+        if not text or not b"".join(x for _, x in a) == whole == b"".join(x for _, x in b):
+            found.append(None)
+            continue
+        spans = []
+        for tokens in (a, b):
+            at, out = 0, []
+            for i, x in tokens:
+                out.append((i, at, at + len(x)))
+                at += len(x)
+            spans.append(out)
+        both = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
+        ends = [{e: k + 1 for k, (_, _, e) in enumerate(side)} for side in spans]
+        groups, done = [], (0, 0)
+        for high in both:
+            to = ends[0][high], ends[1][high]
+            groups.append("|".join(",".join(str(i) for i, _, _ in side[x:y])
+                                   for side, x, y in zip(spans, done, to)))
+            done = to
+        links, j = [], 0
+        for i, s, e in spans[0]:
+            while spans[1][j][2] <= s:
+                j += 1
+            k = j
+            while k < len(spans[1]) and spans[1][k][1] < e:
+                links.append((i, spans[1][k][0]))
+                k += 1
+        found.append((len(a), len(b), len(both), links, ";".join(groups)))
+    counts = collections.Counter(p for f in found if f for p in set(f[3]))
+    best = collections.Counter()
+    for (a, _), n in counts.items():
+        best[a] = max(best[a], n)
+    return [(d, 0, 0, 0, 0, 0, 0, "") if f is None else
+            (d, *f[:3], len(f[3]), sum(counts[p] == best[p[0]] for p in f[3]),
+             sum(counts[p] for p in f[3]), hashlib.sha256(f[4].encode()).hexdigest())
+            for (d, _), f in zip(docs, found)]

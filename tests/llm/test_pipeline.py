@@ -70,7 +70,7 @@ def test_near_dedup_judges_each_row(spark):
 
 
 def test_each_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
@@ -78,7 +78,8 @@ def test_each_operator_has_a_query():
 @pytest.mark.parametrize("name", queries.ORACLE_SQL)
 def test_query_matches_sql(spark, name):
     db = duckdb.connect()
-    db.execute(f"CREATE VIEW pages AS SELECT * FROM '{FOLDER}/pages.parquet'")
+    for table in ("pages", "conversations"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     df = queries.QUERIES[name](spark, FOLDER)
     cursor = db.execute(queries.ORACLE_SQL[name])
     names = [c[0] for c in cursor.description]
