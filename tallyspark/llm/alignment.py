@@ -130,27 +130,29 @@ class Aligner:
         self.known: dict[str, int] = {}
         self.characters = 0
         self.groups: list[bytes] = []
-        #: A row a unit: tokens of A, of B, groups, links, best links, sum of counts, false bytes
-        self.figures = np.zeros((1024, 7), dtype=np.int64)
+        #: A row a unit: tokens of A, of B, groups, links, best links, sum of counts, and as flags
+        #: that its bytes are false and that the table misses pairs
+        self.figures = np.zeros((1024, 8), dtype=np.int64)
         self.pairs = array("q")
         self.pair_at = array("q", [0])
 
-    def with_table(self, table: "PairCounts") -> "Aligner":
-        """This aligner with the counts of a table, or an empty one if it learnt from texts that
-        the table does not cover."""
+    def attach(self, table: "PairCounts") -> None:
+        """Take the counts from a table, for what is known already too."""
         self._forget()
-        links = self.figures[:len(self.groups), 3]
-        found, best = table.of(np.asarray(self.pairs, np.int64))
-        if (found < 0).any():
-            return Aligner(self.tokens, table, self.remembered)
-        some = links > 0
-        starts = (np.cumsum(links) - links)[some]
-        if len(starts):
-            self.figures[:len(links)][some, 4] = np.add.reduceat((found == best).astype(np.int64),
-                                                                 starts)
-            self.figures[:len(links)][some, 5] = np.add.reduceat(found, starts)
         self.table = table
-        return self
+        links = self.figures[:len(self.groups), 3]
+        self.figures[:len(links)][links > 0, 4:8] = self._counted(
+            np.asarray(self.pairs, np.int64), links[links > 0])
+
+    def _counted(self, pairs: np.ndarray, links: np.ndarray) -> np.ndarray:
+        """Columns 4 to 7 of units with so many links each; 6 is left at zero."""
+        out = np.zeros((len(links), 4), dtype=np.int64)
+        if self.table is not None and len(links):
+            found, best = self.table.of(pairs)
+            starts = np.cumsum(links) - links
+            for column, values in ((0, found == best), (1, np.maximum(found, 0)), (3, found < 0)):
+                out[:, column] = np.add.reduceat(values.astype(np.int64), starts)
+        return out
 
     def _learn(self, units: list[str], into: dict[str, int]) -> None:
         """Units to remember: in long runs where nothing stops it, else one by one."""
@@ -175,7 +177,7 @@ class Aligner:
         self.pairs.frombytes(pairs.astype(np.int64).tobytes())
 
     def _add_false(self, unit: str, into: dict[str, int]) -> None:
-        self._keep([unit], np.array([[0, 0, 0, 0, 0, 0, 1]]), [b""], np.zeros(0, np.int64), into)
+        self._keep([unit], np.array([[0, 0, 0, 0, 0, 0, 1, 0]]), [b""], np.zeros(0, np.int64), into)
 
     def _add(self, units: list[str], into: dict[str, int]) -> bool:
         """Align some units; False, and nothing kept, if a token's bytes are not the text's."""
@@ -198,16 +200,10 @@ class Aligner:
         def per_unit(places):
             return np.bincount(np.searchsorted(unit_ends, places), minlength=len(units))
 
-        rows = np.zeros((len(units), 7), dtype=np.int64)
+        rows = np.zeros((len(units), 8), dtype=np.int64)
         rows[:, 3] = links = per_unit(ends)
         rows[:, 0], rows[:, 1], rows[:, 2] = per_unit(ends_a), per_unit(ends_b), per_unit(both)
-        if self.table is not None:
-            found, best = self.table.of(pairs)
-            if (found < 0).any():
-                raise ValueError("a pair was not there in the first pass")
-            starts = np.cumsum(links) - links
-            rows[:, 4] = np.add.reduceat((found == best).astype(np.int64), starts)
-            rows[:, 5] = np.add.reduceat(found, starts)
+        rows[:, 4:8] = self._counted(pairs, links)
         texts = self._group_texts(a, b, ends_a, ends_b, both, unit_ends)
         self._keep(units, rows, texts, pairs, into)
         return True
@@ -260,10 +256,12 @@ class Aligner:
 
     def _whole(self, flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sums of the figures by text, and which texts have tokens at all."""
-        sums = np.zeros((len(flat) + 1, 7), dtype=np.int64)
+        sums = np.zeros((len(flat) + 1, 8), dtype=np.int64)
         np.cumsum(self.figures[flat], axis=0, out=sums[1:])
         total = sums[at[1:]] - sums[at[:-1]]
         right = (total[:, 6] == 0) & (at[1:] > at[:-1])
+        if total[right, 7].any():
+            raise ValueError("a text holds pairs that the first pass did not see")
         return total * right[:, None], right
 
     def figures_of(self, texts: list[str | None]) -> tuple[np.ndarray, list[str]]:
@@ -332,10 +330,12 @@ _aligners: dict[tuple, tuple[Aligner, int | None]] = {}
 def _aligner(path_a: str, path_b: str, sent=None) -> Aligner:
     """The worker process's own. What it learnt in a first pass serves the second one too."""
     aligner, table = _aligners.get((path_a, path_b), (None, None))
-    if aligner is None or (table is not None and (sent is None or sent[0] != table)):
-        aligner = Aligner(aligner.tokens if aligner else TokenPair(path_a, path_b))
+    if aligner is None:
+        aligner = Aligner(TokenPair(path_a, path_b))
     if sent and sent[0] != table:
-        aligner = aligner.with_table(PairCounts(*sent[1].value, aligner.tokens.radix))
+        aligner.attach(PairCounts(*sent[1].value, aligner.tokens.radix))
+    elif not sent and table is not None:
+        aligner = Aligner(aligner.tokens)
     _aligners[path_a, path_b] = aligner, sent and sent[0]
     return aligner
 

@@ -283,8 +283,11 @@ def prefix_trie(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
     hashed whole; turns that share a number are ordered by their hash, repeated rows are turns of
     their own. A conversation without turns ends at the root. An empty table has no conversation and
     gives no rows. A conversation's path takes some 40 bytes a turn in one row; all else is bounded
-    by ``block`` and the depth. Returns the columns of ``COLUMNS``.
+    by ``block`` and the depth. Returns the columns of ``COLUMNS``. ``block`` is at least 8, so that
+    every round leaves fewer rows.
     """
+    if block < 8:
+        raise ValueError("a block has at least 8 rows")
     rows = sequences(conversations).repartitionByRange("path")
     done, keyed = None, False
     while True:

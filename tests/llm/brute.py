@@ -129,7 +129,7 @@ def prefix_nodes(turns):
     whole = {}
     for c in own:
         h = zlib.crc32(str(c).encode()) % 4
-        whole[c] = tuple(own.get(c - c % 20, [])[:h] + own[c][h:])
+        whole[c] = tuple(own.get(c - int(math.fmod(c, 20)), [])[:h] + own[c][h:])
     members, below = collections.defaultdict(list), collections.defaultdict(list)
     for c, path in whole.items():
         for d in range(len(path) + 1):
