@@ -34,6 +34,11 @@ SUMMERS, FAN = 32, 8
 SENT_PAIRS = 12_000_000
 _KEPT = 4_000_000
 
+# How a byte-level tokenizer cuts a text before merging.
+_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+#: Characters whose class no version of Unicode disputes.
+_PLAIN = re.compile("[ -~\\t\\n\\r\u00c0-\u024f]*")
 _LOOSE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -63,6 +68,7 @@ class TokenPair:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
         from sentencepiece import sentencepiece_model_pb2 as proto
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
@@ -78,6 +84,14 @@ class TokenPair:
             self.bytes_a[i] = bytes(byte_of[c] for c in piece) if all(
                 c in byte_of for c in piece) else piece.encode()
 
+        # Where each merge makes the next id, ids are the ranks that a faster encoder merges by.
+        self.fast = None
+        merges, vocab = spec["model"]["merges"], spec["model"]["vocab"]
+        if all(vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] == 256 + i
+               for i, m in enumerate(merges)):
+            self.fast = Encoding(path_a, pat_str=_BYTE_LEVEL, special_tokens={}, mergeable_ranks={
+                self.bytes_a[i]: i for i in vocab.values()})
+
         self.b = SentencePieceProcessor(model_file=path_b)
         model = proto.ModelProto()
         with open(path_b, "rb") as f:
@@ -99,11 +113,16 @@ class TokenPair:
 
         Units that end in white space would run into the blank of the next one: pass these alone.
         """
-        if units == [""]:
-            return self.a.encode(" ", add_special_tokens=False).ids, [self.blank]
         text = " ".join(units)
-        return (self.a.encode(" " + text, add_special_tokens=False).ids,
-                self.b.encode(text, num_threads=1))
+        if self.fast and self.is_plain(text):
+            a = self.fast.encode_ordinary(" " + text)
+        else:
+            a = self.a.encode(" " + text, add_special_tokens=False).ids
+        return a, self.b.encode(text, num_threads=1) if text else [self.blank]
+
+    @staticmethod
+    def is_plain(text: str) -> bool:
+        return _PLAIN.fullmatch(text) is not None
 
 
 def units_of(text: str) -> list[str]:
@@ -154,17 +173,24 @@ class Aligner:
                 out[:, column] = np.add.reduceat(values.astype(np.int64), starts)
         return out
 
-    def _learn(self, units: list[str], into: dict[str, int]) -> None:
-        """Units to remember: in long runs where nothing stops it, else one by one."""
-        joined = [u for u in units if u and not u[-1].isspace()]
-        for i in range(0, len(joined), 2000):
-            part = joined[i:i + 2000]
-            if not self._add(part, into):
-                for u in part:
-                    self._add([u], into) or self._add_false(u, into)
+    def _learn(self, units: list[str], into: dict[str, int], grouped: bool) -> None:
+        """Align units: in long runs where nothing stops it, else one by one."""
+        runs: dict[bool, list[str]] = {True: [], False: []}
+        alone = []
         for u in units:
-            if not u or u[-1].isspace():
-                self._add([u], into) or self._add_false(u, into)
+            if u and not u[-1].isspace():
+                runs[self.tokens.is_plain(u)].append(u)
+            else:
+                alone.append(u)
+        for run in runs.values():
+            for i in range(0, len(run), 2000):
+                part = run[i:i + 2000]
+                if not self._add(part, into, grouped):
+                    alone += part
+        for u in alone:
+            if not self._add([u], into, grouped):
+                self._keep([u], np.array([[0, 0, 0, 0, 0, 0, 1, 0]]), [b""],
+                           np.zeros(0, np.int64), into)
 
     def _keep(self, units, rows, texts, pairs, into) -> None:
         start = len(self.groups)
@@ -176,10 +202,7 @@ class Aligner:
         self.pair_at.extend((self.pair_at[-1] + np.cumsum(rows[:, 3])).tolist())
         self.pairs.frombytes(pairs.astype(np.int64).tobytes())
 
-    def _add_false(self, unit: str, into: dict[str, int]) -> None:
-        self._keep([unit], np.array([[0, 0, 0, 0, 0, 0, 1, 0]]), [b""], np.zeros(0, np.int64), into)
-
-    def _add(self, units: list[str], into: dict[str, int]) -> bool:
+    def _add(self, units: list[str], into: dict[str, int], grouped: bool) -> bool:
         """Align some units; False, and nothing kept, if a token's bytes are not the text's."""
         t = self.tokens
         ids_a, ids_b = t.encode(units)
@@ -204,7 +227,8 @@ class Aligner:
         rows[:, 3] = links = per_unit(ends)
         rows[:, 0], rows[:, 1], rows[:, 2] = per_unit(ends_a), per_unit(ends_b), per_unit(both)
         rows[:, 4:8] = self._counted(pairs, links)
-        texts = self._group_texts(a, b, ends_a, ends_b, both, unit_ends)
+        texts = self._group_texts(a, b, ends_a, ends_b, both, unit_ends) if grouped else [
+            b""] * len(units)
         self._keep(units, rows, texts, pairs, into)
         return True
 
@@ -232,10 +256,12 @@ class Aligner:
         del self.pair_at[len(self.known) + 1:]
         del self.pairs[self.pair_at[-1]:]
 
-    def places(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def places(self, texts: list[str | None],
+               grouped: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of all texts' units in sequence, and where each text's start.
 
-        They hold until the next call.
+        They hold until the next call. Units that will be forgotten go without the text of their
+        groups unless ``grouped``.
         """
         self._forget()
         cut = [units_of(t) if t else [] for t in texts]
@@ -248,7 +274,8 @@ class Aligner:
                 known = ChainedWords(known)
             else:
                 self.characters += size
-            self._learn(new, known)
+                grouped = True
+            self._learn(new, known, grouped)
         get = known.__getitem__
         flat = np.fromiter((i for doc in cut for i in map(get, doc)), dtype=np.int64,
                            count=sum(map(len, cut)))
@@ -275,7 +302,7 @@ class Aligner:
 
     def pairs_of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, pair and how often the pair is linked there, for each text's distinct pairs."""
-        flat, at = self.places(texts)
+        flat, at = self.places(texts, grouped=False)
         _, right = self._whole(flat, at)
         text = np.repeat(np.arange(len(texts)), np.diff(at))
         keep = right[text]

@@ -250,8 +250,10 @@ def test_segments_alike_for_column_and_array(spark):
 
 def test_memory_of_units_is_bounded():
     aligner = alignment.Aligner(alignment.TokenPair(A, B), remembered=50)
-    first, _ = aligner.figures_of([" ".join(f"w{i}" for i in range(200))])
-    again, _ = aligner.figures_of(["w1 w2", " ".join(f"w{i}" for i in range(200))])
+    many = " ".join(f"w{i}" for i in range(200))
+    aligner.figures_of(["w1 w2"])
+    first, _ = aligner.figures_of([many])
+    again, _ = aligner.figures_of(["w1 w2", many])
     assert len(aligner.known) == 2 and (first[0] == again[1]).all()
     aligner.places([])
     assert len(aligner.groups) == 2 and len(aligner.pair_at) == 3
