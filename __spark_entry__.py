@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,35 +22,31 @@ from tallyspark.operators import (  # noqa: E402
     billing, cost, dashboard, fx, governance, quality, reconcile, restate, spines,
 )
 from tallyspark.plans import checks  # noqa: E402
+from tallyspark.plans.daily import DailyReconciliation  # noqa: E402
 from tallyspark.plans.pipeline import RevenuePlan  # noqa: E402
 from tallyspark.session import working_folder  # noqa: E402
 from tallyspark.sources import landing, snapshots, tables  # noqa: E402
+from tallyspark.sources.facts import FactTables  # noqa: E402
 from tallyspark.sources.star import COST_RUN_DATE, RUN_DATE, StarTables  # noqa: E402
 from tallyspark.streaming import landing as streams  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _present(module: str) -> bool:
-    try:
-        return importlib.util.find_spec(module) is not None
-    except ModuleNotFoundError:
-        return False
-
-
 LLM_QUERIES: dict[str, Query] = {}
 LLM_SQL: dict[str, str] = {}
-if _present("tallyspark.llm.queries"):
+try:  # absent, or without a library it needs: the queries below do not depend on it
     from tallyspark.llm import queries as llm  # noqa: E402
 
     LLM_QUERIES |= llm.QUERIES
     LLM_SQL |= llm.ORACLE_SQL
-    if _present("corpus_pipeline"):
-        import corpus_pipeline  # noqa: E402
+    import corpus_pipeline  # noqa: E402
 
-        LLM_QUERIES["pipeline"] = corpus_pipeline.run
-        if corpus_pipeline.ORACLE_SQL:
-            LLM_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+    LLM_QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+except ImportError:
+    pass
 
 LOOKBACK_START = "2001-06-02"
 RUN_STARTED_AT = "2001-08-01 06:00:00"
@@ -177,7 +173,7 @@ def _stream_landing(max_files=None):
             spark, f"{folder}/in/*/invoices", S.LANDED["invoices"], S.NATURAL_KEYS["invoices"],
             f"{folder}/table", f"{folder}/checkpoint", max_files=max_files,
             prune=["invoice_date"]).awaitTermination()
-        return spark.read.parquet(f"{folder}/table").drop(S.LOADED_AT)
+        return spark.read.parquet(f"{folder}/table").drop(S.LOADED_AT, tables.BATCH)
     return build
 
 
@@ -195,18 +191,19 @@ def _stream_payments_staging(spark, plan, folder):
         tables.append_log(arriving, f"{folder}/raw")
         streams.stream_payments_staging(
             spark, f"{folder}/raw", f"{folder}/staged", f"{folder}/checkpoint",
-            grain="month").awaitTermination()
-    return spark.read.parquet(f"{folder}/staged").drop(S.LOADED_AT, "period")
+            grain="month", buckets=4).awaitTermination()
+    return spark.read.parquet(f"{folder}/staged").drop(S.LOADED_AT, "period", "bucket")
 
 
 # -- reconciliation over time -------------------------------------------------------------------
 def _before_lookback(plan: RevenuePlan) -> reconcile.Facts:
-    """The facts as they were before anything in the lookback window arrived."""
+    """The facts as they were before anything in the lookback window arrived. Lines that came
+    before their invoice had no owner then."""
     known = F.col(S.LOADED_AT) < F.lit(LOOKBACK_START).cast("timestamp_ntz")
     f = plan.facts
     return reconcile.Facts(f.invoices.where(known), f.credit_memos.where(known),
-                           f.landed_payments.where(known), f.gl_journal_entries.where(known),
-                           f.accounts)
+                           f.landed_payments.where(known),
+                           f.gl_journal_entries.where(known).drop("account_id"), f.accounts)
 
 
 def _earlier_state(plan: RevenuePlan) -> DataFrame:
@@ -262,6 +259,87 @@ def _to_usd_invoices(plan):
     return usd.select("invoice_id", F.round("amount_usd", 2).alias("amount_usd"))
 
 
+# -- landing in batches, and runs by the day ----------------------------------------------------
+def _facts_in_batches(spark, plan, folder):
+    """The ledger lands whole before half of its invoices do; the second batch comes twice."""
+    early = F.col("invoice_date") < CUT_DAY
+    lines = plan.gl_journal_entries
+    frames = {"invoices": plan.invoices, "credit_memos": plan.credit_memos,
+              "payments": plan.landed["payments"], "gl_journal_entries": lines}
+    landed = FactTables(spark, folder, {n: df.schema for n, df in frames.items()})
+    first = {"invoices": plan.invoices.where(early), "gl_journal_entries": lines}
+    second = {"invoices": plan.invoices.where(~early), "credit_memos": plan.credit_memos,
+              "payments": plan.landed["payments"]}
+    for batch, rows in (("1", first), ("2", second), ("2", second)):
+        landed.land(batch, rows)
+    facts = reconcile.Facts(*[landed.read(n) for n in frames], plan.accounts)
+    return to_cents(reconcile.revenue_reconciliation(facts, plan.fx))
+
+
+def _landing_replayed(spark, plan, folder):
+    """Two batches of payments, some without an id; the second one comes twice."""
+    number = F.substring("invoice_id", 5, 7).cast("int")
+    payments = plan.landed["payments"].drop(S.LOADED_AT).withColumn(
+        "payment_id", F.when(number % 7 != 0, F.col("payment_id")))
+    late = F.col("payment_date") >= CUT_DAY
+    for batch, rows in (("1", ~late), ("2", late), ("2", late)):
+        tables.insert_if_absent(spark, folder, payments.where(rows), ["payment_id"], batch=batch)
+    return spark.read.parquet(folder).drop(S.LOADED_AT, tables.BATCH)
+
+
+def _stream_payments_one_more(spark, plan, folder):
+    """All payments are staged; then one more copy of the first arrives, with a lower id."""
+    payments = plan.landed["payments"]
+    first = payments.orderBy("payment_id").limit(1)
+    for arriving in (payments, first.withColumn("payment_id", F.concat(F.lit("A"), "payment_id"))):
+        tables.append_log(arriving, f"{folder}/raw")
+        streams.stream_payments_staging(
+            spark, f"{folder}/raw", f"{folder}/staged", f"{folder}/checkpoint",
+            grain="month", buckets=4).awaitTermination()
+    return spark.read.parquet(f"{folder}/staged").drop(S.LOADED_AT, "period", "bucket")
+
+
+DAYS = (("run-1", LOOKBACK_START, "2001-06-02 06:00:00"), ("run-2", RUN_DATE, RUN_STARTED_AT))
+
+
+def _days(spark, plan, folder, keep_days=90):
+    """A run before the lookback, one after it, and the last called once more."""
+    daily = DailyReconciliation(spark, folder, keep_days=keep_days)
+    before = _before_lookback(plan)
+    for facts, (run, as_of, started) in zip((before, plan.facts, plan.facts), (*DAYS, DAYS[1])):
+        daily.run(facts, plan.fx, run, as_of, started)
+    return daily
+
+
+def _daily_run(spark, plan, folder):
+    return to_cents(_days(spark, plan, folder).reconciliation())
+
+
+def _daily_run_restated(spark, plan, folder):
+    daily = _days(spark, plan, folder)
+    keys = daily.log().where("run = 'run-2'")
+    return restate.restatement_diff(to_cents(daily.reconciliation(before_run="run-2")),
+                                    to_cents(daily.reconciliation(run_id="run-2")), keys)
+
+
+def _daily_run_log(spark, plan, folder):
+    return _days(spark, plan, folder).log().drop("run")
+
+
+def _expired_versions(spark, plan, folder):
+    """A day's retention: the first version is refused a day after the second, which is whole."""
+    daily = _days(spark, plan, folder, keep_days=1)
+    snapshots.expire(spark, daily.mart, 1, datetime.fromisoformat("2001-08-02 06:00:01"))
+    known = snapshots.manifest(spark, daily.mart).select("run_id", "is_expired")
+    counted = []
+    for run in ("run-1", "run-2"):
+        try:
+            counted.append((run, daily.reconciliation(run_id=run).count()))
+        except LookupError:
+            counted.append((run, None))
+    return known.join(spark.createDataFrame(counted, "run_id string, n_keys long"), "run_id")
+
+
 # -- checks over inputs with a fault ------------------------------------------------------------
 def _in_june(day, column, wrong):
     """``wrong`` in place of a column in the months of June."""
@@ -427,6 +505,11 @@ def queries() -> dict[str, Query]:
         "restatement_log": planned(_restatement_log),
         "restated_periods": stored(_restated_periods),
         "restatement_diff": stored(_restatement_diff),
+        "facts_in_batches": stored(_facts_in_batches),
+        "daily_run": stored(_daily_run),
+        "daily_run_log": stored(_daily_run_log),
+        "daily_run_restated": stored(_daily_run_restated),
+        "expired_versions": stored(_expired_versions),
         "unconverted_payments": planned(_unconverted_payments),
         "to_usd_invoices": planned(_to_usd_invoices),
         # billing and ledger
@@ -477,6 +560,8 @@ def queries() -> dict[str, Query]:
         "stream_landing_file_by_file": stored(_stream_landing(max_files=1)),
         "landing_csv_multiline": _landing_csv_multiline,
         "stream_payments_staging": stored(_stream_payments_staging),
+        "stream_payments_one_more": stored(_stream_payments_one_more),
+        "landing_replayed_batch": stored(_landing_replayed),
         # quality
         "check_not_null": planned(lambda p: quality.not_null(
             p.contracts, "co_termination_group").select("contract_id", "version_number")),

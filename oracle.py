@@ -465,6 +465,24 @@ RECONCILIATION = {
             coalesce(a.legal_entity, b.legal_entity) AS legal_entity, {_DIFF}
           FROM rec a FULL JOIN old b USING (month_start, legal_entity)) t
         WHERE {_CHANGED}""", RECON, reconciled("old", f"arrived < {SINCE}")),
+    "facts_in_batches": q(_RECON_ALL, RECON),
+    "daily_run": q(f"{_RECON_ALL} UNION ALL {_ORPHANS}", RECON),
+    "daily_run_log": q(f"""
+        SELECT * FROM (
+          SELECT TIMESTAMP '2001-06-02 06:00:00' AS run_started_at, 'run-1' AS run_id, month_start,
+            legal_entity FROM usd WHERE arrived >= {SINCE} - INTERVAL 60 DAY AND arrived < {SINCE}
+          UNION
+          SELECT TIMESTAMP '2001-08-01 06:00:00', 'run-2', k.* FROM ({_KEYS}) k) t"""),
+    "daily_run_restated": q(f"""
+        SELECT * FROM (
+          SELECT coalesce(a.month_start, b.month_start) AS month_start,
+            coalesce(a.legal_entity, b.legal_entity) AS legal_entity, {_DIFF}
+          FROM rec a FULL JOIN old b USING (month_start, legal_entity)) t
+        WHERE {_CHANGED}""", RECON, reconciled("old", f"arrived < {SINCE}")),
+    "expired_versions": q(f"""
+        SELECT 'run-1' AS run_id, TRUE AS is_expired, NULL AS n_keys
+        UNION ALL SELECT 'run-2', FALSE, count(*) FROM ({_RECON_ALL} UNION ALL {_ORPHANS}) t""",
+                          RECON),
     "unconverted_payments": q(f"""
         SELECT payment_id, payment_date, {amount()} FROM paid
         WHERE payment_date > (SELECT hi FROM edges)"""),
@@ -636,6 +654,13 @@ SOURCES = {
         SELECT doc_id, CASE WHEN text NOT IN ('', 'NULL', 'null') THEN text END AS text, lang, source,
           n_chars FROM documents""",
     "stream_payments_staging": q(f"SELECT {_PAYMENT} FROM paid"),
+    "stream_payments_one_more": q(f"""
+        SELECT CASE WHEN payment_id = (SELECT min(payment_id) FROM pay) THEN 'A' || payment_id
+            ELSE payment_id END AS payment_id, invoice_id, account_id, payment_date, {amount()},
+          currency FROM paid"""),
+    "landing_replayed_batch": q(f"""
+        SELECT CASE WHEN CAST(substr(invoice_id, 5) AS INTEGER) % 7 <> 0 THEN payment_id END
+            AS payment_id, invoice_id, account_id, payment_date, {amount()}, currency FROM pay"""),
 }
 
 QUALITY = {

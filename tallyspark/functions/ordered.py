@@ -4,6 +4,9 @@ A plain window over a key sorts all rows of that key in one task. Here each key
 ranges along the sort order. A first pass scans inside the ranges; a second pass carries one
 summary row per range across range borders. The result equals the plain window, while a key
 holding a large share of the rows is spread over as many tasks as it has ranges.
+
+``ordinals`` numbers a whole table the same way: ranges are sorted each in a task of its own, and
+only their sizes are added up in one place.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.session import stage_table
+
 RANGE_WIDTH = 4096
 HOT_ROWS = 1_000_000
 
@@ -35,21 +40,21 @@ def with_next(df: DataFrame, keys: Sequence[str], order: str, value: str, into:
     cut = df.withColumn("_range", F.coalesce(_range_of(order, width), F.lit(2**62)))
     position = F.struct(F.col(order).isNull(), F.col(order), F.col(value))
     cell = F.struct(F.col(value).alias("v"))
-    inside = cut.withColumn(
-        "_next", F.lead(cell).over(_spread(keys, "_range").orderBy(position)))
-    heads = cut.groupBy(*keys, "_range").agg(F.min_by(cell, position).alias("_head"))
-    carried = (
-        heads.withColumn(
-            "_carry", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_range")))
-        .where("_carry is not null")
-        .select(*keys, "_range", "_carry")
-    )
-    joined = inside.join(carried, [*keys, "_range"], "left")
-    follower = F.coalesce("_next", "_carry")
+    inside_range = _spread(keys, "_range").orderBy(position)
+    # Both parts below need every column, so they share one exchange and one scan.
+    seen = cut.withColumns({"_next": F.lead(cell).over(inside_range),
+                            "_opens": F.lag(F.lit(True)).over(inside_range).isNull()})
+    within = seen.where("_next IS NOT NULL")
+    # The first and last row of each range: what follows a last one is the next range's first.
+    border = Window.partitionBy(*keys).orderBy("_range", position)
+    across = (seen.where("_next IS NULL OR _opens")
+              .withColumn("_after", F.lead(cell).over(border))
+              .where("_next IS NULL").drop("_next").withColumnRenamed("_after", "_next"))
+    follower = F.col("_next")
     columns = [*[F.col(c) for c in df.columns], follower["v"].alias(into)]
     if is_last:
         columns.append(follower.isNull().alias(is_last))
-    return joined.select(*columns)
+    return within.select(*columns).unionByName(across.select(*columns))
 
 
 def with_running_count(df: DataFrame, keys: Sequence[str], order: str, condition: Column,
@@ -100,3 +105,25 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], into: st
     if total:
         columns.append(F.coalesce("_total", "_local_total").alias(total))
     return joined.select(*columns)
+
+
+def ordinals(df: DataFrame, *order: Column, into: str) -> DataFrame:
+    """The rows in ranges of ``order``, with ``into`` = 1, 2, 3 and on.
+
+    The ranges are written sorted; each row's place in its range comes from the number that Spark
+    gives it there. The sizes of the ranges, one for each task, are all that is fetched.
+    """
+    bits = 33
+    placed = stage_table(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
+            into, F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright(into, bits)
+    sizes = {r[0]: r[1] for r in placed.groupBy(part).count().collect()}
+    before, done = {}, 1
+    for number in sorted(sizes):
+        before[number], done = done, done + sizes[number]
+    if not before:
+        return placed
+    starts = F.create_map(*[F.lit(x).cast("long") for pair in before.items() for x in pair])
+    inside = F.col(into).bitwiseAND((1 << bits) - 1)
+    return placed.withColumn(into, F.element_at(starts, part) + inside)

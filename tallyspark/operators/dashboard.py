@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.functions.ordered import ordinals
 from tallyspark.functions.scalar import latest, percent_change
 
 # Bars of the bridge in display order, with the column each one shows.
@@ -24,9 +25,9 @@ TREND = BRIDGE[1:6]
 
 
 def in_order(report: DataFrame, *order: Column) -> DataFrame:
-    """A report of few rows, sorted, with each row's ``place`` from 1. Not for a large table: the
-    places are given by one task."""
-    return report.withColumn("place", F.row_number().over(Window.orderBy(*order))).orderBy("place")
+    """A report sorted, with each row's ``place`` from 1. Reports may be long: no task sees all
+    rows. Rows equal in ``order`` get their places in any order."""
+    return ordinals(report, *order, into="place").orderBy("place")
 
 
 def headline_arr(portfolio: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -15,6 +16,7 @@ from tallyspark.functions.scalar import (
 )
 from tallyspark.operators.fx import rate_on, to_usd
 from tallyspark.operators.staging import PAYMENT_IDENTITY, dedupe_payments
+from tallyspark.sources.facts import FACT_DATE, MONTH, own_lines
 from tallyspark.sources.tables import empty_like, replace_keys, within_range
 
 KEY = ("month_start", "legal_entity")
@@ -23,7 +25,12 @@ MEASURES = ("billed_usd", "recognized_usd", "credit_usd", "collected_usd", "manu
 
 @dataclass(frozen=True)
 class Facts:
-    """Inputs of the reconciliation: staged tables, with payments as landed, copies included."""
+    """Inputs of the reconciliation: staged tables, with payments as landed, copies included.
+
+    Where the ledger carries ``account_id`` (``sources.facts``), the invoices are not needed to
+    find it. Where the tables carry their month as a partition, only the folders of the months
+    asked for are read.
+    """
 
     invoices: DataFrame
     credit_memos: DataFrame
@@ -35,40 +42,61 @@ class Facts:
     def payments(self) -> DataFrame:
         return dedupe_payments(self.landed_payments)
 
+    @property
+    def ledger(self) -> DataFrame:
+        """Journal lines with the account of their invoice."""
+        lines = self.gl_journal_entries
+        return lines if "account_id" in lines.columns else own_lines(lines, self.invoices)
+
     def payments_since(self, since: Column) -> DataFrame:
         """Payments that survive deduplication and arrived at or after a moment.
 
         Only payments with a recent copy can qualify, so the rest is left out before deduplicating.
-        Copies share their date: the dates of the recent ones are found first and reach the scan
-        as a range. The identity may hold NULLs, which count as equal here.
+        Copies share their date: the months or dates of the recent ones are found first and reach
+        the scan. The identity may hold NULLs, which count as equal here.
         """
         recent = F.col(S.LOADED_AT) >= since
-        near = within_range(self.landed_payments, self.landed_payments.where(recent),
-                            ["payment_date"])
-        touched = self.landed_payments.where(recent).select(
-            *[F.col(c).alias(f"_{c}") for c in PAYMENT_IDENTITY]).distinct()
+        arrived = self.landed_payments.where(recent)
+        if MONTH in self.landed_payments.columns:
+            near = in_months(self.landed_payments, "payment_date", distinct_months(arrived, MONTH))
+        else:
+            near = within_range(self.landed_payments, arrived, ["payment_date"])
+        touched = arrived.select(*[F.col(c).alias(f"_{c}") for c in PAYMENT_IDENTITY]).distinct()
         same = reduce(lambda a, b: a & b, [
             F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PAYMENT_IDENTITY])
         return dedupe_payments(
             near.join(touched, same, "left_semi")).where(recent)
 
-    def only_months(self, months: DataFrame, first: date, last: date) -> Facts:
-        """The facts dated in the given months, which lie between ``first`` and ``last``.
+    def only_months(self, months: Sequence[date | None]) -> Facts:
+        """The facts dated in the given months. They are few: the calendar bounds them."""
+        return Facts(
+            in_months(self.invoices, FACT_DATE["invoices"], months),
+            in_months(self.credit_memos, FACT_DATE["credit_memos"], months),
+            in_months(self.landed_payments, FACT_DATE["payments"], months),
+            in_months(self.ledger, FACT_DATE["gl_journal_entries"], months), self.accounts)
 
-        The range is a plain comparison of the date column, so it reaches the scans and prunes
-        files and partitions; the months in between that are not wanted fall to the semi join. The
-        calendar bounds the broadcast: there is at most one row per month of the range.
-        """
-        after_last = F.add_months(F.lit(last), 1)
 
-        def cut(df: DataFrame, day: str) -> DataFrame:
-            return (df.where((F.col(day) >= F.lit(first)) & (F.col(day) < after_last))
-                    .join(F.broadcast(months), month_start(day) == months.month_start,
-                          "left_semi"))
+def distinct_months(df: DataFrame, month: str) -> list[date | None]:
+    """The months that occur, fetched: at most one value for each month of the calendar."""
+    return [r[0] for r in df.select(month).distinct().collect()]
 
-        return Facts(cut(self.invoices, "invoice_date"), cut(self.credit_memos, "issue_date"),
-                     cut(self.landed_payments, "payment_date"),
-                     cut(self.gl_journal_entries, "posting_date"), self.accounts)
+
+def in_months(df: DataFrame, day: str, months: Sequence[date | None]) -> DataFrame:
+    """Rows dated in one of the months, given as literals.
+
+    On a table laid out by month the condition names its folders. Elsewhere the range of the months
+    is a plain comparison of the date column besides, which prunes files by their statistics.
+    """
+    known = sorted(m for m in months if m is not None)
+    if MONTH in df.columns:
+        wanted, near = F.col(MONTH), F.lit(True)
+    elif known:
+        wanted = month_start(day)
+        near = (F.col(day) >= F.lit(known[0])) & (F.col(day) < F.add_months(F.lit(known[-1]), 1))
+    else:
+        wanted, near = month_start(day), F.lit(True)
+    hit = near & wanted.isin(known) if known else F.lit(False)
+    return df.where(hit | wanted.isNull() if None in months else hit)
 
 
 def _monthly(df: DataFrame, owner: str, day: str, **measures: Column) -> DataFrame:
@@ -79,13 +107,6 @@ def _monthly(df: DataFrame, owner: str, day: str, **measures: Column) -> DataFra
     return df.groupBy(owner, month).agg(*[F.sum(c).alias(name) for name, c in measures.items()])
 
 
-def _ledger_by_account(gl: DataFrame, invoices: DataFrame, **measures: Column) -> DataFrame:
-    """Monthly ledger sums, each journal line belonging to the account of its invoice."""
-    owners = invoices.select("invoice_id", "account_id")
-    return (_monthly(gl, "invoice_id", "posting_date", **measures)
-            .join(owners, "invoice_id", "left").drop("invoice_id"))
-
-
 def _with_entity(df: DataFrame, accounts: DataFrame) -> DataFrame:
     return df.join(accounts.select("account_id", "legal_entity"), "account_id", "left")
 
@@ -111,8 +132,7 @@ def revenue_lines(gl: DataFrame, fx: DataFrame) -> DataFrame:
     )
 
 
-def revenue_reconciliation(facts: Facts, fx: DataFrame,
-                           invoices_for_ledger: DataFrame | None = None) -> DataFrame:
+def revenue_reconciliation(facts: Facts, fx: DataFrame) -> DataFrame:
     """All measures per month and entity.
 
     Amounts are converted next to the scan, summed per account and month, and only then joined to
@@ -120,7 +140,6 @@ def revenue_reconciliation(facts: Facts, fx: DataFrame,
     aggregation. Keys without an entity are listed with zero measures.
     """
     usd = F.col("amount_usd")
-    ledger_invoices = facts.invoices if invoices_for_ledger is None else invoices_for_ledger
     per_account = _union([
         _monthly(to_usd(facts.invoices, fx, "invoice_date"), "account_id", "invoice_date",
                  billed_usd=usd),
@@ -128,9 +147,8 @@ def revenue_reconciliation(facts: Facts, fx: DataFrame,
                  credit_usd=usd),
         _monthly(to_usd(facts.payments, fx, "payment_date"), "account_id", "payment_date",
                  collected_usd=usd),
-        _ledger_by_account(
-            revenue_lines(facts.gl_journal_entries, fx), ledger_invoices,
-            recognized_usd=F.col("_signed_usd"), manual_adjustment_usd=F.col("_manual_usd")),
+        _monthly(revenue_lines(facts.ledger, fx), "account_id", "posting_date",
+                 recognized_usd=F.col("_signed_usd"), manual_adjustment_usd=F.col("_manual_usd")),
     ])
     totals = _with_entity(per_account, facts.accounts).groupBy(*KEY).agg(
         *[F.sum(m).alias(m) for m in MEASURES])
@@ -158,7 +176,7 @@ def affected_keys(facts: Facts, as_of: date | str | None = None,
         _monthly(facts.credit_memos.where(F.col("system_entry_date") >= since_day),
                  "account_id", "issue_date"),
         _monthly(facts.payments_since(since), "account_id", "payment_date"),
-        _ledger_by_account(facts.gl_journal_entries.where(recent), facts.invoices),
+        _monthly(facts.ledger.where(recent), "account_id", "posting_date"),
     ])
     return _with_entity(touched, facts.accounts).select(*KEY).distinct()
 
@@ -169,13 +187,11 @@ def revenue_reconciliation_for(keys: DataFrame, facts: Facts, fx: DataFrame) ->
     Keys are matched by equality, so a key without an entity is not reprocessed. The keys are read
     several times, the first time here to find the range of months: pass them from a table.
     """
-    months = keys.where("legal_entity is not null").select("month_start").distinct()
-    first, last = months.agg(F.min("month_start"), F.max("month_start")).first()
-    if first is None:
+    months = distinct_months(keys.where("legal_entity is not null"), "month_start")
+    if not months:
         return empty_like(keys.sparkSession, revenue_reconciliation(facts, fx).schema)
-    return revenue_reconciliation(
-        facts.only_months(months, first, last), fx, invoices_for_ledger=facts.invoices
-    ).join(keys, list(KEY), "left_semi")
+    return revenue_reconciliation(facts.only_months(months), fx).join(
+        keys, list(KEY), "left_semi")
 
 
 def revenue_reconciliation_incremental(current: DataFrame, facts: Facts, fx: DataFrame,

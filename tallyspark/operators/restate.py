@@ -16,10 +16,15 @@ RESTATED = (*MEASURES, "recognized_net_of_credits_usd")
 
 
 def restatement_log(facts: Facts, run_id: str, run_started_at: datetime | str | None = None,
-                    as_of: date | str | None = None,
-                    lookback_days: int = S.LOOKBACK_DAYS) -> DataFrame:
-    """Log rows of one run: every key that received data within the lookback."""
-    return affected_keys(facts, as_of, lookback_days).select(
+                    as_of: date | str | None = None, lookback_days: int = S.LOOKBACK_DAYS,
+                    keys: DataFrame | None = None) -> DataFrame:
+    """Log rows of one run: every key that received data within the lookback.
+
+    ``keys`` takes these keys from a table, where they were written before.
+    """
+    if keys is None:
+        keys = affected_keys(facts, as_of, lookback_days)
+    return keys.select(
         as_of_timestamp(run_started_at).alias("run_started_at"),
         F.lit(run_id).alias("run_id"), *KEY)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyspark import schemas as S
 from tallyspark.operators import arr, cost, fx, reconcile, spines, staging, versions, waterfall
 from tallyspark.session import stage_table
+from tallyspark.sources.facts import MONTH, by_month, own_lines
 
 Stage = Callable[..., DataFrame]
 
@@ -170,8 +171,15 @@ class RevenuePlan:
     # -- reconciliation ---------------------------------------------------------------------
     @cached_property
     def facts(self) -> reconcile.Facts:
-        return reconcile.Facts(self.invoices, self.credit_memos, self.landed["payments"],
-                               self.gl_journal_entries, self.accounts)
+        """The facts laid out by month, each ledger line with the account of its invoice."""
+        def laid(df: DataFrame, table: str) -> DataFrame:
+            return self.stage(by_month(df, table), f"fact_{table}", [MONTH])
+
+        return reconcile.Facts(
+            laid(self.invoices, "invoices"), laid(self.credit_memos, "credit_memos"),
+            laid(self.landed["payments"], "payments"),
+            laid(own_lines(self.gl_journal_entries, self.invoices), "gl_journal_entries"),
+            self.accounts)
 
     @cached_property
     def reconciliation(self) -> DataFrame:

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.sources.files import delete_folder
+
 _local_folders: dict[str, str] = {}
+_staged: list[list[str]] = []
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -65,9 +69,27 @@ def stage_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     gathered by partition first, and a filter on its columns chooses folders.
     """
     path = f"{working_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    for area in _staged:
+        area.append(path)
     if not partition_by:
         df.write.parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
     (df.hint("rebalance", *[F.col(c) for c in partition_by])
      .write.partitionBy(*partition_by).parquet(path))
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was staged inside. Results must be written elsewhere before.
+
+    Nothing is deleted where the work inside fails, so that it can be looked at.
+    """
+    area: list[str] = []
+    _staged.append(area)
+    try:
+        yield
+    finally:
+        _staged.remove(area)
+    for path in area:
+        delete_folder(spark, path)

@@ -14,6 +14,10 @@ from tallyspark import schemas as S
 from tallyspark.sources.landing import daily_slice, daily_slice_child
 
 
+#: The folder of a batch that may be landed again.
+BATCH = "landed_batch"
+
+
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty table of the same structure."""
     return spark.createDataFrame([], schema)
@@ -63,21 +67,35 @@ def within_range(target: DataFrame, source: DataFrame, columns: Sequence[str]) -
 
 def insert_if_absent(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                      loaded_at: Column | None = None, partition_by: Sequence[str] = (),
-                     prune: Sequence[str] = ()) -> None:
+                     prune: Sequence[str] = (), batch: str | None = None) -> None:
     """Append the rows with a new key, stamped with the load time. Known keys stay as they are.
 
     ``prune`` names columns that a key determines: the table is only searched where their values
     lie in the range of ``source``. Such a key must never come with two values of the column.
+
+    ``batch`` names a delivery that may come again after a failure. Its rows get a folder of that
+    name, which is also the table's column ``BATCH``; landed again, it replaces its own rows,
+    those with a NULL key part included, and nothing else. A table is landed with names throughout
+    or without.
     """
     schema = S.with_loaded_at(source.schema)
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
     source = source.persist()
     try:
-        target = within_range(read_table(spark, path, schema), source, prune)
+        if batch is not None:
+            schema = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
+        target = read_table(spark, path, schema)
+        if batch is not None:
+            target = target.where(F.col(BATCH) != batch)
+        target = within_range(target, source, prune)
         fresh = absent_rows(target, source, keys).withColumn(
             S.LOADED_AT, stamp.cast("timestamp_ntz"))
-        _gathered(fresh, partition_by).write.mode("append").partitionBy(*partition_by).parquet(
-            path)
+        write = _gathered(fresh, partition_by).write.partitionBy(*partition_by)
+        if batch is None:
+            write.mode("append").parquet(path)
+        else:
+            write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+                f"{path}/{BATCH}={batch}")
     finally:
         source.unpersist()
 
