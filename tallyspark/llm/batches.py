@@ -6,6 +6,7 @@ Hashes are 64-bit and depend on the bytes alone, so that every task and every ru
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +20,9 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_SEED = np.uint64(0x9E3779B97F4A7C15)
+_FIRST = np.uint64(0xD6E8FEB86659FD93)
+_SECOND = np.uint64(0xA0761D6478BD642F)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,18 +36,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+def _next(state: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The state after one more 64-bit word."""
+    state = (state ^ word) * _FIRST
+    state ^= state >> np.uint64(32)
+    state *= _SECOND
+    state ^= state >> np.uint64(29)
+    return state
 
 
-def _powers(base: int, count: int) -> np.ndarray:
-    out = np.full(count, base, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_BLOCK = 1 << 19
-_UP = _powers(_BASE, _BLOCK + 1)
-_DOWN = _powers(_INVERSE, _BLOCK + 1)
+#: Spans beyond this many bytes are hashed one by one.
+_LONG = 512
+_TAILS = np.array([0] + [(1 << 8 * n) - 1 for n in range(1, 8)], dtype=np.uint64)
 
 
 def slices(batch: pa.RecordBatch, column: str = "text",
@@ -90,45 +92,29 @@ def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each span of bytes, in memory bounded by the block and the number of spans.
+    """A hash of each span of bytes, from its length and its 64-bit words one after the other.
 
-    Spans are ordered and do not overlap. A span longer than a block is hashed block by block.
+    Spans without regular structure in common and spans of repeated patterns are told apart alike:
+    every step mixes the state with the word, so no sum over places can cancel.
     """
-    out = np.empty(len(starts), dtype=np.uint64)
-    done = 0
-    while done < len(starts):
-        first = int(starts[done])
-        stop = int(np.searchsorted(ends, first + _BLOCK, side="right"))
-        if stop <= done:
-            total, scale = 0, 1
-            for block in range(first, int(ends[done]), _BLOCK):
-                part = _BYTE[data[block:min(block + _BLOCK, int(ends[done]))]]
-                value = int((part * _UP[:len(part)]).sum(dtype=np.uint64))
-                total = (total + value * scale) % (1 << 64)
-                scale = scale * pow(_BASE, len(part), 1 << 64) % (1 << 64)
-            out[done] = total
-            stop = done + 1
-        else:
-            last = int(ends[stop - 1])
-            sums = np.zeros(last - first + 1, dtype=np.uint64)
-            np.cumsum(_BYTE[data[first:last]] * _UP[:last - first], out=sums[1:])
-            low, high = starts[done:stop] - first, ends[done:stop] - first
-            out[done:stop] = (sums[high] - sums[low]) * _DOWN[low]
-        done = stop
-    return mix(out ^ ((ends - starts).astype(np.uint64) * np.uint64(_BASE)))
-
-
-def rolling_hashes(data: np.ndarray, size: int, block: int = 1 << 15) -> np.ndarray:
-    """A hash of each ``size`` consecutive bytes."""
-    out = np.empty(max(0, len(data) - size + 1), dtype=np.uint64)
-    for start in range(0, len(out), block):
-        part = _BYTE[data[start:start + block + size - 1]]
-        part *= _UP[:len(part)]
-        sums = np.zeros(len(part) + 1, dtype=np.uint64)
-        np.cumsum(part, out=sums[1:])
-        here = sums[size:] - sums[:-size]
-        here *= _DOWN[:len(here)]
-        out[start:start + block] = mix(here)
+    sizes = ends - starts
+    out = mix(sizes.astype(np.uint64) * _SEED + _FIRST)
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    words = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    todo = np.flatnonzero((sizes > 0) & (sizes <= _LONG))
+    at, left, state = starts[todo], sizes[todo], out[todo]
+    while len(todo):
+        word = words[at]
+        short = left < 8
+        word[short] &= _TAILS[left[short]]
+        state = _next(state, word)
+        done = left <= 8
+        out[todo[done]] = state[done]
+        more = ~done
+        todo, at, left, state = todo[more], at[more] + 8, left[more] - 8, state[more]
+    for i in np.flatnonzero(sizes > _LONG).tolist():
+        part = np.ascontiguousarray(data[starts[i]:ends[i]])
+        out[i] = int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little")
     return out
 
 
@@ -137,10 +123,10 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     count = len(words) - size + 1
     if count <= 0:
         return np.zeros(0, dtype=np.uint64)
-    out = np.zeros(count, dtype=np.uint64)
+    out = np.full(count, _SEED, dtype=np.uint64)
     for i in range(size):
-        out = out * np.uint64(_BASE) + words[i:i + count]
-    return mix(out)
+        out = _next(out, words[i:i + count].astype(np.uint64))
+    return out
 
 
 def code_points(data: np.ndarray) -> np.ndarray:
