@@ -457,6 +457,34 @@ def _models(plan: RevenuePlan) -> dict[str, DataFrame]:
 
 
 
+def _with_faults(tables_by_name: dict[str, DataFrame], declared) -> dict[str, DataFrame]:
+    """Chosen rows lose their last column that must be known, get an unknown value in their last
+    column of given values, and come twice."""
+    out = dict(tables_by_name)
+    for name, where in oracle.FAULTY_ROWS.items():
+        if name not in out:
+            continue
+        rules, bad = declared[name], F.col("_bad")
+        df = out[name].withColumn("_bad", F.expr(where))
+        change = {c: F.when(~F.coalesce(bad, F.lit(False)), F.col(c)) for c in rules.not_null[-1:]}
+        change |= {c: F.when(bad, F.lit("none")).otherwise(F.col(c))
+                   for c in list(rules.accepted)[-1:]}
+        df = df.withColumns(change)
+        out[name] = df.unionAll(df.where(bad)).drop("_bad")
+    return out
+
+
+def _checks_found(tables_of: Callable[[RevenuePlan], dict[str, DataFrame]], declared) -> Query:
+    return planned(lambda p: checks.check_report(_with_faults(tables_of(p), declared), declared))
+
+
+def _freshness_warnings(plan):
+    newest = plan.landed["credit_memos"].agg(
+        (F.max("system_entry_date").cast("timestamp_ntz") + F.expr("interval 36 hours"))
+        .cast("string")).first()[0]
+    return checks.freshness_report(plan.landed, newest)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Company ARR per month and why it moved."""
     return plan_for(spark, "/root/testdata/sf0.001").portfolio_waterfall
@@ -594,6 +622,10 @@ def queries() -> dict[str, Query]:
                                           checks.SOURCE_CHECKS)),
         "declared_model_checks": planned(
             lambda p: checks.check_report(_models(p), checks.MODEL_CHECKS)),
+        "declared_source_checks_found": _checks_found(
+            lambda p: {n: p.landed[n] for n in S.LANDED}, checks.SOURCE_CHECKS),
+        "declared_model_checks_found": _checks_found(_models, checks.MODEL_CHECKS),
+        "freshness_warnings": planned(_freshness_warnings),
     }
     return q | LLM_QUERIES
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark import schemas as S
 from tallyspark.operators import quality
+from tallyspark.session import stage_table
 
 
 @dataclass(frozen=True)
@@ -145,18 +146,43 @@ FRESHNESS: dict[str, tuple[timedelta, timedelta]] = {
 # ----------------------------------------------------------------------------------------------
 
 
-def _row_checks(name: str, df: DataFrame, checks: Checks) -> DataFrame | None:
-    """All checks a row can fail on its own, counted in a single pass over the table."""
-    failing = [("not_null", c, F.col(c).isNull()) for c in checks.not_null]
-    failing += [("accepted_values", c, ~F.col(c).isin(*values))
-                for c, values in checks.accepted.items()]
-    if not failing:
-        return None
-    counts = df.agg(*[F.count_if(bad).alias(f"_{i}") for i, (_, _, bad) in enumerate(failing)])
-    cells = [F.struct(F.lit(check).alias("check_name"), F.lit(column).alias("column_name"),
-                      F.col(f"_{i}").alias("violations"))
-             for i, (check, column, _) in enumerate(failing)]
-    return counts.select(F.lit(name).alias("table_name"), F.inline(F.array(*cells)))
+def _key_sets(declared: Mapping[str, Checks], name: str) -> list[tuple[str, ...]]:
+    """The columns whose values some check of this table, or of a child of it, has to know."""
+    own = declared.get(name, Checks())
+    wanted = [(c,) for c in (*own.unique, *own.parents)]
+    wanted += [own.combination] if own.combination else []
+    wanted += [(key,) for checks in declared.values() for parent, key in checks.parents.values()
+               if parent == name]
+    return sorted(set(wanted))
+
+
+_ROWS = -1
+
+
+def _failing(checks: Checks) -> list[tuple[str, str, Column]]:
+    """The checks that a row fails on its own."""
+    return [("not_null", c, F.col(c).isNull()) for c in checks.not_null] + [
+        ("accepted_values", c, F.coalesce(~F.col(c).isin(*values), F.lit(False)))
+        for c, values in checks.accepted.items()]
+
+
+def key_profile(df: DataFrame, checks: Checks, key_sets: Sequence[tuple[str, ...]]) -> DataFrame:
+    """How often each value of each key set occurs, and how many rows fail each row check.
+
+    One pass over ``df`` and one aggregation, combined on the map side, serve every check.
+    """
+    failing = _failing(checks)
+    cells = [F.struct(F.lit(i).alias("key_set"),
+                      F.array(*[F.col(c).cast("string") for c in columns]).alias("key"),
+                      *[F.lit(None).cast("long").alias(f"bad_{k}") for k in range(len(failing))])
+             for i, columns in enumerate(key_sets)]
+    cells.append(F.struct(F.lit(_ROWS).alias("key_set"),
+                          F.lit(None).cast("array<string>").alias("key"),
+                          *[bad.cast("long").alias(f"bad_{k}")
+                            for k, (_, _, bad) in enumerate(failing)]))
+    return df.select(F.inline(F.array(*cells))).groupBy("key_set", "key").agg(
+        F.count("*").alias("n"), *[F.sum(f"bad_{k}").alias(f"bad_{k}")
+                                   for k in range(len(failing))])
 
 
 def _counted(name: str, check: str, column: str, violations: DataFrame) -> DataFrame:
@@ -165,23 +191,42 @@ def _counted(name: str, check: str, column: str, violations: DataFrame) -> DataF
         F.lit(column).alias("column_name"), "violations")
 
 
-def check_report(tables: Mapping[str, DataFrame], declared: Mapping[str, Checks]) -> DataFrame:
+def check_report(tables: Mapping[str, DataFrame], declared: Mapping[str, Checks],
+                 stage: Callable[..., DataFrame] = stage_table) -> DataFrame:
     """One row per declared check of the given tables, with its number of violations.
 
-    Row checks count rows; the others count offending values or keys.
+    Row checks count rows; the others count offending values or keys. Every table is read once, for
+    its ``key_profile``; the checks, those of children that look for their parent included, read
+    the profiles.
     """
+    sets = {name: _key_sets(declared, name) for name in tables}
+    profiles = {name: stage(key_profile(df, declared.get(name, Checks()), sets[name]), "profile")
+                for name, df in tables.items() if sets[name] or name in declared}
+
+    def keys(name: str, *columns: str) -> DataFrame:
+        return profiles[name].where(F.col("key_set") == sets[name].index(columns))
+
+    known = F.get("key", F.lit(0)).isNotNull()
     parts = []
-    for name, df in tables.items():
+    for name in tables:
         checks = declared.get(name, Checks())
-        rows = _row_checks(name, df, checks)
-        parts += [rows] if rows is not None else []
-        parts += [_counted(name, "unique", c, quality.unique(df, c)) for c in checks.unique]
-        parts += [_counted(name, "relationships", c,
-                           quality.relationships(df, c, tables[parent], key))
-                  for c, (parent, key) in checks.parents.items()]
+        failing = _failing(checks)
+        if failing:
+            totals = profiles[name].where(F.col("key_set") == _ROWS).agg(
+                *[F.coalesce(F.sum(f"bad_{k}"), F.lit(0)).alias(f"bad_{k}")
+                  for k in range(len(failing))])
+            cells = [F.struct(F.lit(check).alias("check_name"), F.lit(column).alias("column_name"),
+                              F.col(f"bad_{k}").alias("violations"))
+                     for k, (check, column, _) in enumerate(failing)]
+            parts.append(totals.select(F.lit(name).alias("table_name"), F.inline(F.array(*cells))))
+        parts += [_counted(name, "unique", c, keys(name, c).where(known & (F.col("n") > 1)))
+                  for c in checks.unique]
+        parts += [_counted(name, "relationships", c, keys(name, c).where(known).join(
+            keys(parent, key).select("key"), "key", "left_anti"))
+            for c, (parent, key) in checks.parents.items()]
         if checks.combination:
             parts.append(_counted(name, "unique_combination", ", ".join(checks.combination),
-                                  quality.unique_combination(df, checks.combination)))
+                                  keys(name, *checks.combination).where("n > 1")))
     return reduce(DataFrame.unionAll, parts)
 
 

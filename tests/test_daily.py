@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyspark import schemas as S
 from tallyspark.functions.ordered import ordinals, with_next
 from tallyspark.operators import reconcile, restate
+from tallyspark.plans import checks
 from tallyspark.plans.daily import DailyReconciliation
 from tallyspark.session import stage_table, staging_area
 from tallyspark.sources import snapshots, tables
@@ -312,3 +313,33 @@ def test_restatement_log_takes_keys(build, frame):  # noqa: F811
     keys = frame("month_start date, legal_entity string", ("2024-02-01", "Inc"))
     log = restate.restatement_log(build(), "r", "2024-07-01 05:00:00", keys=keys)
     assert rows(log, "run_id", "month_start") == [("r", d("2024-02-01"))]
+
+
+# -- declared checks -------------------------------------------------------------------------------
+def test_check_report_reads_each_table_once(spark, frame):
+    parents = stage_table(frame("id string, kind string", ("a", "x"), ("b", "y"), ("b", None),
+                                (None, "z")), "parents")
+    children = stage_table(frame("n long, id string, m long", (1, "a", 1), (1, "c", 1), (2, "c", 1),
+                                 (2, None, 1), (2, None, 1)), "children")
+    declared = {"p": checks.Checks(not_null=("id", "kind"), unique=("id",),
+                                   accepted={"kind": ("x", "y")}),
+                "c": checks.Checks(unique=("n",), parents={"id": ("p", "id")},
+                                   combination=("n", "id"))}
+    staged = []
+
+    def stage(df, name):
+        staged.append(plan_of(df).count("FileScan"))
+        return stage_table(df, name)
+
+    report = checks.check_report({"p": parents, "c": children}, declared, stage)
+    assert staged == [1, 1]
+    found = {(r.table_name, r.check_name, r.column_name): r.violations for r in report.collect()}
+    assert found == {("p", "not_null", "id"): 1, ("p", "not_null", "kind"): 1,
+                     ("p", "accepted_values", "kind"): 1, ("p", "unique", "id"): 1,
+                     ("c", "unique", "n"): 2, ("c", "relationships", "id"): 1,
+                     ("c", "unique_combination", "n, id"): 1}
+    assert not {str(parents.inputFiles()[0]).split("/")[-2],
+                str(children.inputFiles()[0]).split("/")[-2]} & set(
+        re.findall(r"/((?:parents|children)-\w+)", plan_of(report)))
+    empty = checks.check_report({"p": parents.limit(0), "c": children.limit(0)}, declared)
+    assert {r.violations for r in empty.collect()} == {0} and empty.count() == 7
