@@ -1,14 +1,18 @@
 """Point-in-time annual recurring revenue and its month-over-month split.
 
 The contract months are generated from the version rows themselves: each version expands into the
-month ends of its own validity. Work and shuffles before the expansion are at version grain, and
-no range join is needed. Consecutive intervals tile the life of a contract, so the months without
-an active version are those of churn versions and those after the end of the last version.
+month ends at which it is in force. Work and shuffles before the expansion are at version grain, and
+no range join is needed. The months without a version in force come from the contract's own row:
+versions cover months and are in force in months, both sets are bits of whole numbers that one
+aggregation joins by "or", and what is covered and not in force is reported as zero. This holds
+however validities overlap, and takes no sort of a contract's versions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark import schemas as S
@@ -16,6 +20,24 @@ from tallyspark.functions.scalar import guarded_divide, month_end
 from tallyspark.operators.fx import rate_on
 
 
+#: Months in one whole number.
+WORD = 62
+
+
+def _month_number(d: Column, first: date) -> Column:
+    """Months since that of ``first``."""
+    return (F.year(d) - first.year) * 12 + F.month(d) - first.month
+
+
+def _bits(low: Column, high: Column, word: int) -> Column:
+    """The bits of months ``low`` to ``high`` that lie in the given word, as a whole number."""
+    at = F.greatest(low - word * WORD, F.lit(0))
+    upto = F.least(high - word * WORD, F.lit(WORD - 1))
+    ones = F.call_function("shiftleft", F.lit(1).cast("long"), upto - at + 1) - 1
+    return F.when(at <= upto, F.call_function("shiftleft", ones, at)).otherwise(
+        F.lit(0).cast("long"))
+
+
 def contract_spans(versions: DataFrame, accounts: DataFrame, month_spine: DataFrame,
                    open_churn: str = "drop") -> DataFrame:
     """First and last reported month per contract, with the attributes of its account.
@@ -23,16 +45,27 @@ def contract_spans(versions: DataFrame, accounts: DataFrame, month_spine: DataFr
     A contract is reported from its first start to the month of its churn, or to the end of the
     spine. ``open_churn="drop"`` reports nothing for a contract whose churn has no closed month
     end yet; ``"keep"`` reports it up to the last closed month. ``month_spine`` holds consecutive
-    month ends, as ``month_end_spine`` builds them.
+    month ends, as ``month_end_spine`` builds them; its two ends are fetched. ``zero_months`` are
+    the months in which no version is in force, as bits from the first month of the spine on.
     """
-    first_spine = month_spine.agg(F.min("month_end_date")).scalar()
-    last_spine = month_spine.agg(F.max("month_end_date")).scalar()
-    start = F.col("effective_start_date")
+    first, last = month_spine.agg(F.min("month_end_date"), F.max("month_end_date")).first()
+    first, last = first or date(1970, 1, 31), last or date(1969, 12, 31)
+    first_spine, last_spine = F.lit(first), F.lit(last)
+    months = (last.year - first.year) * 12 + last.month - first.month + 1
+    start, end = F.col("effective_start_date"), F.col("effective_end_date_exclusive")
+    in_force = F.coalesce(~F.col("is_churn_version"), F.lit(False))
+    starts, ends = _month_number(start, first), _month_number(end, first)
+    # The last version also covers the months after its end, up to the last reported month.
+    opens = F.when(start.isNotNull(), F.when(
+        F.col("is_last_version"), F.least(starts, ends)).otherwise(starts))
+    closes = F.when(F.col("is_last_version"), F.lit(months)).otherwise(ends - 1)
+    words = range(-(-months // WORD))
+    covered = [F.bit_or(_bits(opens, closes, k)).alias(f"_covered_{k}") for k in words]
+    active = [F.bit_or(F.when(in_force, _bits(starts, ends - 1, k))).alias(f"_active_{k}")
+              for k in words]
     bounds = versions.groupBy("contract_id", "account_id").agg(
         F.min(start).alias("_first_start"),
-        F.max(F.when(F.col("is_churn_version"), start)).alias("_churn_date"),
-        F.bool_and(F.coalesce(start <= F.col("effective_end_date_exclusive"), F.lit(False)))
-        .alias("_tidy"))
+        F.max(F.when(F.col("is_churn_version"), start)).alias("_churn_date"), *covered, *active)
     churn_month = F.greatest(month_end("_churn_date"), first_spine)
     closed_churn = F.when(churn_month <= last_spine, churn_month)
     if open_churn == "keep":
@@ -42,6 +75,12 @@ def contract_spans(versions: DataFrame, accounts: DataFrame, month_spine: DataFr
     places = accounts.select("account_id", "region", "legal_entity", "segment")
     # One row per contract and account naming it, so these partitions hold a row or two.
     same_contract = Window.partitionBy("contract_id")
+
+    def joined(name: str) -> Column:
+        return F.coalesce(F.bit_or(name).over(same_contract), F.lit(0).cast("long"))
+
+    zero = [joined(f"_covered_{k}").bitwiseAND(F.bitwise_not(joined(f"_active_{k}")))
+            for k in words]
     return (
         bounds.join(places, "account_id", "left")
         .select(
@@ -49,57 +88,47 @@ def contract_spans(versions: DataFrame, accounts: DataFrame, month_spine: DataFr
             F.greatest(month_end("_first_start"), first_spine).alias("first_month"),
             F.when(F.col("_churn_date").isNotNull(), closed_churn).otherwise(last_spine)
             .alias("last_month"),
-            F.bool_and("_tidy").over(same_contract).alias("in_order"))
+            (F.array(*zero) if zero else F.array().cast("array<bigint>")).alias("zero_months"),
+            F.lit(first).alias("spine_start"))
         .where("first_month <= last_month")
         .withColumn("opens_contract", F.row_number().over(
             same_contract.orderBy("first_month", "account_id")) == 1)
     )
 
 
-def _expand(versions: DataFrame, spans: DataFrame) -> DataFrame:
-    """(contract, month) rows; ``_active`` tells amounts in force from zero months.
+_PLACE = ("contract_id", "account_id", "region", "legal_entity", "segment")
+_ATTRIBUTES = ("version_number", "arr_amount", "currency", "seats", "plan_tier", "amendment_type",
+               "is_backdated", "co_termination_group")
 
-    The last version also covers the months after its end, up to the last reported month.
-    """
-    start, end = F.col("effective_start_date"), F.col("effective_end_date_exclusive")
-    last = F.col("is_last_version")
-    opens = F.when(start.isNotNull(), F.greatest(
-        F.when(last, F.least(month_end(start), month_end(end))).otherwise(month_end(start)),
-        F.col("first_month")))
-    # The last month end before an exclusive end is that of the month before it.
-    closes = F.when(last, F.col("last_month")).otherwise(
-        F.least(F.date_sub(F.trunc(end, "MM"), 1), F.col("last_month")))
-    months = F.when(opens <= closes, F.sequence(
-        F.trunc(opens, "MM"), F.trunc(closes, "MM"), F.make_ym_interval(F.lit(0), F.lit(1))))
-    attributes = ["version_number", "arr_amount", "currency", "seats", "plan_tier",
-                  "amendment_type", "is_backdated", "co_termination_group"]
-    carried = ["contract_id", "account_id", "region", "legal_entity", "segment", "in_order"]
-    month = month_end("_month").alias("month_end_date")
-    in_force = F.coalesce(~F.col("is_churn_version"), F.lit(False))
-    return (
-        versions.drop("account_id", "region", "legal_entity").join(spans, "contract_id")
-        .select(*carried, *attributes, "effective_start_date", "effective_end_date_exclusive",
-                in_force.alias("_in_force"), F.explode(months).alias("_month"))
-        .select("*", month)
-        .withColumn("_active", F.col("_in_force") & (F.col("month_end_date") >= start)
-                    & (F.col("month_end_date") < end))
-        .select("month_end_date", *carried, "_active",
-                *[F.when(F.col("_active"), F.col(c)).alias(c) for c in attributes])
-    )
 
+def _months(low: Column, high: Column) -> Column:
+    """The first days of the months from that of ``low`` to that of ``high``."""
+    return F.when(low <= high, F.sequence(
+        F.trunc(low, "MM"), F.trunc(high, "MM"), F.make_ym_interval(F.lit(0), F.lit(1))))
 
-def _without_false_zeros(rows: DataFrame) -> DataFrame:
-    """Zero months only where no version is in force.
 
-    Needed for contracts whose versions start out of order: their intervals may overlap, so a
-    month can be reported as zero by one version and as active by another.
-    """
-    tidy = rows.where("in_order")
-    month = Window.partitionBy("contract_id", "account_id", "month_end_date")
-    untidy = (rows.where("not in_order")
-              .withColumn("_n", F.row_number().over(month.orderBy(F.desc("_active"))))
-              .where("_active or _n = 1").drop("_n"))
-    return tidy.unionByName(untidy)
+def _expand(versions: DataFrame, spans: DataFrame) -> DataFrame:
+    """(contract, month) rows: one for each version in force, and one where none is."""
+    start, end = F.col("effective_start_date"), F.col("effective_end_date_exclusive")
+    month = month_end("_month").alias("month_end_date")
+    # The last month end before an exclusive end is that of the month before it.
+    in_force = _months(F.when(start.isNotNull(), F.greatest(month_end(start), F.col("first_month"))),
+                       F.least(F.date_sub(F.trunc(end, "MM"), 1), F.col("last_month")))
+    reported = (
+        versions.where("NOT is_churn_version").drop("account_id", "region", "legal_entity")
+        .join(spans, "contract_id")
+        .select(*_PLACE, *_ATTRIBUTES, F.explode(in_force).alias("_month"))
+        .select(month, *_PLACE, *_ATTRIBUTES))
+    number = F.months_between(F.col("_month"), F.trunc("spine_start", "MM")).cast("int")
+    word = F.get("zero_months", (number / WORD).cast("int"))
+    zero = (
+        spans.where(F.exists("zero_months", lambda w: w != 0))
+        .select(*_PLACE, "zero_months", "spine_start",
+                F.explode(_months(F.col("first_month"), F.col("last_month"))).alias("_month"))
+        .where(F.call_function("shiftright", word, number % WORD).bitwiseAND(
+            F.lit(1).cast("long")) == 1)
+        .select(month, *_PLACE))
+    return reported.unionByName(zero, allowMissingColumns=True)
 
 
 def contract_arr_monthly(versions: DataFrame, accounts: DataFrame, month_spine: DataFrame,
@@ -111,7 +140,7 @@ def contract_arr_monthly(versions: DataFrame, accounts: DataFrame, month_spine:
     """
     if spans is None:
         spans = contract_spans(versions, accounts, month_spine, open_churn)
-    rows = _without_false_zeros(_expand(versions, spans))
+    rows = _expand(versions, spans)
     local = F.coalesce("arr_amount", F.lit(0).cast(S.MONEY))
     with_rate = rate_on(rows, fx, "month_end_date",
                         F.coalesce("currency", F.lit(S.BASE_CURRENCY)), "fx_rate_at_month_end")

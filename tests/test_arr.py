@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -6,6 +7,7 @@ from conftest import d, rows, usd
 from pyspark.sql import functions as F
 
 from tallyspark.operators import arr, fx, quality, spines, versions, waterfall
+from tallyspark.session import stage_table
 
 CONTRACT = ("contract_version_sk string, contract_id string, version_number long, "
             "account_id string, effective_start_date date, effective_end_date date, "
@@ -237,3 +239,58 @@ def test_customer_versions(frame):
         ("s3", d("9999-12-31"), True)]
     assert rows(versions.dim_customer(out), "account_id", "billing_contact_name") == [
         ("A", "n2"), ("B", "m")]
+
+
+def test_months_of_overlapping_validities(spark, frame):
+    """Random validities, tidy or not, over more months than one number has bits."""
+    rng = random.Random(5)
+    ends = [(date(2015 + m // 12, m % 12 + 1, 1), m) for m in range(100)]
+    spine = frame("month_end_date date", *[
+        ((date(x.year + x.month // 12, x.month % 12 + 1, 1) - timedelta(days=1)).isoformat(),)
+        for x, _ in ends])
+    accounts = frame("account_id string, region string, legal_entity string, segment string",
+                     ("A", "US", "Inc", "SMB"), ("B", "EU", "BV", "SMB"))
+    versions, expected = [], []
+    for c in range(40):
+        count = rng.randint(1, 5)
+        drawn = []
+        for v in range(count):
+            start = date(2014, 6, 1) + timedelta(days=rng.randint(0, 3200))
+            end = start + timedelta(days=rng.randint(-200, 1500))
+            churn = v == count - 1 and rng.random() < 0.4 or rng.random() < 0.1
+            drawn.append((start, end, churn, v == count - 1))
+        versions += [(f"C{c}", v, "A" if c % 3 or v else "B", s.isoformat(), e.isoformat(), 100 + v,
+                      churn, last) for v, (s, e, churn, last) in enumerate(drawn)]
+        owners = {"A" if c % 3 or v else "B" for v in range(count)}
+        for owner in owners:
+            mine = [x for v, x in enumerate(drawn) if owner == ("A" if c % 3 or v else "B")]
+            number = lambda x: (x.year - 2015) * 12 + x.month - 1
+            low = max(0, number(min(s for s, *_ in mine)))
+            churns = [s for s, _, churn, _ in mine if churn]
+            high = max(0, number(max(churns))) if churns else 99
+            if high > 99:
+                continue
+            for m in range(low, high + 1):
+                on = [v for v, (s, e, churn, _) in enumerate(drawn)
+                      if not churn and number(s) <= m < number(e)]
+                off = any((min(number(s), number(e)) <= m) if last else number(s) <= m < number(e)
+                          for s, e, _, last in drawn)
+                expected += [(f"C{c}", owner, m, v) for v in on]
+                expected += [(f"C{c}", owner, m, None)] if off and not on else []
+    table = frame(
+        "contract_id string, version_number long, account_id string, effective_start_date date, "
+        "effective_end_date_exclusive date, arr_amount decimal(18,2), is_churn_version boolean, "
+        "is_last_version boolean", *versions).selectExpr(
+        "*", "'USD' AS currency", "1L AS seats", "'Starter' AS plan_tier",
+        "'new' AS amendment_type", "false AS is_backdated", "'' AS co_termination_group",
+        "'US' AS region", "'Inc' AS legal_entity")
+    table = stage_table(table, "versions")
+    spans = stage_table(arr.contract_spans(table, accounts, spine), "spans")
+    out = arr._expand(table, spans)
+    month = F.months_between(F.trunc("month_end_date", "MM"), F.lit("2015-01-01")).cast("int")
+    found = [tuple(r) for r in out.select(
+        "contract_id", "account_id", month, "version_number").collect()]
+    key = lambda r: (*r[:3], -1 if r[3] is None else r[3])
+    assert sorted(found, key=key) == sorted(expected, key=key) and len(expected) > 2000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet .*?/versions-", plan)) == 1
