@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle  # noqa: E402
 from tallyspark import schemas as S  # noqa: E402
 from tallyspark.functions import masking, scalar  # noqa: E402
+from tallyspark.functions.asof import as_of  # noqa: E402
 from tallyspark.functions.scalar import padded_id  # noqa: E402
 from tallyspark.operators import (  # noqa: E402
     billing, cost, dashboard, fx, governance, quality, reconcile, restate, spines,
@@ -259,6 +260,18 @@ def _to_usd_invoices(plan):
     return usd.select("invoice_id", F.round("amount_usd", 2).alias("amount_usd"))
 
 
+def _payments_at_version(plan):
+    """Every payment with the version of its invoice's contract that was in force on its day."""
+    contract = plan.invoices.select("invoice_id", "contract_id")
+    paid = plan.payments.select("payment_id", "invoice_id", "payment_date").join(
+        contract, "invoice_id")
+    return as_of(paid, plan.contract_validity, ["contract_id"], "payment_date",
+                 "effective_start_date", ["version_number", "plan_tier", "seats"],
+                 until="effective_end_date_exclusive", order="version_number").select(
+                     "payment_id", "payment_date", "contract_id", "version_number", "plan_tier",
+                     "seats")
+
+
 # -- landing in batches, and runs by the day ----------------------------------------------------
 def _facts_in_batches(spark, plan, folder):
     """The ledger lands whole before half of its invoices do; the second batch comes twice."""
@@ -539,6 +552,7 @@ def queries() -> dict[str, Query]:
         "daily_run_restated": stored(_daily_run_restated),
         "expired_versions": stored(_expired_versions),
         "unconverted_payments": planned(_unconverted_payments),
+        "payments_at_version": planned(_payments_at_version),
         "to_usd_invoices": planned(_to_usd_invoices),
         # billing and ledger
         "billing_schedule": planned(_schedule),

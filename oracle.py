@@ -483,6 +483,18 @@ RECONCILIATION = {
         SELECT 'run-1' AS run_id, TRUE AS is_expired, NULL AS n_keys
         UNION ALL SELECT 'run-2', FALSE, count(*) FROM ({_RECON_ALL} UNION ALL {_ORPHANS}) t""",
                           RECON),
+    "payments_at_version": q("""
+        SELECT payment_id, payment_date, contract_id,
+          CASE WHEN payment_date < v.e THEN v.n END AS version_number,
+          CASE WHEN payment_date < v.e THEN v.tier END AS plan_tier,
+          CASE WHEN payment_date < v.e THEN v.seats END AS seats
+        FROM (
+          SELECT payment_id, payment_date, i.contract_id, max({'s': effective_start_date,
+            'n': version_number, 'e': effective_end_date_exclusive, 'tier': plan_tier,
+            'seats': seats}) FILTER (effective_start_date IS NOT NULL) AS v
+          FROM paid p JOIN inv i ON i.invoice_id = p.invoice_id
+          LEFT JOIN ver ON ver.contract_id = i.contract_id AND effective_start_date <= payment_date
+          GROUP BY ALL) t"""),
     "unconverted_payments": q(f"""
         SELECT payment_id, payment_date, {amount()} FROM paid
         WHERE payment_date > (SELECT hi FROM edges)"""),

@@ -1,6 +1,7 @@
 """Landing in batches, versions by partition, retention, and the daily run."""
 
 import os
+import random
 import re
 import threading
 from datetime import datetime
@@ -10,6 +11,7 @@ from conftest import d, rows, usd
 from pyspark.sql import functions as F
 
 from tallyspark import schemas as S
+from tallyspark.functions.asof import as_of
 from tallyspark.functions.ordered import ordinals, with_next
 from tallyspark.operators import reconcile, restate
 from tallyspark.plans import checks
@@ -343,3 +345,30 @@ def test_check_report_reads_each_table_once(spark, frame):
         re.findall(r"/((?:parents|children)-\w+)", plan_of(report)))
     empty = checks.check_report({"p": parents.limit(0), "c": children.limit(0)}, declared)
     assert {r.violations for r in empty.collect()} == {0} and empty.count() == 7
+
+
+# -- versions at any moment ------------------------------------------------------------------------
+@pytest.mark.parametrize("grain", ["month", "year"])
+def test_as_of(frame, grain):
+    rng = random.Random(7)
+    day = lambda n: f"20{15 + n // 336:02d}-{n // 28 % 12 + 1:02d}-{n % 28 + 1:02d}"
+    kept = [(rng.choice(["a", "b", "c", None]), rng.randrange(2000), i, rng.randrange(400))
+            for i in range(80)]
+    asked = [(i, rng.choice(["a", "b", "c", "d", None]),
+              None if i % 50 == 0 else rng.randrange(2000)) for i in range(400)]
+    versions = frame("k string, since date, n long, until date, label string", *[
+        (k, day(s), n, day(min(s + length, 2300)), f"v{n}") for k, s, n, length in kept])
+    probes = frame("i long, k string, day date, label string", *[
+        (i, k, None if x is None else day(x), f"p{i}") for i, k, x in asked])
+    out = as_of(probes.withColumnRenamed("label", "tag"), versions, ["k"], "day", "since",
+                ["n", "label"], until="until", order="n", grain=grain)
+    assert out.columns == ["i", "k", "day", "tag", "n", "label"]
+    got = {r.i: (r.n, r.label, r.tag) for r in out.collect()}
+    for i, k, x in asked:
+        best = max(((s, n, s + length) for kk, s, n, length in kept
+                    if k is not None and kk == k and x is not None and s <= x), default=None)
+        n = best[1] if best and x < min(best[2], 2300) else None
+        assert got[i] == (n, None if n is None else f"v{n}", f"p{i}")
+    assert len(got) == 400
+    plan = plan_of(out)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
