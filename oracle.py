@@ -471,6 +471,13 @@ RECONCILIATION = {
         SELECT * FROM (
           SELECT TIMESTAMP '2001-06-02 06:00:00' AS run_started_at, 'run-1' AS run_id, month_start,
             legal_entity FROM usd WHERE arrived >= {SINCE} - INTERVAL 60 DAY AND arrived < {SINCE}
+            AND what IN ('billed', 'credit', 'collected')
+          UNION
+          SELECT TIMESTAMP '2001-06-02 06:00:00', 'run-1',
+            CAST(date_trunc('month', posting_date) AS DATE),
+            CASE WHEN invoice_date < {SINCE} THEN acc.legal_entity END
+          FROM gl JOIN inv ON invoice_id = reference_id JOIN acc ON acc.account_id = inv.account_id
+          WHERE posting_date >= {SINCE} - INTERVAL 60 DAY AND posting_date < {SINCE}
           UNION
           SELECT TIMESTAMP '2001-08-01 06:00:00', 'run-2', k.* FROM ({_KEYS}) k) t"""),
     "daily_run_restated": q(f"""

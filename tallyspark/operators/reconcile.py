@@ -84,17 +84,14 @@ def distinct_months(df: DataFrame, month: str) -> list[date | None]:
 def in_months(df: DataFrame, day: str, months: Sequence[date | None]) -> DataFrame:
     """Rows dated in one of the months, given as literals.
 
-    On a table laid out by month the condition names its folders. Elsewhere the range of the months
-    is a plain comparison of the date column besides, which prunes files by their statistics.
+    On a table laid out by month the condition names its folders. The range of the months is a plain
+    comparison of the date column besides, which prunes files by their statistics.
     """
     known = sorted(m for m in months if m is not None)
-    if MONTH in df.columns:
-        wanted, near = F.col(MONTH), F.lit(True)
-    elif known:
-        wanted = month_start(day)
+    wanted = F.col(MONTH) if MONTH in df.columns else month_start(day)
+    near = F.lit(True)
+    if known:
         near = (F.col(day) >= F.lit(known[0])) & (F.col(day) < F.add_months(F.lit(known[-1]), 1))
-    else:
-        wanted, near = month_start(day), F.lit(True)
     hit = near & wanted.isin(known) if known else F.lit(False)
     return df.where(hit | wanted.isNull() if None in months else hit)
 
