@@ -33,7 +33,8 @@ def words_of(text: str | None) -> list[bytes]:
 
 @dataclass
 class Settings:
-    """Sizes of the model. ``head`` bounds the words whose counts are sent to every executor."""
+    """Sizes of the model. ``head`` bounds the words whose counts are sent to every executor;
+    every step of the training takes all counts, those of ``batch`` contexts at a time."""
 
     frequent: int = 62
     suffixes: int = 63
@@ -90,13 +91,8 @@ def head_of(counts: DataFrame, limit: int) -> list[tuple[str, int]]:
 class Classes:
     """The class of each word."""
 
-    def __init__(self, head: list[tuple[str, int]], settings: Settings):
-        self.frequent = [w for w, _ in head[:settings.frequent]]
-        ends: Counter = Counter()
-        for word, n in head[settings.frequent:]:
-            ends[word[-2:]] += n
-        self.suffixes = [s for s, _ in sorted(ends.items(), key=lambda e: (-e[1], e[0]))
-                         [:settings.suffixes]]
+    def __init__(self, frequent: list[str], suffixes: list[str], settings: Settings):
+        self.frequent, self.suffixes = frequent, suffixes
         self.other = settings.classes - 2
         self._frequent = {w.encode(): i + 1 for i, w in enumerate(self.frequent)}
         self.first = 1 + settings.frequent
@@ -116,6 +112,15 @@ class Classes:
         return F.coalesce(known, self.other + (F.octet_length(word) != F.length(word)).cast("int"))
 
 
+def classes_of(counts: DataFrame, head: list[tuple[str, int]], settings: Settings) -> Classes:
+    """The most frequent words, and the endings that most of all other words' occurrences have."""
+    frequent = [w for w, _ in head[:settings.frequent]]
+    ends = counts.filter(~F.col("word").isin(frequent)).groupBy(
+        F.substring("word", -2, 2).alias("end")).agg(F.sum("n").alias("n")).orderBy(
+            F.desc("n"), "end").limit(settings.suffixes).collect()
+    return Classes(frequent, [r.end for r in ends], settings)
+
+
 class WordNumbers(dict):
     """The number of a head word, or the count of head words plus the class of another word."""
 
@@ -166,8 +171,9 @@ def train(code: np.ndarray, n: np.ndarray, settings: Settings, seed: int = 7) ->
 
     A context's vector is the sum of its two words' vectors, each scaled by its position; a class
     scores by its inner product with that vector and a bias. Noise-contrastive estimation tells
-    the corpus's triples from classes drawn by their frequency; the scores of every context are
-    then normalised over all classes.
+    the corpus's triples from classes drawn by their frequency. Nothing is drawn for it: every step
+    takes all triples by their counts, and the noise by its expectation. The scores of every
+    context are then normalised over all classes.
     """
     k, d = settings.classes, settings.dimensions
     rng = np.random.default_rng(seed)
@@ -177,33 +183,36 @@ def train(code: np.ndarray, n: np.ndarray, settings: Settings, seed: int = 7) ->
         "context": rng.normal(0, 0.3, (k, d)), "position": np.ones((2, d)),
         "target": rng.normal(0, 0.1, (k, d)), "bias": np.log(noise),
     }
+    params = {p: v.astype(np.float32) for p, v in params.items()}
     if len(code):
         moment = {p: (np.zeros_like(v), np.zeros_like(v)) for p, v in params.items()}
-        order = np.cumsum(n / n.sum())
-        log_noise = np.log(settings.noise * noise)
+        share = np.zeros(k ** 3, dtype=np.float32)
+        share[code] = n / n.sum()
+        share = share.reshape(k * k, k)
+        # Contexts by their far and near class; those that never occur have no part in anything.
+        seen = np.flatnonzero(share.any(1))
+        drawn = (settings.noise * noise).astype(np.float32)
+        log_noise = np.log(settings.noise * noise).astype(np.float32)
+        blocks = []
+        for i in range(0, len(seen), settings.batch):
+            some = seen[i:i + settings.batch]
+            blocks.append((share[some], share[some].sum(1, keepdims=True) * drawn, some // k,
+                           some % k, _one_hot(some // k, k).T, _one_hot(some % k, k).T))
         for step in range(1, settings.steps + 1):
-            some = code[np.searchsorted(order, rng.random(settings.batch)).clip(max=len(code) - 1)]
-            far, near, right = some // (k * k), some // k % k, some % k
-            wrong = rng.choice(k, settings.noise, p=noise)
-            vector = (params["context"][near] * params["position"][0]
-                      + params["context"][far] * params["position"][1])
-            good = (vector * params["target"][right]).sum(1) + params["bias"][right]
-            bad = vector @ params["target"][wrong].T + params["bias"][wrong]
-            pull = 1 / (1 + np.exp(good - log_noise[right])) / settings.batch
-            push = -1 / (1 + np.exp(log_noise[wrong] - bad)) / settings.batch
-            hit = np.zeros((settings.batch, k))
-            hit[np.arange(settings.batch), right] = pull
-            drawn = np.zeros((settings.noise, k))
-            drawn[np.arange(settings.noise), wrong] = 1
-            weight = hit + push @ drawn
-            back = weight @ params["target"]
-            grads = {
-                "target": weight.T @ vector, "bias": weight.sum(0),
-                "position": np.stack([(back * params["context"][near]).sum(0),
-                                      (back * params["context"][far]).sum(0)]),
-                "context": (_one_hot(near, k).T @ (back * params["position"][0])
-                            + _one_hot(far, k).T @ (back * params["position"][1])),
-            }
+            context, position = params["context"], params["position"]
+            grads = {p: np.zeros_like(v) for p, v in params.items()}
+            for real, false, far, near, is_far, is_near in blocks:
+                vector = context[near] * position[0] + context[far] * position[1]
+                score = vector @ params["target"].T + (params["bias"] - log_noise)
+                # Of each triple, what it pulls as one of the corpus less what it pushes as noise.
+                weight = real - (real + false) / (1 + np.exp(np.minimum(-score, 80)))
+                back = weight @ params["target"]
+                by_near, by_far = is_near @ back, is_far @ back
+                grads["target"] += weight.T @ vector
+                grads["bias"] += weight.sum(0)
+                grads["position"] += np.stack([(by_near * context).sum(0),
+                                               (by_far * context).sum(0)])
+                grads["context"] += by_near * position[0] + by_far * position[1]
             rate = settings.rate * (1 - 0.95 * step / settings.steps)
             for p, g in grads.items():
                 first, second = moment[p]
@@ -212,7 +221,7 @@ def train(code: np.ndarray, n: np.ndarray, settings: Settings, seed: int = 7) ->
                 second *= 0.99
                 second += 0.01 * g * g
                 params[p] += rate * (first / (1 - 0.9 ** step)) / (
-                    np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
+                    np.sqrt(second / (1 - 0.99 ** step)) + 1e-12)
     near, far = (params["context"] * p for p in params["position"])
     out = np.empty((k, k, k), dtype=np.float32)
     for a in range(k):
@@ -223,7 +232,7 @@ def train(code: np.ndarray, n: np.ndarray, settings: Settings, seed: int = 7) ->
 
 
 def _one_hot(values: np.ndarray, size: int) -> np.ndarray:
-    out = np.zeros((len(values), size))
+    out = np.zeros((len(values), size), dtype=np.float32)
     out[np.arange(len(values)), values] = 1
     return out
 
@@ -244,7 +253,7 @@ def score(docs: DataFrame, held_out: Column, settings: Settings = Settings()) ->
     learn = rows.filter("NOT held_out")
     counts = stage_table(word_counts(learn), "words")
     head = head_of(counts, settings.head)
-    classes = Classes(head, settings)
+    classes = classes_of(counts, head, settings)
     k = settings.classes
     table = np.concatenate([np.asarray([classes.of(w.encode()) for w, _ in head], dtype=np.int64),
                             np.arange(k)])
