@@ -50,17 +50,20 @@ def bucket_pairs(bands: DataFrame) -> DataFrame:
     return out.filter("a <> b").distinct()
 
 
-def unresolved(bands: DataFrame, joined: DataFrame) -> DataFrame:
-    """bucket, key: members of the large buckets whose members lie in several components."""
-    large = bands.groupBy("bucket").agg(F.count("*").alias("size")).filter(
-        F.col("size") > SMALL).select("bucket")
-    members = bands.select("bucket", "key").join(small_enough(large), "bucket", "left_semi")
-    members = members.join(joined, members["key"] == joined["node"], "left").select(
-        "bucket", "key", F.coalesce("component", "key").alias("component"))
-    several = members.groupBy("bucket").agg(
-        F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    return members.join(small_enough(several.select("bucket")), "bucket", "left_semi").select(
-        "bucket", "key")
+def with_component(nodes: DataFrame, joined: DataFrame) -> DataFrame:
+    """``nodes`` (key and more) with their component in ``joined``; a node of none is its own."""
+    return nodes.join(joined, nodes["key"] == joined["node"], "left").select(
+        *[nodes[c] for c in nodes.columns], F.coalesce("component", "key").alias("component"))
+
+
+def unresolved(bands: DataFrame) -> DataFrame:
+    """bucket, key: members of the large buckets whose members lie in several components, from
+    ``bands`` (bucket, key, component). Members of resolved buckets are met by no join."""
+    several = bands.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.min("component").alias("x"),
+        F.max("component").alias("y")).filter((F.col("size") > SMALL) & (F.col("x") != F.col("y")))
+    several = stage_table(several.select("bucket"), "several")
+    return bands.select("bucket", "key").join(small_enough(several), "bucket", "left_semi")
 
 
 def clusters(members: DataFrame) -> DataFrame:

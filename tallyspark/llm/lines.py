@@ -14,7 +14,7 @@ from tallyspark.llm.batches import (
     code_points, flat, mix, slices, span_hashes, visible, window_hashes,
 )
 from tallyspark.llm.candidates import (
-    alike_within, bucket_pairs, clusters, small_enough, unresolved,
+    alike_within, bucket_pairs, clusters, small_enough, unresolved, with_component,
 )
 from tallyspark.llm.components import components
 from tallyspark.session import stage_table
@@ -223,17 +223,21 @@ def duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         start = number % BANDS * WIDTH
         return F.xxhash64("band", F.substring("sketch", start + 1, F.lit(WIDTH)))
 
-    bands = nodes.select("key", "sketch", F.explode(F.sequence(
-        F.lit(0), F.lit(BANDS - 1))).alias("band")).select(
-            "key", band(F.col("band")).alias("bucket"), band(F.col("band") + 1).alias("next_one"),
-            band(F.col("band") + 2).alias("next_two"))
+    def banded(some: DataFrame) -> DataFrame:
+        return some.withColumn("band", F.explode(F.sequence(
+            F.lit(0), F.lit(BANDS - 1)))).withColumn("bucket", band(F.col("band")))
+
+    bands = banded(nodes.select("key", "sketch")).select(
+        "key", "bucket", band(F.col("band") + 1).alias("next_one"),
+        band(F.col("band") + 2).alias("next_two"))
     pairs = stage_table(bucket_pairs(bands), "pairs")
     ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
     at = nodes.select("key", "place.doc_id", "place.h", "place.line")
     texts = stage_table(_texts(docs, at.join(ends.distinct(), "key", "left_semi")), "texts")
     links = stage_table(_alike(pairs, texts, percent), "links")
     joined = stage_table(components(links), "components")
-    left = stage_table(unresolved(bands, joined), "unresolved")
+    left = stage_table(unresolved(banded(with_component(
+        nodes.select("key", "sketch"), joined))), "unresolved")
     if not left.isEmpty():
         cluster = stage_table(clusters(left), "clusters")
         rest = _texts(docs, at.join(cluster, "key", "left_semi"))

@@ -20,7 +20,7 @@ from tallyspark.llm.batches import (
     LOWER, flat, mix, slices, span_hashes, window_hashes, word_spans,
 )
 from tallyspark.llm.candidates import (
-    alike_within, bucket_pairs, clusters, small_enough, unresolved,
+    alike_within, bucket_pairs, clusters, small_enough, unresolved, with_component,
 )
 from tallyspark.llm.components import components
 from tallyspark.session import stage_table
@@ -208,15 +208,20 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
         return F.xxhash64(F.substring("sketch", start + 1, F.lit(length)))
 
     count = REGISTERS // BAND
-    bands = nodes.select("key", "sketch", F.explode(F.sequence(
-        F.lit(0), F.lit(count - 1))).alias("band")).select(
-            "key", F.xxhash64("band", part(F.col("band") * 2 * BAND, 2 * BAND)).alias("bucket"),
-            part((F.col("band") + 1) * 2 * BAND, 2).alias("next_one"),
-            part((F.col("band") + 2) * 2 * BAND, 2).alias("next_two"))
+
+    def banded(some: DataFrame) -> DataFrame:
+        return some.withColumn("band", F.explode(F.sequence(
+            F.lit(0), F.lit(count - 1)))).withColumn(
+                "bucket", F.xxhash64("band", part(F.col("band") * 2 * BAND, 2 * BAND)))
+
+    bands = banded(nodes.select("key", "sketch")).select(
+        "key", "bucket", part((F.col("band") + 1) * 2 * BAND, 2).alias("next_one"),
+        part((F.col("band") + 2) * 2 * BAND, 2).alias("next_two"))
     links = stage_table(_linked(bucket_pairs(bands), nodes, docs, percent), "links")
     joined = stage_table(components(links), "components")
 
-    left = stage_table(unresolved(bands, joined), "unresolved")
+    left = stage_table(unresolved(banded(with_component(
+        nodes.select("key", "sketch"), joined))), "unresolved")
     if not left.isEmpty():
         cluster = stage_table(clusters(left), "clusters")
         rest = stage_table(sets_of(docs, nodes.join(cluster, "key", "left_semi")), "sets")

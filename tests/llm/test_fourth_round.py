@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tallyspark.llm import scoring
+from tallyspark.llm import candidates, scoring
 
 
 def test_training_takes_every_triple_however_rare():
@@ -35,3 +35,16 @@ def test_endings_are_counted_over_all_words(spark):
     got = counts.select("word", classes.column(F.col("word")).alias("c")).collect()
     assert all(classes.of(r.word.encode()) == r.c for r in got if r.word != "the")
     assert numbers[b"w7xy"] == len(head) + classes.first
+
+
+def test_members_of_resolved_buckets_meet_no_join(spark):
+    """Two large buckets and a small one: only the bucket of two components is read again."""
+    n = candidates.SMALL + 4
+    nodes = spark.range(2 * n).withColumnRenamed("id", "key")
+    joined = spark.range(2 * n - 1).selectExpr("id AS node", f"IF(id < {n}, 0L, {n}L) AS component")
+    bands = candidates.with_component(nodes, joined).withColumn(
+        "bucket", F.floor(F.col("key") / n)).unionByName(spark.createDataFrame(
+            [(0, 0, 7), (n, n, 7)], "key long, component long, bucket long"))
+    got = candidates.unresolved(bands)
+    assert sorted(map(tuple, got.select("bucket", "key").collect())) == [
+        (1, k) for k in range(n, 2 * n)]
