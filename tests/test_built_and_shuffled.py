@@ -100,3 +100,29 @@ def test_ranking_without_a_hot_key_shuffles_once_by_the_key(spark):
     assert text.count("Exchange") == 1 and "Join" not in text
     assert ranked.schema["place"].dataType.typeName() == "long"
     assert rows(ranked) == rows(with_rank(df, ["k"], ["i"], "place", "n", hot_rows=1))
+
+
+def test_check_report_writes_the_keys_it_looks_up_alone(spark):
+    parents = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2)], "id string, n int")
+    children = spark.createDataFrame([("a", 1), ("c", 2), ("c", 2)], "id string, n int")
+    declared = {"p": checks.Checks(unique=("id",), combination=("id", "n")),
+                "c": checks.Checks(unique=("n",), parents={"id": ("p", "id")})}
+    staged = []
+
+    def stage(df, name):
+        staged.append(df.count())
+        return df
+
+    report = checks.check_report({"p": parents, "c": children}, declared, stage)
+    # Rows, two ids, no pair that comes twice; rows, two ids, one number that comes twice.
+    assert staged == [3, 4]
+    assert {(r.table_name, r.check_name): r.violations for r in report.collect()} == {
+        ("p", "unique"): 1, ("p", "unique_combination"): 0, ("c", "unique"): 1,
+        ("c", "relationships"): 1}
+
+
+def test_the_restatement_log_lays_out_no_facts(spark, plan):
+    log = rows(entry.queries()["restatement_log"](spark, FOLDER))
+    assert log and "facts" not in plan.__dict__
+    plan.facts  # noqa: B018
+    assert log == rows(entry.queries()["restatement_log"](spark, FOLDER))
