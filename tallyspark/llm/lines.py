@@ -14,7 +14,7 @@ from tallyspark.llm.batches import (
     code_points, flat, mix, slices, span_hashes, visible, window_hashes,
 )
 from tallyspark.llm.candidates import (
-    alike_within, bucket_pairs, clusters, small_enough, unresolved, with_component,
+    alike_within, clusters, small_enough, unresolved, with_component,
 )
 from tallyspark.llm.components import components
 from tallyspark.session import stage_table
@@ -23,23 +23,37 @@ from tallyspark.session import stage_table
 #: of a line, so that an edit costs the same everywhere: one substitution in a line of n characters
 #: leaves n - 1 of n + 7 shingles.
 SHINGLE = 4
-BANDS = 32
-BAND = 6
-#: Minima of a signature; each is in two bands, and two bands share at most one.
-MINIMA = BANDS * BAND // 2
-#: Bytes that a band's values take in a line's signature.
-WIDTH = 6
+#: A line goes to this many groups, one for each of its first minima.
+TABLES = 6
+#: Further minima, a byte each, by which the lines of a group are compared.
+MINIMA = 48
+#: Lines of a group are candidates if one of so many bands of so many minima is the same in both,
+#: and so many minima in all.
+BANDS = 45
+BAND = 5
+LEAST = 26
+#: Candidates of up to so many lines are compared by their sketches pair by pair; of more, each
+#: meets one of the first so many leaders.
+SMALL, LEADERS = 128, 16
 #: Shingles that are hashed at a time.
-BLOCK = 1 << 14
+BLOCK = 1 << 16
+#: Bytes of sketches that a task holds before it deals them, and that are read at a time.
+DEALT_BYTES = 32 << 20
+READ_BYTES = 4 << 20
 #: Every line with a character other than blanks counts, whatever its length.
 MIN_BYTES = 1
 
-_FACTORS = (mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) >> np.uint64(32)).astype(
+_FACTORS = (mix(np.arange(1, TABLES + MINIMA + 1, dtype=np.uint64)) >> np.uint64(32)).astype(
     np.uint32) | np.uint32(1)
-_ROWS = np.arange(MINIMA).reshape(BANDS // 2, BAND)
-#: The minima of each band: the rows of a table, and its diagonals.
-_CHOICE = np.concatenate([_ROWS, np.stack(
-    [_ROWS[(np.arange(BANDS // 2) + j) % (BANDS // 2), j] for j in range(BAND)], 1)])
+_PLACES = (mix(np.arange(1001, 1001 + SHINGLE, dtype=np.uint64)) >> np.uint64(32)).astype(
+    np.uint32) | np.uint32(1)
+#: The minima of each band: runs of minima in several shuffled orders, so that two bands share few.
+_CHOICE = np.stack([
+    np.argsort(mix(np.arange(MINIMA, dtype=np.uint64) + np.uint64(MINIMA * (i + 1))))[
+        :MINIMA // BAND * BAND].reshape(-1, BAND) for i in range(BANDS // (MINIMA // BAND))])
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: A sketch as it is dealt: the group and the node (hashes), and the minima.
+_SKETCH = np.dtype([("group", "<u8"), ("node", "<u8"), ("minima", "u1", (MINIMA,))])
 
 
 def line_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,48 +69,92 @@ def line_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return heads[by_head], tails[by_tail], np.concatenate([texts, owner])[by_head]
 
 
+def _padded(data: np.ndarray, starts: np.ndarray,
+            ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The characters of each line between its ends, in sequence; where each line begins there;
+    and how many shingles it has. The spans are in order and not empty."""
+    chars = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)
+    chars = np.where((chars >= 65) & (chars <= 90), chars + np.uint32(32), chars)
+    before = np.append(0, np.cumsum(code_points(data)))
+    first, edge = before[starts], SHINGLE - 1
+    sizes = before[ends] - first
+    wide = sizes + 2 * edge
+    head = np.cumsum(wide) - wide
+    at = np.repeat(first - edge - head, wide)
+    at += np.arange(len(at))
+    padded = chars.take(at, mode="clip")
+    for i in range(edge):
+        padded[head + i] = 10
+        padded[head + edge + sizes + i] = 10
+    return padded, head, sizes + edge
+
+
+def _whole(size: int, head: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which windows of ``size`` characters lie in one line."""
+    whole = np.ones(size, dtype=bool)
+    for i in range(SHINGLE - 1):
+        whole[head + sizes + i] = False
+    return whole[:size - SHINGLE + 1]
+
+
 def shingle_hashes(data: np.ndarray, starts: np.ndarray,
                    ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash of every shingle of each line, line by line, and how many each line has. The spans
     are in order and not empty."""
-    chars = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)
-    chars = np.where((chars >= 65) & (chars <= 90), chars + 32, chars).astype(np.uint64)
-    before = np.append(0, np.cumsum(code_points(data)))
-    first, sizes = before[starts], before[ends] - before[starts]
-    edge = SHINGLE - 1
-    head = np.cumsum(sizes + 2 * edge) - sizes - 2 * edge
-    each = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    padded = np.full(int((sizes + 2 * edge).sum()), 10, dtype=np.uint64)
-    padded[np.repeat(head + edge, sizes) + each] = chars[np.repeat(first, sizes) + each]
-    whole = np.ones(len(padded), dtype=bool)
-    for i in range(edge):
-        whole[head + sizes + edge + i] = False
-    return window_hashes(padded, SHINGLE)[whole[:len(padded) - edge]], sizes + edge
+    padded, head, sizes = _padded(data, starts, ends)
+    return window_hashes(padded.astype(np.uint64), SHINGLE)[
+        _whole(len(padded), head, sizes)], sizes
+
+
+def _scrambled(x: np.ndarray) -> np.ndarray:
+    """A bijective scrambling of 32-bit numbers."""
+    x = x * np.uint32(0x9E3779B1)
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x85EBCA77)
+    x ^= x >> np.uint32(13)
+    x *= np.uint32(0xC2B2AE3D)
+    x ^= x >> np.uint32(16)
+    return x
 
 
 def signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The bands of each line's MinHash, ``WIDTH`` bytes each. Lines are in order, not empty."""
-    hashes, sizes = shingle_hashes(data, starts, ends)
-    values = (hashes >> np.uint64(32)).astype(np.uint32)
-    bounds = np.cumsum(sizes) - sizes
-    least = np.empty((MINIMA, len(starts)), dtype=np.uint32)
+    """The minima of each line's shingles (rows) under every permutation (columns). Lines are in
+    order, not empty."""
+    padded, head, sizes = _padded(data, starts, ends)
+    stops = np.append(head[1:], len(padded))
+    least = np.empty((len(_FACTORS), len(starts)), dtype=np.uint32)
     done = 0
     while done < len(starts):
         # Some lines at a time, whose values stay in the processor's cache.
-        stop = max(done + 1, int(np.searchsorted(bounds, bounds[done] + BLOCK)))
-        part = values[bounds[done]:bounds[stop] if stop < len(bounds) else None]
-        scaled, here = np.empty_like(part), bounds[done:stop] - bounds[done]
+        stop = max(done + 1, int(np.searchsorted(stops, head[done] + BLOCK)))
+        chars = _scrambled(padded[head[done]:stops[stop - 1]])
+        windows = len(chars) - SHINGLE + 1
+        values = chars[:windows] * _PLACES[0]
+        for i in range(1, SHINGLE):
+            values += chars[i:i + windows] * _PLACES[i]
+        here = head[done:stop] - head[done]
+        values = _scrambled(values[_whole(len(chars), here, sizes[done:stop])])
+        here = np.cumsum(sizes[done:stop]) - sizes[done:stop]
+        scaled = np.empty_like(values)
         for j, factor in enumerate(_FACTORS):
-            np.minimum.reduceat(np.multiply(part, factor, out=scaled), here,
+            np.minimum.reduceat(np.multiply(values, factor, out=scaled), here,
                                 out=least[j, done:stop])
         done = stop
-    out = np.empty((len(starts), BANDS, 8), dtype=np.uint8)
-    for b in range(BANDS):
-        key = np.full(len(starts), b + 1, dtype=np.uint64)
-        for j in _CHOICE[b]:
-            key = mix(key ^ least[j].astype(np.uint64))
-        out[:, b] = key.view(np.uint8).reshape(-1, 8)
-    return np.ascontiguousarray(out[:, :, :WIDTH]).reshape(len(starts), BANDS * WIDTH)
+    return least.T
+
+
+def sketched(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The sketches of each different line of the spans, one for each group it goes to."""
+    nodes, some = np.unique(span_hashes(data, starts, ends), return_index=True)
+    order = np.argsort(some)
+    nodes, some = nodes[order], some[order]
+    least = signatures(data, starts[some], ends[some])
+    out = np.empty((TABLES, len(some)), dtype=_SKETCH)
+    out["node"] = nodes
+    out["minima"] = _scrambled(least[:, TABLES:]) >> np.uint32(24)
+    for t in range(TABLES):
+        out[t]["group"] = mix(least[:, t].astype(np.uint64) | np.uint64(t + 1 << 32))
+    return out.reshape(-1)
 
 
 def _text_hash(texts: pa.Array) -> pa.Array:
@@ -107,30 +165,191 @@ def _text_hash(texts: pa.Array) -> pa.Array:
     return out.view(np.int64)
 
 
+def _line_starts(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """The bytes of a batch's texts, and start, end, text and number of each line with a character
+    other than blanks."""
+    data, at = flat(part.column("text"))
+    starts, ends, owner = line_spans(data, at)
+    number = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    marks = np.append(0, np.cumsum(visible(data)))
+    some = np.flatnonzero(marks[ends] > marks[starts])
+    return data, starts[some], ends[some], owner[some], number[some]
+
+
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, h (a hash of the text), line, node (a hash of the line), sketch: one row for each
-    line with a character other than blanks."""
+    """doc_id, h (a hash of the text), line, node (a hash of the line): one row for each line with
+    a character other than blanks."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                data, at = flat(part.column("text"))
-                starts, ends, owner = line_spans(data, at)
-                number = np.arange(len(owner)) - np.searchsorted(owner, owner)
-                marks = np.append(0, np.cumsum(visible(data)))
-                some = np.flatnonzero(marks[ends] > marks[starts])
-                if not len(some):
+                data, starts, ends, owner, number = _line_starts(part)
+                if not len(starts):
                     continue
-                starts, ends, owner, number = (x[some] for x in (starts, ends, owner, number))
-                sketch = signatures(data, starts, ends)
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id").take(pa.array(owner)),
                     pa.array(_text_hash(part.column("text"))[owner]),
                     pa.array(number, pa.int32()),
                     pa.array(span_hashes(data, starts, ends).view(np.int64)),
-                    pa.array([r.tobytes() for r in sketch], pa.binary()),
-                ], names=["doc_id", "h", "line", "node", "sketch"])
+                ], names=["doc_id", "h", "line", "node"])
+
+    return docs.mapInArrow(task, "doc_id long, h long, line int, node long")
 
-    return docs.mapInArrow(task, "doc_id long, h long, line int, node long, sketch binary")
+
+def _dealt(docs: DataFrame, parts: int) -> DataFrame:
+    """part, sketches: the sketches of all lines, dealt by their groups into ``parts``; a row holds
+    many of one part."""
+    def deal(held: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(held)
+        part = (rows["group"] >> np.uint64(32)) % np.uint64(parts)
+        rows = rows[np.argsort(part, kind="stable")]
+        numbers, counts = np.unique(part, return_counts=True)
+        cuts = np.split(rows, np.cumsum(counts)[:-1])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(numbers.astype(np.int32)), pa.array([c.tobytes() for c in cuts],
+                                                          pa.binary())],
+            names=["part", "sketches"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            for part in slices(batch):
+                data, starts, ends, _, _ = _line_starts(part)
+                if len(starts):
+                    held.append(sketched(data, starts, ends))
+                if sum(x.nbytes for x in held) >= DEALT_BYTES:
+                    yield deal(held)
+                    held.clear()
+        if held:
+            yield deal(held)
+
+    return docs.select("text").mapInArrow(task, "part int, sketches binary")
+
+
+def _agree(minima: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """In how many minima rows i and j agree."""
+    out = np.empty(len(i), dtype=np.int64)
+    for k in range(0, len(i), BLOCK):
+        out[k:k + BLOCK] = np.count_nonzero(
+            minima[i[k:k + BLOCK]] == minima[j[k:k + BLOCK]], axis=1)
+    return out
+
+
+def _forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which of the pairs (i, j) make a spanning forest of greatest weight."""
+    at, root = np.unique(np.concatenate([i, j]), return_inverse=True)
+    parent = list(range(len(at)))
+    order = np.argsort(-weight, kind="stable")
+    chosen = np.zeros(len(i), dtype=bool)
+    for n, x, y in zip(order.tolist(), root[:len(i)][order].tolist(),
+                       root[len(i):][order].tolist()):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        while parent[y] != y:
+            parent[y] = y = parent[parent[y]]
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            chosen[n] = True
+    return chosen
+
+
+def _band_keys(group: np.ndarray, minima: np.ndarray) -> Iterator[np.ndarray]:
+    """A key of each row for each band: alike where the group and the band's minima are."""
+    high = group << np.uint64(8 * BAND)
+    for choice in _CHOICE:
+        words = np.zeros((len(minima), len(choice), 8), dtype=np.uint8)
+        words[:, :, :BAND] = minima[:, choice.reshape(-1)].reshape(len(minima), -1, BAND)
+        words = np.ascontiguousarray(words.view("<u8")[:, :, 0].T)
+        for word in words:
+            yield (word | high) * _ODD
+
+
+def alike_sketches(rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Candidate pairs among sketches (a, b, and whether they are of a spanning forest of the most
+    alike), and the members of buckets with more than ``SMALL`` of them (bucket, node).
+
+    Members of such a bucket meet leaders alone: a leader is the first member that agrees with no
+    leader before it. ``unresolved`` finds what that may leave open."""
+    rows = rows[np.lexsort((rows["node"], rows["group"]))]
+    group, node = rows["group"].copy(), rows["node"].copy()
+    same = group[1:] == group[:-1]
+    fresh = np.append(True, ~same | (node[1:] != node[:-1]))[:len(rows)]
+    rows, group = rows[fresh], group[fresh]
+    # A group of one line has no pair.
+    same = group[1:] == group[:-1]
+    several = (np.append(same, False) | np.append(False, same))[:len(rows)]
+    rows, group = rows[several], group[several]
+    node, minima = rows["node"].copy(), np.ascontiguousarray(rows["minima"])
+    # The place of a row stands in the low bits of its key, so that keys alone are sorted.
+    bits = np.uint64(len(rows).bit_length())
+    places = np.arange(len(rows), dtype=np.uint64)
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    width = max(len(rows), 1)
+    codes, known, members = [np.zeros(0, np.int64)], set(), []
+    for key in _band_keys(group, minima) if len(rows) else ():
+        key &= ~low
+        key |= places
+        key.sort()
+        same = np.append(key[1:] >> bits == key[:-1] >> bits, False)
+        before = np.append(False, same[:-1])
+        starts = np.flatnonzero(same & ~before)
+        sizes = np.flatnonzero(before & ~same) - starts + 1
+        order = (key & low).astype(np.int64)
+        few = sizes <= SMALL
+        left, right = [], []
+        for d in range(1, int(sizes[few].max(initial=1))):
+            on = starts[few & (sizes > d)]
+            count = np.full(len(on), d)
+            at = np.repeat(on, count)
+            left.append(order[at + np.tile(np.arange(d), len(on))])
+            right.append(order[at + d])
+        for start, size in zip(starts[~few], sizes[~few]):
+            here = np.sort(order[start:start + size])
+            bucket = int(mix(node[here]).sum())
+            if bucket in known:
+                continue
+            known.add(bucket)
+            members.append((np.full(size, bucket, dtype=np.uint64), node[here]))
+            for _ in range(LEADERS):
+                alike = _agree(minima, np.full(len(here), here[0]), here) >= LEAST
+                left.append(np.full(int(alike.sum()), here[0]))
+                right.append(here[alike])
+                here = here[~alike]
+                if not len(here):
+                    break
+        if left:
+            i, j = np.concatenate(left), np.concatenate(right)
+            on = (_agree(minima, i, j) >= LEAST) & (i != j)
+            codes.append(np.minimum(i, j)[on] * width + np.maximum(i, j)[on])
+    pair = np.unique(np.concatenate(codes))
+    i, j = pair // width, pair % width
+    weight, a, b = _agree(minima, i, j), node[i].view(np.int64), node[j].view(np.int64)
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    a, b, weight = a[order], b[order], weight[order]
+    fresh = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[:len(a)]
+    a, b, weight = a[fresh], b[fresh], weight[fresh]
+    none = [(np.zeros(0, np.uint64),) * 2]
+    bucket, member = (np.concatenate(x).view(np.int64) for x in zip(*none + members))
+    return a, b, _forest(a, b, weight), bucket, member
+
+
+def candidates(docs: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
+    """a, b, first: candidate pairs of nodes, and whether one part has them in its forest; and
+    bucket, key: the members of large buckets. There are about ``count`` lines."""
+    def task(table):
+        rows = np.frombuffer(b"".join(table.column("sketches").to_pylist()), dtype=_SKETCH)
+        a, b, first, bucket, member = alike_sketches(rows)
+        return pa.table({
+            "a": np.append(a, bucket), "b": np.append(b, member),
+            "first": pa.array(np.append(first, np.zeros(len(member), bool)), pa.bool_()),
+            "large": np.append(np.zeros(len(a), bool), np.ones(len(member), bool))})
+
+    parts = 1 + count * TABLES * _SKETCH.itemsize // READ_BYTES
+    found = stage_table(_dealt(docs, parts).groupBy("part").applyInArrow(
+        task, "a long, b long, first boolean, large boolean"), "candidates")
+    large = found.filter("large").select(F.col("a").alias("bucket"), F.col("b").alias("key"))
+    pairs = found.filter("NOT large").groupBy("a", "b").agg(F.max("first").alias("first"))
+    return pairs, large.distinct()
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -216,38 +435,41 @@ def duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, h, line of every line to be removed; see ``dedup_lines``."""
     found = stage_table(lines(docs), "lines")
     place = F.struct("doc_id", "h", "line")
-    nodes = stage_table(found.groupBy(F.col("node").alias("key")).agg(
-        F.min(place).alias("place"), F.first("sketch").alias("sketch")), "nodes")
-
-    def band(number: Column) -> Column:
-        start = number % BANDS * WIDTH
-        return F.xxhash64("band", F.substring("sketch", start + 1, F.lit(WIDTH)))
-
-    def banded(some: DataFrame) -> DataFrame:
-        return some.withColumn("band", F.explode(F.sequence(
-            F.lit(0), F.lit(BANDS - 1)))).withColumn("bucket", band(F.col("band")))
-
-    bands = banded(nodes.select("key", "sketch")).select(
-        "key", "bucket", band(F.col("band") + 1).alias("next_one"),
-        band(F.col("band") + 2).alias("next_two"))
-    pairs = stage_table(bucket_pairs(bands), "pairs")
-    ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
-    at = nodes.select("key", "place.doc_id", "place.h", "place.line")
-    texts = stage_table(_texts(docs, at.join(ends.distinct(), "key", "left_semi")), "texts")
-    links = stage_table(_alike(pairs, texts, percent), "links")
+    pairs, large = candidates(docs, found.count())
+    pairs = stage_table(pairs, "pairs")
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        at = found.join(small_enough(nodes), "node", "left_semi").groupBy(
+            F.col("node").alias("key")).agg(F.min(place).alias("place"))
+        return _texts(docs, at.select("key", "place.*"))
+
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = stage_table(texts_of(stage_table(ends, "ends")), "texts")
+    links = stage_table(_alike(pairs.filter("first").select("a", "b"), texts, percent), "links")
     joined = stage_table(components(links), "components")
-    left = stage_table(unresolved(banded(with_component(
-        nodes.select("key", "sketch"), joined))), "unresolved")
+    # Pairs that the forest's links have joined already can add nothing.
+    apart = pairs.filter("NOT first")
+    for end in ("a", "b"):
+        apart = apart.join(small_enough(joined.select(
+            F.col("node").alias(end), F.col("component").alias(f"of_{end}"))), end, "left")
+    apart = stage_table(apart.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+                        .select("a", "b"), "pairs")
+    more = stage_table(_alike(apart, texts, percent), "links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        joined = stage_table(components(links), "components")
+    left = stage_table(unresolved(with_component(large, joined)), "unresolved")
     if not left.isEmpty():
         cluster = stage_table(clusters(left), "clusters")
-        rest = _texts(docs, at.join(cluster, "key", "left_semi"))
+        rest = texts_of(cluster.select(F.col("key").alias("node")))
         more = stage_table(alike_within(_items(rest), cluster, joined, percent), "links")
         joined = stage_table(components(links.unionByName(more)), "components")
-    of_node = nodes.join(joined, nodes["key"] == joined["node"], "left").select(
-        "key", "place", F.coalesce("component", "key").alias("component"))
-    first = of_node.groupBy("component").agg(F.min("place").alias("first"))
-    kept = of_node.join(first, "component").select(F.col("key").alias("node"), "first")
-    return found.join(kept, "node").filter(place != F.col("first")).select(
+    of_line = found.join(small_enough(joined), "node", "left").select(
+        "doc_id", "h", "line", F.coalesce("component", "node").alias("component"))
+    first = stage_table(of_line.groupBy("component").agg(
+        F.min(place).alias("first"), F.count("*").alias("size")).filter("size > 1").drop("size"),
+        "first")
+    return of_line.join(small_enough(first), "component").filter(place != F.col("first")).select(
         "doc_id", "h", "line")
 
 

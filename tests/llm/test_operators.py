@@ -663,6 +663,29 @@ def test_lines_one_character_off_are_found(spark):
     assert out[1].text == rows[0][1] and (out[2].text, out[2].n_removed) == ("", len(made))
 
 
+def test_sketches_pair_alike_lines_alone(monkeypatch):
+    """Unlike lines of one language share bands by chance; few of them may become pairs."""
+    rng = random.Random(23)
+    parts = ["an", "the", "ti", "on", "ing", "her", "re", "sh", "ou", "wh", "ble", "nt", "ea", "of"]
+    made = [" ".join("".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(40))
+            for _ in range(1500)]
+    made += [one_character_off(x, rng) for x in made[:40]]
+    data, at = batches.flat(pa.array(made))
+    rows = lines.sketched(data, at[:-1], at[1:])
+    node = dict(zip(batches.span_hashes(data, at[:-1], at[1:]).view(np.int64).tolist(), made))
+    a, b, forest, bucket, _ = lines.alike_sketches(rows)
+    found = {frozenset((node[x], node[y])) for x, y in zip(a.tolist(), b.tolist())}
+    assert {frozenset(made[i] for i in (k, 1500 + k)) for k in range(40)} <= found
+    assert len(found) < 1500 and forest.sum() <= len(found) and not len(bucket)
+    # Beyond ``SMALL`` members each meets a leader, and the bucket is told.
+    monkeypatch.setattr(lines, "SMALL", 4)
+    group = [made[0]] + [made[0][:i] + "9" + made[0][i + 1:] for i in range(10, 30)]
+    data, at = batches.flat(pa.array(group))
+    nodes = set(batches.span_hashes(data, at[:-1], at[1:]).view(np.int64).tolist())
+    a, b, _, bucket, member = lines.alike_sketches(lines.sketched(data, at[:-1], at[1:]))
+    assert set(a.tolist()) | set(b.tolist()) == nodes == set(member.tolist()) and len(bucket)
+
+
 def test_short_lines_are_removed_where_they_repeat(spark):
     rows = [(1, "Share this\n \nPage 1\nok\nx"), (2, "Share this\n \nPage 2\nok\n\nx"),
             (3, "x")]
