@@ -8,7 +8,9 @@ anew. What is open when a task ends is merged with what other tasks left.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -19,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.llm.alignment import _byte_of
 from tallyspark.llm.batches import ChainedWords, slices
 from tallyspark.session import stage_table
 
@@ -28,6 +31,70 @@ MERGED = 1 << 62
 LEFTOVER_TASKS = 64
 
 
+#: How the tokeniser at hand cuts lower-cased words; and words for which no version of Unicode
+#: disputes normal form, small letters and classes. A 1 stands for the end of a cut part.
+_CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN_CUTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]"
+                         "|[^ a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_END = "\x01"
+
+
+class RankedWords:
+    """Ids of plain words by merging bytes by rank; the ends of parts are a byte of their own, which
+    merges first. ``of`` gives None where a tokeniser does more than that."""
+
+    def __init__(self, spec: dict):
+        from tiktoken import Encoding
+        byte_of, vocab = _byte_of(), spec["model"]["vocab"]
+        names = list(byte_of) + [c + "</w>" for c in byte_of]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        names += ["".join(m) for m in pairs]
+        ranks = {}
+        for rank, name in enumerate(names):
+            plain = name.removesuffix("</w>")
+            ranks[bytes(byte_of[c] for c in plain) + _END.encode() * (plain != name)] = rank
+        if len(ranks) != len(names):
+            raise ValueError("tokens are not told apart by their bytes")
+        self.ids = np.array([vocab[n] for n in names], dtype="<u4")
+        self.blank = ranks[b" "]
+        self.special = [t["content"][:2].lower() for t in spec["added_tokens"]]
+        self.fast = Encoding("words", pat_str=f"[^{_END} ]+{_END}| ", special_tokens={},
+                             mergeable_ranks=ranks)
+
+    @classmethod
+    def of(cls, path: str) -> "RankedWords | None":
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model = spec["model"]
+        steps = [(x["type"], x.get("pattern")) for x in (spec["normalizer"] or {}).get(
+            "normalizers", [])]
+        cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if (model["type"] != "BPE" or model.get("end_of_word_suffix") != "</w>"
+                or model.get("continuing_subword_prefix") or model.get("dropout")
+                or model.get("ignore_merges")
+                or steps != [("NFC", None), ("Replace", {"Regex": r"\s+"}), ("Lowercase", None)]
+                or [x["type"] for x in cuts] != ["Split", "ByteLevel"]
+                or cuts[0]["pattern"] != {"Regex": _CUTS} or not cuts[0]["invert"]
+                or cuts[1]["add_prefix_space"] or cuts[1]["use_regex"]):
+            return None
+        try:
+            return cls(spec)
+        except (KeyError, ValueError):
+            return None
+
+    def takes(self, word: str) -> bool:
+        return _PLAIN.fullmatch(word) is not None and not any(x in word for x in self.special)
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        text = _PLAIN_CUTS.sub(rf"\g<0>{_END}", " ".join(words).lower())
+        ranks = np.array(self.fast.encode_ordinary(text + " "), dtype=np.int64)
+        blank = ranks == self.blank
+        ends = (4 * (np.flatnonzero(blank) - np.arange(len(words)))).tolist()
+        data = self.ids[ranks[~blank]].tobytes()
+        return [data[i:j] for i, j in zip([0] + ends, ends)]
+
+
 class WordTokens:
     """Token ids of a text as little-endian 32-bit numbers, remembered by word.
 
@@ -38,6 +105,7 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.ranked = RankedWords.of(path)
         self.remembered = remembered
         self.known: dict[bytes, bytes] = {}
 
@@ -49,11 +117,16 @@ class WordTokens:
             if len(known) + len(new) > self.remembered:  # words met early are the frequent ones
                 known = ChainedWords(known)
             for i in range(0, len(new), 20_000):
-                part = new[i:i + 20_000]
-                coded = self.tokenizer.encode_batch_fast([w.decode() for w in part],
+                part, plain = [], []
+                for word in new[i:i + 20_000]:
+                    text = word.decode()
+                    (plain if self.ranked and self.ranked.takes(text) else part).append(text)
+                if plain:
+                    known.update(zip([w.encode() for w in plain], self.ranked.encode(plain)))
+                coded = self.tokenizer.encode_batch_fast(part,
                                                          add_special_tokens=False)
                 for word, ids in zip(part, coded):
-                    known[word] = array("I", ids.ids).tobytes()
+                    known[word.encode()] = array("I", ids.ids).tobytes()
         get = known.__getitem__
         return [b"".join(map(get, doc)) for doc in words]
 

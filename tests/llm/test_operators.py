@@ -217,6 +217,18 @@ def test_words_are_tokenised_as_whole_texts(text):
     assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == token_ids(text)[:-1]
 
 
+def test_plain_words_merged_by_rank_match_the_library():
+    coder = packing.WordTokens(WORDS)
+    rng = random.Random(5)
+    letters = "abcdeinorstTHE\u00e9\u00df\u00c5\u00ff'.,-0123&<|>_"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 14))) for _ in range(4000)]
+    words += ["it's", "I'LL'd", "'", "''s", "...'ll", "<|endoftext|>", "a<|endoftext|>", "\x01"]
+    plain = [w for w in words if coder.ranked.takes(w)]
+    assert len(plain) > 3000 and not {"<|endoftext|>", "\x01"} & set(plain)
+    expected = [coder.tokenizer.encode(w, add_special_tokens=False).ids for w in plain]
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.ranked.encode(plain)] == expected
+
+
 # -- 3 scoring -------------------------------------------------------------------------------------
 def test_scores_match_counts_and_beat_them(docs, texts):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
