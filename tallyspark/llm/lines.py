@@ -480,9 +480,9 @@ def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
     letters, the ends of the line included) is at least ``percent`` per cent; of all lines that
     links join, the one of the least doc_id and line stays. One substituted character anywhere is
     within 75 % from 25 characters on, an inserted or lost one from 21; shorter lines are alike if
-    they are equal but for capitals, or nearly so by repeated characters. Candidates agree in one
-    of 32 bands of six minima: two lines right at the limit are missed with a probability of about
-    0.002, at 0.8 with 1e-4. Lines of blanks alone stay. Very long lines over a handful of letters
+    they are equal but for capitals, or nearly so by repeated characters. Candidates share one of
+    six minima, one of 45 bands of five others and 26 of 48 in all: two lines right at the limit are
+    missed with a probability of about 0.002, at 0.8 with 2e-4. Lines of blanks alone stay. Very long lines over a handful of letters
     have nearly all shingles of these letters in common, whatever their order. Adds
     n_lines and n_removed (replacing columns of these names).
 
