@@ -89,6 +89,21 @@ def _shared(items: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     return total
 
 
+def in_blocks(sets: DataFrame, cluster: DataFrame, joined: DataFrame, block: int) -> DataFrame:
+    """key, cluster, items, component, own, low, high: ``sets`` (key, items) dealt into blocks (own)
+    of about ``block`` of a cluster, once for each two blocks (low, high) that are to meet."""
+    sizes = cluster.groupBy("cluster").agg(
+        F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    placed = sets.join(cluster.join(small_enough(sizes), "cluster"), "key")
+    placed = placed.join(joined, placed["key"] == joined["node"], "left").select(
+        "key", "cluster", "items", "blocks", F.coalesce("component", "key").alias("component"),
+        F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("own"))
+    return placed.select("*", F.explode(F.sequence(
+        F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+            "key", "cluster", "items", "component", "own",
+            F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+
+
 def alike_within(sets: DataFrame, cluster: DataFrame, joined: DataFrame,
                  percent: int) -> DataFrame:
     """a, b: every two of ``sets`` (key, items) of one cluster (key, cluster) that are alike and
@@ -112,14 +127,5 @@ def alike_within(sets: DataFrame, cluster: DataFrame, joined: DataFrame,
         one, two = key[left[i]], key[right[j]]
         return pa.table({"a": np.minimum(one, two), "b": np.maximum(one, two)})
 
-    sizes = cluster.groupBy("cluster").agg(
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = sets.join(cluster.join(small_enough(sizes), "cluster"), "key")
-    placed = placed.join(joined, placed["key"] == joined["node"], "left").select(
-        "key", "cluster", "items", "blocks", F.coalesce("component", "key").alias("component"),
-        F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("own"))
-    meet = placed.select("*", F.explode(F.sequence(
-        F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-            "key", "cluster", "items", "component", "own",
-            F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    return meet.groupBy("cluster", "low", "high").applyInArrow(task, "a long, b long").distinct()
+    return in_blocks(sets, cluster, joined, BLOCK).groupBy("cluster", "low", "high").applyInArrow(
+        task, "a long, b long").distinct()

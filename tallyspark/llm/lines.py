@@ -14,7 +14,7 @@ from tallyspark.llm.batches import (
     code_points, flat, mix, slices, span_hashes, visible, window_hashes,
 )
 from tallyspark.llm.candidates import (
-    alike_within, clusters, small_enough, unresolved, with_component,
+    in_blocks, small_enough, unresolved, with_component,
 )
 from tallyspark.llm.components import components
 from tallyspark.session import stage_table
@@ -23,37 +23,43 @@ from tallyspark.session import stage_table
 #: of a line, so that an edit costs the same everywhere: one substitution in a line of n characters
 #: leaves n - 1 of n + 7 shingles.
 SHINGLE = 4
-#: A line goes to this many groups, one for each of its first minima.
-TABLES = 6
-#: Further minima, a byte each, by which the lines of a group are compared.
-MINIMA = 48
+#: A line goes to this many groups, one for each of its first pairs of minima.
+TABLES = 9
+#: Minima of a line, of which half a byte each is kept to compare the lines of a group.
+MINIMA = 64
 #: Lines of a group are candidates if one of so many bands of so many minima is the same in both,
-#: and so many minima in all.
-BANDS = 45
+#: and so many minima in all. Each of the tables has bands of its own.
+BANDS = 20
 BAND = 5
-LEAST = 26
+LEAST = 38
 #: Candidates of up to so many lines are compared by their sketches pair by pair; of more, each
 #: meets one of the first so many leaders.
-SMALL, LEADERS = 128, 16
+SMALL, LEADERS = 2048, 16
+#: Lines that agree in so many minima are taken to be joined, unless their part shows less.
+SAFE = 60
+#: Pairs that are compared at a time.
+PAIRS = 1 << 20
+#: Sketches in a block, where those of large buckets are compared in full.
+FULL = 1 << 10
 #: Shingles that are hashed at a time.
 BLOCK = 1 << 16
 #: Bytes of sketches that a task holds before it deals them, and that are read at a time.
-DEALT_BYTES = 32 << 20
+DEALT_BYTES = 8 << 20
 READ_BYTES = 4 << 20
 #: Every line with a character other than blanks counts, whatever its length.
 MIN_BYTES = 1
 
-_FACTORS = (mix(np.arange(1, TABLES + MINIMA + 1, dtype=np.uint64)) >> np.uint64(32)).astype(
+_FACTORS = (mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) >> np.uint64(32)).astype(
     np.uint32) | np.uint32(1)
 _PLACES = (mix(np.arange(1001, 1001 + SHINGLE, dtype=np.uint64)) >> np.uint64(32)).astype(
     np.uint32) | np.uint32(1)
-#: The minima of each band: runs of minima in several shuffled orders, so that two bands share few.
-_CHOICE = np.stack([
-    np.argsort(mix(np.arange(MINIMA, dtype=np.uint64) + np.uint64(MINIMA * (i + 1))))[
-        :MINIMA // BAND * BAND].reshape(-1, BAND) for i in range(BANDS // (MINIMA // BAND))])
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-#: A sketch as it is dealt: the group and the node (hashes), and the minima.
-_SKETCH = np.dtype([("group", "<u8"), ("node", "<u8"), ("minima", "u1", (MINIMA,))])
+#: The minima of each band of each table: none of those by which the table has dealt.
+_CHOICE = np.array([[[m for m in np.argsort(mix(np.arange(MINIMA, dtype=np.uint64) + np.uint64(
+    MINIMA * (1 + t * BANDS + i)))) if m // 2 != t][:BAND] for i in range(BANDS)]
+    for t in range(TABLES)])
+#: A sketch as it is dealt: the group (its remainder by ``TABLES`` is the table), the node (a hash)
+#: and half a byte of each of the minima.
+_SKETCH = np.dtype([("group", "<u4"), ("node", "<u8"), ("minima", "u1", (MINIMA // 2,))])
 
 
 def line_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,9 +81,11 @@ def _padded(data: np.ndarray, starts: np.ndarray,
     and how many shingles it has. The spans are in order and not empty."""
     chars = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)
     chars = np.where((chars >= 65) & (chars <= 90), chars + np.uint32(32), chars)
-    before = np.append(0, np.cumsum(code_points(data)))
-    first, edge = before[starts], SHINGLE - 1
-    sizes = before[ends] - first
+    first, last, edge = starts, ends, SHINGLE - 1
+    if len(chars) < len(data):
+        heads = np.flatnonzero(code_points(data))
+        first, last = np.searchsorted(heads, starts), np.searchsorted(heads, ends)
+    sizes = last - first
     wide = sizes + 2 * edge
     head = np.cumsum(wide) - wide
     at = np.repeat(first - edge - head, wide)
@@ -151,9 +159,12 @@ def sketched(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     least = signatures(data, starts[some], ends[some])
     out = np.empty((TABLES, len(some)), dtype=_SKETCH)
     out["node"] = nodes
-    out["minima"] = _scrambled(least[:, TABLES:]) >> np.uint32(24)
+    half = (_scrambled(least) >> np.uint32(28)).astype(np.uint8)
+    out["minima"] = half[:, ::2] | half[:, 1::2] << 4
     for t in range(TABLES):
-        out[t]["group"] = mix(least[:, t].astype(np.uint64) | np.uint64(t + 1 << 32))
+        pair = least[:, 2 * t].astype(np.uint64) << np.uint64(32) | least[:, 2 * t + 1]
+        group = mix(pair) >> np.uint64(32)
+        out[t]["group"] = group - group % np.uint64(TABLES) + np.uint64(t)
     return out.reshape(-1)
 
 
@@ -171,8 +182,10 @@ def _line_starts(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     data, at = flat(part.column("text"))
     starts, ends, owner = line_spans(data, at)
     number = np.arange(len(owner)) - np.searchsorted(owner, owner)
-    marks = np.append(0, np.cumsum(visible(data)))
-    some = np.flatnonzero(marks[ends] > marks[starts])
+    some = np.flatnonzero(ends > starts)
+    shown = np.logical_or.reduceat(np.append(visible(data), False), np.stack(
+        [starts[some], ends[some]], axis=1).reshape(-1))[::2] if len(some) else np.zeros(0, bool)
+    some = some[shown]
     return data, starts[some], ends[some], owner[some], number[some]
 
 
@@ -200,7 +213,7 @@ def _dealt(docs: DataFrame, parts: int) -> DataFrame:
     many of one part."""
     def deal(held: list[np.ndarray]) -> pa.RecordBatch:
         rows = np.concatenate(held)
-        part = (rows["group"] >> np.uint64(32)) % np.uint64(parts)
+        part = mix(rows["group"].astype(np.uint64)) % np.uint64(parts)
         rows = rows[np.argsort(part, kind="stable")]
         numbers, counts = np.unique(part, return_counts=True)
         cuts = np.split(rows, np.cumsum(counts)[:-1])
@@ -225,47 +238,77 @@ def _dealt(docs: DataFrame, parts: int) -> DataFrame:
     return docs.select("text").mapInArrow(task, "part int, sketches binary")
 
 
+_ONES = np.uint64(0x1111111111111111)
+
+
 def _agree(minima: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """In how many minima rows i and j agree."""
+    words = minima.view("<u8")
     out = np.empty(len(i), dtype=np.int64)
     for k in range(0, len(i), BLOCK):
-        out[k:k + BLOCK] = np.count_nonzero(
-            minima[i[k:k + BLOCK]] == minima[j[k:k + BLOCK]], axis=1)
+        unlike = words[i[k:k + BLOCK]] ^ words[j[k:k + BLOCK]]
+        unlike |= unlike >> np.uint64(2)
+        unlike |= unlike >> np.uint64(1)
+        out[k:k + BLOCK] = MINIMA - np.bitwise_count(unlike & _ONES).sum(axis=1)
     return out
 
 
-def _forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Which of the pairs (i, j) make a spanning forest of greatest weight."""
+def _forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs (i, j) make a spanning forest of greatest weight, and which of them are
+    needed: those of the forest, and those not joined by its links of ``SAFE`` and more."""
     at, root = np.unique(np.concatenate([i, j]), return_inverse=True)
     parent = list(range(len(at)))
-    order = np.argsort(-weight, kind="stable")
     chosen = np.zeros(len(i), dtype=bool)
-    for n, x, y in zip(order.tolist(), root[:len(i)][order].tolist(),
-                       root[len(i):][order].tolist()):
+
+    def top(x: int) -> int:
         while parent[x] != x:
             parent[x] = x = parent[parent[x]]
-        while parent[y] != y:
-            parent[y] = y = parent[parent[y]]
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            chosen[n] = True
-    return chosen
+        return x
 
+    def join(pairs: np.ndarray) -> None:
+        for n, x, y in zip(pairs.tolist(), root[:len(i)][pairs].tolist(),
+                           root[len(i):][pairs].tolist()):
+            x, y = top(x), top(y)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                chosen[n] = True
 
-def _band_keys(group: np.ndarray, minima: np.ndarray) -> Iterator[np.ndarray]:
-    """A key of each row for each band: alike where the group and the band's minima are."""
-    high = group << np.uint64(8 * BAND)
-    for choice in _CHOICE:
-        words = np.zeros((len(minima), len(choice), 8), dtype=np.uint8)
-        words[:, :, :BAND] = minima[:, choice.reshape(-1)].reshape(len(minima), -1, BAND)
-        words = np.ascontiguousarray(words.view("<u8")[:, :, 0].T)
-        for word in words:
-            yield (word | high) * _ODD
+    order = np.argsort(-weight, kind="stable")
+    safe = int(np.count_nonzero(weight >= SAFE))
+    join(order[:safe])
+    joined = np.array([top(x) for x in range(len(at))], dtype=np.int64)
+    apart = joined[root[:len(i)]] != joined[root[len(i):]] if len(i) else chosen.copy()
+    join(order[safe:][apart[order[safe:]]])
+    return chosen, chosen | apart
+
+
+def _band_keys(group: np.ndarray, minima: np.ndarray, low: int) -> Iterator[tuple]:
+    """For each table and band: the rows of the table, and their keys above ``low`` free bits, alike
+    where the group and the band's minima are. Groups are in order."""
+    table = group % TABLES
+    number = np.cumsum(np.append(False, group[1:] != group[:-1])[:len(group)]).astype(np.uint64)
+    for t in range(TABLES):
+        rows = np.flatnonzero(table == t)
+        if not len(rows):
+            continue
+        own = np.ascontiguousarray(minima[rows].T)
+        high = number[rows] << np.uint64(4 * BAND + low)
+        for band in _CHOICE[t]:
+            word = np.zeros(len(rows), dtype=np.uint32)
+            for m in band.tolist():
+                word <<= np.uint32(4)
+                word |= own[m // 2] >> 4 * (m % 2) & 15
+            yield rows, high | word.astype(np.uint64) << np.uint64(low)
+
+
+def _counted(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, 2 and so on up to each size, one run after the other."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 def alike_sketches(rows: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Candidate pairs among sketches (a, b, and whether they are of a spanning forest of the most
-    alike), and the members of buckets with more than ``SMALL`` of them (bucket, node).
+    """The candidate pairs among sketches that are needed (a, b, and whether they are of a spanning
+    forest of the most alike), and the members of buckets with more than ``SMALL`` of them (bucket, node).
 
     Members of such a bucket meet leaders alone: a leader is the first member that agrees with no
     leader before it. ``unresolved`` finds what that may leave open."""
@@ -281,13 +324,11 @@ def alike_sketches(rows: np.ndarray) -> tuple[np.ndarray, ...]:
     node, minima = rows["node"].copy(), np.ascontiguousarray(rows["minima"])
     # The place of a row stands in the low bits of its key, so that keys alone are sorted.
     bits = np.uint64(len(rows).bit_length())
-    places = np.arange(len(rows), dtype=np.uint64)
     low = (np.uint64(1) << bits) - np.uint64(1)
     width = max(len(rows), 1)
     codes, known, members = [np.zeros(0, np.int64)], set(), []
-    for key in _band_keys(group, minima) if len(rows) else ():
-        key &= ~low
-        key |= places
+    for places, key in _band_keys(group, minima, int(bits)):
+        key |= places.astype(np.uint64)
         key.sort()
         same = np.append(key[1:] >> bits == key[:-1] >> bits, False)
         before = np.append(False, same[:-1])
@@ -295,20 +336,23 @@ def alike_sketches(rows: np.ndarray) -> tuple[np.ndarray, ...]:
         sizes = np.flatnonzero(before & ~same) - starts + 1
         order = (key & low).astype(np.int64)
         few = sizes <= SMALL
-        left, right = [], []
-        for d in range(1, int(sizes[few].max(initial=1))):
-            on = starts[few & (sizes > d)]
-            count = np.full(len(on), d)
-            at = np.repeat(on, count)
-            left.append(order[at + np.tile(np.arange(d), len(on))])
-            right.append(order[at + d])
+        # Each member of a small bucket meets those before it.
+        at, place = np.repeat(starts[few], sizes[few]), _counted(sizes[few])
+        ends, left, right = np.cumsum(place), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for cut in np.split(np.arange(len(at)), np.searchsorted(
+                ends, np.arange(PAIRS, ends[-1], PAIRS)) if len(at) else []):
+            i = order[np.repeat(at[cut], place[cut]) + _counted(place[cut])]
+            j = order[np.repeat(at[cut] + place[cut], place[cut])]
+            on = _agree(minima, i, j) >= LEAST
+            left.append(i[on])
+            right.append(j[on])
         for start, size in zip(starts[~few], sizes[~few]):
             here = np.sort(order[start:start + size])
             bucket = int(mix(node[here]).sum())
             if bucket in known:
                 continue
             known.add(bucket)
-            members.append((np.full(size, bucket, dtype=np.uint64), node[here]))
+            members.append((np.full(size, bucket, dtype=np.uint64), here))
             for _ in range(LEADERS):
                 alike = _agree(minima, np.full(len(here), here[0]), here) >= LEAST
                 left.append(np.full(int(alike.sum()), here[0]))
@@ -316,10 +360,10 @@ def alike_sketches(rows: np.ndarray) -> tuple[np.ndarray, ...]:
                 here = here[~alike]
                 if not len(here):
                     break
-        if left:
-            i, j = np.concatenate(left), np.concatenate(right)
-            on = (_agree(minima, i, j) >= LEAST) & (i != j)
-            codes.append(np.minimum(i, j)[on] * width + np.maximum(i, j)[on])
+        i, j = np.concatenate(left), np.concatenate(right)
+        codes.append((np.minimum(i, j) * width + np.maximum(i, j))[i != j])
+        if sum(len(x) for x in codes) > 4 * PAIRS + 2 * len(codes[0]):
+            codes = [np.unique(np.concatenate(codes))]
     pair = np.unique(np.concatenate(codes))
     i, j = pair // width, pair % width
     weight, a, b = _agree(minima, i, j), node[i].view(np.int64), node[j].view(np.int64)
@@ -328,30 +372,63 @@ def alike_sketches(rows: np.ndarray) -> tuple[np.ndarray, ...]:
     a, b, weight = a[order], b[order], weight[order]
     fresh = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[:len(a)]
     a, b, weight = a[fresh], b[fresh], weight[fresh]
-    none = [(np.zeros(0, np.uint64),) * 2]
-    bucket, member = (np.concatenate(x).view(np.int64) for x in zip(*none + members))
-    return a, b, _forest(a, b, weight), bucket, member
+    none = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    bucket, member = (np.concatenate(x) for x in zip(*none + members))
+    first, needed = _forest(a, b, weight)
+    return (a[needed], b[needed], first[needed], bucket.view(np.int64),
+            node[member].view(np.int64))
 
 
 def candidates(docs: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
     """a, b, first: candidate pairs of nodes, and whether one part has them in its forest; and
-    bucket, key: the members of large buckets. There are about ``count`` lines."""
+    bucket, key, items: the members of large buckets and their sketches. There are about ``count``
+    lines."""
     def task(table):
         rows = np.frombuffer(b"".join(table.column("sketches").to_pylist()), dtype=_SKETCH)
         a, b, first, bucket, member = alike_sketches(rows)
+        items = pa.nulls(len(a) + len(member), pa.binary())
+        if len(member):
+            nodes, at = np.unique(rows["node"].view(np.int64), return_index=True)
+            items = pa.array([None] * len(a) + [
+                x.tobytes() for x in rows["minima"][at[np.searchsorted(nodes, member)]]],
+                pa.binary())
         return pa.table({
             "a": np.append(a, bucket), "b": np.append(b, member),
             "first": pa.array(np.append(first, np.zeros(len(member), bool)), pa.bool_()),
-            "large": np.append(np.zeros(len(a), bool), np.ones(len(member), bool))})
+            "items": items})
 
     parts = 1 + count * TABLES * _SKETCH.itemsize // READ_BYTES
     found = stage_table(_dealt(docs, parts).groupBy("part").applyInArrow(
-        task, "a long, b long, first boolean, large boolean"), "candidates")
-    large = found.filter("large").select(F.col("a").alias("bucket"), F.col("b").alias("key"))
-    pairs = found.filter("NOT large").groupBy("a", "b").agg(F.max("first").alias("first"))
+        task, "a long, b long, first boolean, items binary"), "candidates")
+    large = found.filter("items IS NOT NULL").select(
+        F.col("a").alias("bucket"), F.col("b").alias("key"), "items")
+    pairs = found.filter("items IS NULL").groupBy("a", "b").agg(F.max("first").alias("first"))
     return pairs, large.distinct()
 
 
+def candidates_within(sketches: DataFrame, cluster: DataFrame, joined: DataFrame) -> DataFrame:
+    """a, b: every two of ``sketches`` (key, items) of one bucket (key, cluster) that are candidates and
+    not joined yet (node, component). Each two blocks of a bucket meet in a task."""
+    def task(table):
+        if not table.num_rows:
+            return table.select(["key", "key"]).rename_columns(["a", "b"])
+        key, component, own = (table.column(c).to_numpy() for c in ("key", "component", "own"))
+        minima = np.frombuffer(b"".join(table.column("items").to_pylist()), np.uint8).reshape(
+            -1, MINIMA // 2)
+        left = np.flatnonzero(own == table.column("low")[0].as_py())
+        right = np.flatnonzero(own == table.column("high")[0].as_py())
+        out = [np.zeros((2, 0), np.int64)]
+        for i in left.tolist():
+            apart = right[component[right] != component[i]]
+            j = apart[_agree(minima, np.full(len(apart), i), apart) >= LEAST]
+            out.append(np.sort(np.stack([np.full(len(j), key[i]), key[j]]), axis=0))
+        one, two = np.concatenate(out, axis=1)
+        return pa.table({"a": one, "b": two})
+
+    return in_blocks(sketches, cluster, joined, FULL).groupBy("cluster", "low", "high").applyInArrow(
+        task, "a long, b long").distinct()
+
+
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """key, text of the lines in ``wanted`` (key, doc_id, h, line: where each can be read)."""
     places = stage_table(wanted.groupBy("doc_id", "h").agg(
@@ -375,8 +452,12 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     ids = places.withColumnRenamed("doc_id", "id")
     near = docs.join(small_enough(ids), docs["doc_id"].eqNullSafe(ids["id"]))
-    return near.select("text", "h", "lines", "keys").mapInArrow(
-        task, "key long, text string").dropDuplicates(["key"])
+    found = stage_table(near.select("text", "h", "lines", "keys").mapInArrow(
+        task, "key long, text string"), "texts")
+    # Only rows with the same id and text give a line more than once.
+    if found.groupBy("key").count().filter("count > 1").isEmpty():
+        return found
+    return stage_table(found.dropDuplicates(["key"]), "texts")
 
 
 _SMALL = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -388,21 +469,46 @@ def shingles(line: str) -> set[str]:
     return {text[i:i + SHINGLE] for i in range(len(line) + SHINGLE - 1)}
 
 
+def _shingle_codes(line: str) -> np.ndarray | None:
+    """The line's shingles as numbers in order, each once; none if a character takes over 16 bits."""
+    edge = "\n" * (SHINGLE - 1)
+    chars = np.frombuffer(f"{edge}{line}{edge}".encode("utf-32-le"), dtype="<u4")
+    if chars.max() > 0xFFFF:
+        return None
+    codes = np.where((chars >= 65) & (chars <= 90), chars + np.uint32(32), chars).astype(np.uint64)
+    pairs = codes[:-1] << np.uint64(16) | codes[1:]
+    codes = pairs[:-2] << np.uint64(32) | pairs[2:]
+    codes.sort()
+    return codes[np.append(True, codes[1:] != codes[:-1])]
+
+
+def _shared(one: str, two: str, known: dict[str, np.ndarray | None]) -> tuple[int, int]:
+    """How many shingles two lines share, and how many they have in all."""
+    for x in (one, two):
+        if x not in known:
+            known[x] = _shingle_codes(x)
+    left, right = known[one], known[two]
+    if left is None or right is None:
+        left, right = shingles(one), shingles(two)
+        return len(left & right), len(left | right)
+    codes = np.concatenate([left, right])
+    codes.sort()
+    both = int(np.count_nonzero(codes[1:] == codes[:-1]))
+    return both, len(codes) - both
+
+
 def _alike(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` whose lines' sets of shingles are alike."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known: dict[str, set[str]] = {}
+            known: dict[str, np.ndarray | None] = {}
             keep = []
             for one, two in zip(batch.column("text_a").to_pylist(),
                                 batch.column("text_b").to_pylist()):
-                if len(known) > 5_000:
+                if len(known) > 2_000:
                     known.clear()
-                for x in (one, two):
-                    if x not in known:
-                        known[x] = shingles(x)
-                both = len(known[one] & known[two])
-                keep.append(100 * both >= percent * (len(known[one]) + len(known[two]) - both))
+                both, either = _shared(one, two, known)
+                keep.append(100 * both >= percent * either)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left, right = (texts.select(F.col("key").alias(k), F.col("text").alias(f"text_{k}"))
@@ -410,27 +516,6 @@ def _alike(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(task, "a long, b long")
 
 
-def _items(texts: DataFrame) -> DataFrame:
-    """key, items (hashes of its shingles) of each line."""
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                data, at = flat(part.column("text"))
-                hashes, sizes = shingle_hashes(data, at[:-1], at[1:])
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                order = np.lexsort((hashes, owner))
-                hashes, owner = hashes[order], owner[order]
-                fresh = np.ones(len(hashes), dtype=bool)
-                fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-                ends = np.cumsum(np.bincount(owner[fresh], minlength=len(sizes)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), pa.ListArray.from_arrays(
-                        pa.array(np.append(0, ends).astype(np.int32)),
-                        pa.array(hashes[fresh].view(np.int64)))], names=["key", "items"])
-
-    return texts.select("key", "text").mapInArrow(task, "key long, items array<long>")
-
-
 def duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, h, line of every line to be removed; see ``dedup_lines``."""
     found = stage_table(lines(docs), "lines")
@@ -443,8 +528,11 @@ def duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
             F.col("node").alias("key")).agg(F.min(place).alias("place"))
         return _texts(docs, at.select("key", "place.*"))
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = stage_table(texts_of(stage_table(ends, "ends")), "texts")
+    def texts_of_ends(some: DataFrame) -> DataFrame:
+        ends = some.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        return texts_of(stage_table(ends, "ends"))
+
+    texts = texts_of_ends(pairs)
     links = stage_table(_alike(pairs.filter("first").select("a", "b"), texts, percent), "links")
     joined = stage_table(components(links), "components")
     # Pairs that the forest's links have joined already can add nothing.
@@ -458,17 +546,23 @@ def duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     if not more.isEmpty():
         links = links.unionByName(more)
         joined = stage_table(components(links), "components")
-    left = stage_table(unresolved(with_component(large, joined)), "unresolved")
+    left = stage_table(unresolved(with_component(large.drop("items"), joined)), "unresolved")
     if not left.isEmpty():
-        cluster = stage_table(clusters(left), "clusters")
-        rest = texts_of(cluster.select(F.col("key").alias("node")))
-        more = stage_table(alike_within(_items(rest), cluster, joined, percent), "links")
-        joined = stage_table(components(links.unionByName(more)), "components")
+        sketches = large.select("key", "items").join(
+            small_enough(left.select("key").distinct()), "key", "left_semi").distinct()
+        # What was compared before is not compared again.
+        near = candidates_within(sketches, left.withColumnRenamed("bucket", "cluster"),
+                                 joined).join(pairs, ["a", "b"], "left_anti")
+        near = stage_table(near, "pairs")
+        more = stage_table(_alike(near, texts_of_ends(near), percent), "links")
+        if not more.isEmpty():
+            joined = stage_table(components(links.unionByName(more)), "components")
     of_line = found.join(small_enough(joined), "node", "left").select(
         "doc_id", "h", "line", F.coalesce("component", "node").alias("component"))
-    first = stage_table(of_line.groupBy("component").agg(
-        F.min(place).alias("first"), F.count("*").alias("size")).filter("size > 1").drop("size"),
-        "first")
+    several = stage_table(of_line.groupBy("component").count().filter("count > 1").select(
+        "component"), "several")
+    of_line = stage_table(of_line.join(small_enough(several), "component"), "repeated")
+    first = stage_table(of_line.groupBy("component").agg(F.min(place).alias("first")), "first")
     return of_line.join(small_enough(first), "component").filter(place != F.col("first")).select(
         "doc_id", "h", "line")
 
@@ -481,8 +575,9 @@ def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
     links join, the one of the least doc_id and line stays. One substituted character anywhere is
     within 75 % from 25 characters on, an inserted or lost one from 21; shorter lines are alike if
     they are equal but for capitals, or nearly so by repeated characters. Candidates share one of
-    six minima, one of 45 bands of five others and 26 of 48 in all: two lines right at the limit are
-    missed with a probability of about 0.002, at 0.8 with 2e-4. Lines of blanks alone stay. Very long lines over a handful of letters
+    nine pairs of minima, one of that pair's twenty bands of five others, and 38 of 64 in all, the
+    last two by half a byte each: two lines right at the limit are missed with a probability of
+    about 0.002, at 0.8 with 2e-4. Lines of blanks alone stay. Very long lines over a handful of letters
     have nearly all shingles of these letters in common, whatever their order. Adds
     n_lines and n_removed (replacing columns of these names).
 

@@ -705,6 +705,47 @@ def test_short_lines_are_removed_where_they_repeat(spark):
     assert [out[i].text for i in (1, 2, 3)] == [rows[0][1], " \nPage 2\n", ""]
 
 
+def test_sketches_of_one_group_send_few_pairs_and_tell_no_bucket():
+    """A large group of copies grows its pairs as its lines, and is paired in full."""
+    rng = random.Random(29)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5))
+    base = [word() for _ in range(60)]
+    made = []
+    for _ in range(400):
+        x = list(base)
+        x[rng.randrange(60)] = word()
+        made.append(" ".join(x))
+    data, at = batches.flat(pa.array(made))
+    a, b, forest, bucket, _ = lines.alike_sketches(lines.sketched(data, at[:-1], at[1:]))
+    assert forest.sum() == len(made) - 1 == len(set(a[forest].tolist()) | set(
+        b[forest].tolist())) - 1
+    assert len(a) < 20 * len(made) and not len(bucket)
+
+
+def test_shared_shingles_match_sets():
+    rows = ["", "a", "Aa aa aaaa", "straße Straße \u0130x", "x\U0001f600y x\U0001f600y", "x y" * 9]
+    for one in rows:
+        for two in rows:
+            x, y = lines.shingles(one), lines.shingles(two)
+            assert lines._shared(one, two, {}) == (len(x & y), len(x | y))
+
+
+def test_candidates_within_a_bucket_are_those_not_joined(spark, monkeypatch):
+    monkeypatch.setattr(lines, "FULL", 4)
+    group = [f"{'the quick brown fox jumps over it ' * 3}{i}" for i in range(12)] + ["else " * 20]
+    data, at = batches.flat(pa.array(group))
+    rows = lines.sketched(data, at[:-1], at[1:])
+    rows = rows[rows["group"] % lines.TABLES == 0]
+    keys = rows["node"].view(np.int64).tolist()
+    sketches = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in zip(
+        keys, rows["minima"])], "key long, items binary")
+    cluster = spark.createDataFrame([(k, 1) for k in keys], "key long, cluster long")
+    joined = spark.createDataFrame([(k, keys[0]) for k in keys[:3]], "node long, component long")
+    out = {(r.a, r.b) for r in lines.candidates_within(sketches, cluster, joined).collect()}
+    own = {tuple(sorted((x, y))) for i, x in enumerate(keys[:12]) for y in keys[:i]}
+    assert out == own - {tuple(sorted((x, y))) for x in keys[:3] for y in keys[:3]}
+
+
 # -- batches ---------------------------------------------------------------------------------------
 @given(st.lists(st.text(alphabet="aB \n\té\x1cß", max_size=30) | st.none(), max_size=8))
 @settings(max_examples=150, deadline=None)
